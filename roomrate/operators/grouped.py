@@ -106,6 +106,23 @@ def group_aggregates(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column])
     return df.groupBy(*keys).agg(*aggs)
 
 
+# Money sums accumulate in fixed point: a double SUM depends on the order rows
+# reach it (partitioning, retries), a DECIMAL sum does not, so a rerun on any
+# cluster layout reproduces the same figures to the last bit.
+EXACT = "decimal(38,10)"
+
+
+def exact_sum(col: str | Column) -> Column:
+    c = F.col(col) if isinstance(col, str) else col
+    return F.sum(c.cast(EXACT)).cast("double")
+
+
+def exact_avg(col: str | Column) -> Column:
+    """Mean of the non-NULL values (NULL when there is none), order-independent."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.when(F.count(c) > 0, exact_sum(c) / F.count(c))
+
+
 def na_poisoned(agg: Column, col: str) -> Column:
     """R aggregate without ``na.rm``: NULL when the group holds any NULL of ``col``."""
     return F.when(F.count(F.lit(1)) == F.count(F.col(col)), agg)

@@ -199,7 +199,7 @@ def tree_sql(model: TreeModel, exprs: Mapping[str, str], float32: bool = True) -
     def node_sql(nodes, node_id):
         n = nodes[node_id]
         if n.feature is None:
-            return repr(float(n.leaf))
+            return f"cast({float(n.leaf)!r} as double)"
         x = f"cast({exprs[n.feature]} as double)"
         lhs = f"cast({x} as float)" if float32 else x
         rhs = f"cast({float(n.split)!r} as float)" if float32 else repr(float(n.split))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from roomrate.functions.dates import month_in_interval, not_after_day
 from roomrate.functions.encode import YES
+from roomrate.operators.grouped import exact_avg, exact_sum
 
 # fixed values: status and type labels of the warehouse tables
 DELISTED = "已下架"
@@ -54,9 +55,9 @@ def decoration_cost(decorations: DataFrame, as_of: dt.date) -> DataFrame:
     )
     return approved.groupBy("suite_id").agg(
         F.max("suite_status").alias("suite_status"),
-        F.sum(_cost("budget")).alias("decoration_cost"),
-        F.sum(_cost("amount")).alias("final_cost"),
-        F.avg("total_yuan").alias("total_yuan"),
+        exact_sum(_cost("budget")).alias("decoration_cost"),
+        exact_sum(_cost("amount")).alias("final_cost"),
+        exact_avg("total_yuan").alias("total_yuan"),
     )
 
 

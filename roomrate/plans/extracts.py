@@ -15,7 +15,7 @@ from roomrate.functions import encode as E
 from roomrate.functions.dates import days_since, on_or_after, text_date_on_or_after
 from roomrate.functions.numeric import clamp_nonneg, lenient_double, lenient_int, r_div
 from roomrate.functions.text import crawl_block, with_city_suffix
-from roomrate.operators.grouped import attach, group_aggregates, group_quantiles, na_poisoned
+from roomrate.operators.grouped import attach, exact_sum, group_aggregates, group_quantiles, na_poisoned
 from roomrate.operators.suite import (
     DELISTED,
     decoration_cost,
@@ -329,7 +329,7 @@ def _ratio_stats(rows: DataFrame, keys: list[str], avg_name: str, median_name: s
         rows,
         keys,
         [
-            r_div(na_poisoned(F.sum("price"), "price"), na_poisoned(F.sum("bedroom_num"), "bedroom_num")).alias(avg_name),
+            r_div(na_poisoned(exact_sum("price"), "price"), na_poisoned(F.sum("bedroom_num"), "bedroom_num")).alias(avg_name),
         ],
     )
     med = group_quantiles(rows, keys, "puzu_avg_price", {median_name: 0.5}, na_poisons=True)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roomrate.operators.grouped import attach, group_quantiles
+from roomrate.operators.grouped import attach, exact_avg, group_quantiles
 from roomrate.operators.joins import join_null_safe
 from roomrate.operators.scoring import TreeModel, numeric_features, score
 
@@ -125,7 +125,7 @@ def reconcile(own_groups: DataFrame, crawl_groups: DataFrame) -> DataFrame:
     rows = reconciled_pairs(own_groups, crawl_groups)
     block = ["city", "block_dk_data"]
     means = rows.groupBy(*block).agg(
-        F.avg("final_dk").alias("block_price_danke"), F.avg("final_zr").alias("block_price_ziroom")
+        exact_avg("final_dk").alias("block_price_danke"), exact_avg("final_zr").alias("block_price_ziroom")
     )
     return (
         attach(rows, means, block)
