@@ -51,37 +51,43 @@ def group_quantiles(
     val = F.col(value) if isinstance(value, str) else value
     base = df.select(*[F.col(k) for k in keys], val.cast("double").alias(_V))
 
-    # every group, with its NULL count (partial aggregation: safe for hot groups)
-    groups = base.groupBy(*keys).agg((F.count(F.lit(1)) - F.count(_V)).alias("__nulls"))
+    # one row per distinct (group, value), NULL values as their own row: a hot
+    # group shrinks to its distinct values, and every group keeps a row
+    counts = base.groupBy(*keys, _V).agg(F.count(F.lit(1)).alias(_C))
+    present = F.col(_V).isNotNull()
 
-    # one row per distinct (group, value): hot groups shrink to their distinct values
-    counts = base.where(F.col(_V).isNotNull()).groupBy(*keys, _V).agg(F.count(F.lit(1)).alias(_C))
-
-    # ordered pieces: a group may span many range partitions
+    # ordered pieces: a group may span many range partitions (NULLs sort first)
     ranged = counts.repartitionByRange(*keys, _V).withColumn(_PID, F.spark_partition_id())
     piece = Window.partitionBy(_PID, *keys)
-    local = ranged.withColumn("__cum", F.sum(_C).over(piece.orderBy(_V).rowsBetween(Window.unboundedPreceding, 0)))
+    local = ranged.withColumn(
+        "__cum",
+        F.sum(F.when(present, F.col(_C)).otherwise(F.lit(0))).over(piece.orderBy(_V).rowsBetween(Window.unboundedPreceding, 0)),
+    )
 
     # per piece totals -> offset of each piece inside its group (small: pieces x groups)
-    totals = local.groupBy(_PID, *keys).agg(F.sum(_C).alias("__t"))
+    totals = local.groupBy(_PID, *keys).agg(
+        F.sum(F.when(present, F.col(_C)).otherwise(F.lit(0))).alias("__t"),
+        F.sum(F.when(~present, F.col(_C)).otherwise(F.lit(0))).alias("__tn"),
+    )
     by_group = Window.partitionBy(*keys)
     totals = totals.select(
         _PID,
         *keys,
         F.coalesce(F.sum("__t").over(by_group.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"),
         F.sum("__t").over(by_group).alias("__n"),
+        F.sum("__tn").over(by_group).alias("__nulls"),
     )
 
     ranked = join_null_safe(local, totals, [_PID, *keys], "inner")
-    hi_cum = F.col("__off") + F.col("__cum")  # rows of the group up to and including this value
-    lo_cum = hi_cum - F.col(_C)  # rows strictly below this value; the value holds ranks [lo_cum, hi_cum)
+    hi_cum = F.col("__off") + F.col("__cum")  # non-NULL rows of the group up to and including this value
+    lo_cum = hi_cum - F.col(_C)  # rows strictly below; this value holds ranks [lo_cum, hi_cum)
 
-    picks, aggs, finals = [], [], []
+    picks, aggs, finals = [~present], [F.max("__nulls").alias("__nulls")], []
     for i, (name, p) in enumerate(probs.items()):
         h = (F.col("__n") - 1).cast("double") * F.lit(float(p))
         lo, hi = F.floor(h), F.ceil(h)
-        cov_lo = (lo_cum <= lo) & (lo < hi_cum)
-        cov_hi = (lo_cum <= hi) & (hi < hi_cum)
+        cov_lo = present & (lo_cum <= lo) & (lo < hi_cum)
+        cov_hi = present & (lo_cum <= hi) & (hi < hi_cum)
         picks.append(cov_lo | cov_hi)
         aggs += [
             F.max(F.when(cov_lo, F.col(_V))).alias(f"__lo{i}"),
@@ -97,8 +103,8 @@ def group_quantiles(
     keep = picks[0]
     for c in picks[1:]:
         keep = keep | c
-    chosen = ranked.where(keep).groupBy(*keys).agg(*aggs)
-    return join_null_safe(groups, chosen, keys, "left").select(*keys, *finals)
+    # at most (1 + 2 * len(probs)) rows per group survive the filter
+    return ranked.where(keep).groupBy(*keys).agg(*aggs).select(*keys, *finals)
 
 
 def group_aggregates(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
