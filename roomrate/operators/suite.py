@@ -29,12 +29,43 @@ NO = "无"
 BUDGET_TERMS = ("decoration", "furniture", "appliance", "allocation", "operation", "follow_operation")
 
 
-def suite_toilet_counts(rooms: DataFrame) -> DataFrame:
-    """AGG1: rooms with their own toilet per suite, over priced rooms."""
-    return (
-        rooms.where(F.col("price").isNotNull())
-        .groupBy("suite_id")
-        .agg(F.count(F.when(F.col("has_toilet") == YES, F.lit(1))).alias("dw_num"))
+def room_stats(rooms: DataFrame) -> DataFrame:
+    """Every per-suite room statistic of the extracts, in one pass over ``rooms``.
+
+    The original computes them in three derived tables (AGG1, AGG4, AGG6), each
+    scanning the rooms table; here each is a conditional aggregate of a single
+    ``groupBy(suite_id)`` (partial aggregation in the scan tasks), and the
+    derived tables below are filters of it. Within one query plan Spark also
+    reuses the one exchange for every consumer.
+    """
+    priced = F.col("price").isNotNull()
+    live = F.col("deleted_at").isNull() & ~F.col("status").isin(DELISTED)
+    toilet = F.col("has_toilet") == YES
+    shower_only = (F.col("has_shower") == YES) & (F.col("has_toilet") == NO)
+    return rooms.groupBy("suite_id").agg(
+        F.count(F.when(priced, F.lit(1))).alias("priced_rooms"),
+        F.count(F.when(priced & toilet, F.lit(1))).alias("priced_toilet_rooms"),
+        F.count(F.when(live, F.lit(1))).alias("live_rooms"),
+        F.count_distinct(F.when(live, F.col("code"))).alias("bed_num"),
+        F.count(F.when(live & toilet, F.lit(1))).alias("dw_num"),
+        F.count(F.when(live & shower_only, F.lit(1))).alias("dly_num"),
+        F.max(F.when(live, F.col("available_date"))).alias("available_date"),
+        F.count("available_date").alias("ever_available_rooms"),
+    )
+
+
+def suite_toilet_counts(rooms: DataFrame, stats: DataFrame | None = None) -> DataFrame:
+    """AGG1: rooms with their own toilet per suite, over suites with priced rooms."""
+    stats = room_stats(rooms) if stats is None else stats
+    return stats.where(F.col("priced_rooms") > 0).select("suite_id", F.col("priced_toilet_rooms").alias("dw_num"))
+
+
+def listed_suites(suites: DataFrame) -> DataFrame:
+    """FLT9 and the suite side of AGG4: listed suites with a ready date."""
+    return suites.where(
+        ~F.col("status").isin(DELISTED)
+        & ~F.col("address").contains(WORKSTATION)
+        & F.col("ready_for_rent_date").isNotNull()
     )
 
 
@@ -61,29 +92,20 @@ def decoration_cost(decorations: DataFrame, as_of: dt.date) -> DataFrame:
     )
 
 
-def suite_profile(rooms: DataFrame, suites: DataFrame) -> DataFrame:
+def suite_profile(rooms: DataFrame, suites: DataFrame, stats: DataFrame | None = None) -> DataFrame:
     """AGG4 with FLT9: bed count, toilets and shower-only rooms of listed suites."""
-    r = rooms.where(F.col("deleted_at").isNull() & ~F.col("status").isin(DELISTED)).select(
-        "suite_id", "code", "has_toilet", "has_shower", "available_date"
-    )
-    s = suites.where(
-        ~F.col("status").isin(DELISTED)
-        & ~F.col("address").contains(WORKSTATION)
-        & F.col("ready_for_rent_date").isNotNull()
-    ).select(F.col("id").alias("suite_id"), "toilet_num")
-    return (
-        r.join(s, "suite_id")
-        .groupBy("suite_id")
-        .agg(
-            F.count_distinct("code").alias("bed_num"),
-            F.max("toilet_num").alias("gw_num"),
-            F.count(F.when(F.col("has_toilet") == YES, F.lit(1))).alias("dw_num"),
-            F.count(F.when((F.col("has_shower") == YES) & (F.col("has_toilet") == NO), F.lit(1))).alias("dly_num"),
-            F.lit("0").alias("gly_num"),
-            F.lit("1").alias("gcf_num"),
-            F.lit("0").alias("dcf_num"),
-            F.max("available_date").alias("available_date"),
-        )
+    stats = room_stats(rooms) if stats is None else stats
+    s = listed_suites(suites).select(F.col("id").alias("suite_id"), F.col("toilet_num").alias("gw_num"))
+    return stats.where(F.col("live_rooms") > 0).join(s, "suite_id").select(
+        "suite_id",
+        "bed_num",
+        "gw_num",
+        "dw_num",
+        "dly_num",
+        F.lit("0").alias("gly_num"),
+        F.lit("1").alias("gcf_num"),
+        F.lit("0").alias("dcf_num"),
+        "available_date",
     )
 
 
@@ -120,6 +142,7 @@ def landlord_price_in_force(schedules: DataFrame, contracts: DataFrame, as_of: d
     )
 
 
-def ever_available_suites(rooms: DataFrame) -> DataFrame:
+def ever_available_suites(rooms: DataFrame, stats: DataFrame | None = None) -> DataFrame:
     """JN8/AGG6: suites with at least one room that ever had an available date."""
-    return rooms.where(F.col("available_date").isNotNull()).select("suite_id")
+    stats = room_stats(rooms) if stats is None else stats
+    return stats.where(F.col("ever_available_rooms") > 0).select("suite_id")

@@ -18,11 +18,11 @@ from roomrate.functions.text import crawl_block, with_city_suffix
 from roomrate.operators.grouped import attach, exact_sum, group_aggregates, group_quantiles, na_poisoned
 from roomrate.operators.suite import (
     DELISTED,
+    WORKSTATION,
     decoration_cost,
-    ever_available_suites,
     landlord_price_in_force,
+    room_stats,
     signed_contracts,
-    suite_profile,
     suite_toilet_counts,
 )
 from roomrate.sources.literals import city_level_table, denied_suite_ids
@@ -94,7 +94,7 @@ def recency_filter(ready: F.Column, city: F.Column, as_of: dt.date, absorbed: bo
 
 
 # ------------------------------------------------------------------ JOB_A
-def own_standard_pairs(t: RentalTables, as_of: dt.date = AS_OF) -> DataFrame:
+def _own_standard_pairs(t: RentalTables, as_of: dt.date = AS_OF) -> DataFrame:
     """JOB_A: own listings paired with the standard room (28 columns)."""
     rooms = t["rooms"].where(
         F.col("price").isNotNull()
@@ -115,7 +115,7 @@ def own_standard_pairs(t: RentalTables, as_of: dt.date = AS_OF) -> DataFrame:
     joined = (
         rooms.join(suites, "suite_id")
         .join(daily, "suite_id")
-        .join(suite_toilet_counts(t["rooms"]), "suite_id")
+        .join(suite_toilet_counts(t["rooms"], suite_room_stats(t)), "suite_id")
     )
     return joined.select(
         "city",
@@ -140,7 +140,7 @@ def own_standard_pairs(t: RentalTables, as_of: dt.date = AS_OF) -> DataFrame:
 
 
 # ------------------------------------------------------------------ JOB_B
-def crawl_standard_pairs(t: RentalTables, as_of: dt.date = CRAWL_AS_OF) -> DataFrame:
+def _crawl_standard_pairs(t: RentalTables, as_of: dt.date = CRAWL_AS_OF) -> DataFrame:
     """JOB_B: last week's competitor crawl paired with its standard room (18 columns)."""
     z = t["archive_ziroom"].where(
         text_date_on_or_after("date_created", as_of - dt.timedelta(days=CRAWL_RECENT_DAYS))
@@ -193,6 +193,11 @@ ROOM_COLUMNS = (
 )
 
 
+def suite_room_stats(t: RentalTables) -> DataFrame:
+    """The one per-suite aggregate of ``rooms`` shared by extracts A and C."""
+    return t.derived("room_stats", lambda: room_stats(t["rooms"]))
+
+
 def rooms_base(t: RentalTables) -> DataFrame:
     """a1 of JOB_C: rooms not yet let, with their suite and community."""
     rooms = t["rooms"].where(~F.col("status").isin(*PRICED_STATES) & F.col("deleted_at").isNull())
@@ -208,12 +213,13 @@ def rooms_base(t: RentalTables) -> DataFrame:
         "ready_for_rent_date",
         "zhuangxiu_end_date",
         "address",
+        F.col("status").alias("suite_state"),
     )
     xq = t["xiaoqus"].select(F.col("id").alias("xiaoqu_id"), "city", "block", F.col("name").alias("community"))
     return rooms.join(suites.join(xq, "xiaoqu_id"), "suite_id")
 
 
-def rooms_to_price(t: RentalTables, as_of: dt.date = AS_OF) -> DataFrame:
+def _rooms_to_price(t: RentalTables, as_of: dt.date = AS_OF) -> DataFrame:
     """JOB_C: rooms to price with suite, cost, contract and landlord data (42 columns)."""
     rent = F.col("rent_type")
     a1 = rooms_base(t).where(
@@ -225,7 +231,16 @@ def rooms_to_price(t: RentalTables, as_of: dt.date = AS_OF) -> DataFrame:
         & ~F.col("address").contains(RND_ADDRESS)
     )
     icost = decoration_cost(t["suite_decorations"], as_of).select("suite_id", "decoration_cost")
-    bb1 = suite_profile(t["rooms"], t["suites"]).select("suite_id", "dw_num", "dly_num")
+    # bb1 (AGG4 over listed suites) and the never-available anti join (JN8)
+    # are both read from the one per-suite room aggregate
+    bb1 = suite_room_stats(t).where((F.col("live_rooms") > 0) & (F.col("ever_available_rooms") == 0)).select(
+        "suite_id", "dw_num", "dly_num"
+    )
+    listed = (
+        ~F.col("suite_state").isin(DELISTED)
+        & ~F.col("address").contains(WORKSTATION)
+        & F.col("ready_for_rent_date").isNotNull()
+    )
     icontract = signed_contracts(t["contract_with_landlords"], as_of).select(
         "suite_id", "origin_bedroom_num", "house_pricing_id"
     )
@@ -236,11 +251,11 @@ def rooms_to_price(t: RentalTables, as_of: dt.date = AS_OF) -> DataFrame:
     )
     end_date = F.coalesce(F.col("supplier_end_date"), F.col("zhuangxiu_end_date"))
     joined = (
-        a1.join(icost, "suite_id")
+        a1.where(listed)
+        .join(icost, "suite_id")
         .join(bb1, "suite_id")
         .join(icontract, "suite_id")
         .join(in_dk, "suite_id", "left")
-        .join(ever_available_suites(t["rooms"]), "suite_id", "left_anti")
         .join(mm, "suite_id", "left")
         .where(
             (F.col("city").isin(*DEADLINE_CITIES) & (end_date <= F.lit(as_of + dt.timedelta(days=DEADLINE_DAYS))))
@@ -301,7 +316,7 @@ WHOLE_UNIT_COLUMNS = (
 )
 
 
-def whole_unit_listings(t: RentalTables, as_of: dt.date = AS_OF) -> DataFrame:
+def _whole_unit_listings(t: RentalTables, as_of: dt.date = AS_OF) -> DataFrame:
     """SRC3 + JN13 + PRJ9: recent whole-unit listings with tier and per-room ratios."""
     listings = (
         t["community_house_type"]
@@ -336,7 +351,7 @@ def _ratio_stats(rows: DataFrame, keys: list[str], avg_name: str, median_name: s
     return attach(sums, med, keys)
 
 
-def whole_unit_stats(t: RentalTables, as_of: dt.date = AS_OF) -> DataFrame:
+def _whole_unit_stats(t: RentalTables, as_of: dt.date = AS_OF) -> DataFrame:
     """JOB_D: whole-unit rent per room by community and bedroom count (WIN4-WIN6)."""
     rows = whole_unit_listings(t, as_of)
     room_keys = ["city_level", "city", "community", "bedroom_num"]
@@ -349,3 +364,32 @@ def whole_unit_stats(t: RentalTables, as_of: dt.date = AS_OF) -> DataFrame:
         "city_level", "city", "block", "community", "bedroom_num", "puzu_avg_price", "puzu_avg_area", "avg_price_area"
     ).distinct()
     return attach(attach(distinct_rows, room, room_keys), com, com_keys).select(*WHOLE_UNIT_COLUMNS)
+
+
+# ------------------------------------------------------------------ public
+# Each job's plan is built once per table set and date and shared by every
+# job that consumes it (building is eager analysis on the driver; execution
+# still runs the whole plan each time an action is called).
+def own_standard_pairs(t: RentalTables, as_of: dt.date = AS_OF) -> DataFrame:
+    """JOB_A: own listings paired with the standard room (28 columns)."""
+    return t.derived(f"job_a/{as_of}", lambda: _own_standard_pairs(t, as_of))
+
+
+def crawl_standard_pairs(t: RentalTables, as_of: dt.date = CRAWL_AS_OF) -> DataFrame:
+    """JOB_B: last week's competitor crawl paired with its standard room (18 columns)."""
+    return t.derived(f"job_b/{as_of}", lambda: _crawl_standard_pairs(t, as_of))
+
+
+def rooms_to_price(t: RentalTables, as_of: dt.date = AS_OF) -> DataFrame:
+    """JOB_C: rooms to price with suite, cost, contract and landlord data (42 columns)."""
+    return t.derived(f"job_c/{as_of}", lambda: _rooms_to_price(t, as_of))
+
+
+def whole_unit_listings(t: RentalTables, as_of: dt.date = AS_OF) -> DataFrame:
+    """SRC3 + JN13 + PRJ9: recent whole-unit listings with tier and per-room ratios."""
+    return t.derived(f"whole_unit_listings/{as_of}", lambda: _whole_unit_listings(t, as_of))
+
+
+def whole_unit_stats(t: RentalTables, as_of: dt.date = AS_OF) -> DataFrame:
+    """JOB_D: whole-unit rent per room by community and bedroom count (WIN4-WIN6)."""
+    return t.derived(f"job_d/{as_of}", lambda: _whole_unit_stats(t, as_of))

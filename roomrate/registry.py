@@ -204,7 +204,8 @@ def q_city_deadline(spark, sf):
 
 
 def q_suite_toilets(spark, sf):
-    return SU.suite_toilet_counts(_t(spark, sf)["rooms"])
+    t = _t(spark, sf)
+    return SU.suite_toilet_counts(t["rooms"], X.suite_room_stats(t))
 
 
 def q_decoration_cost(spark, sf):
@@ -213,7 +214,7 @@ def q_decoration_cost(spark, sf):
 
 def q_suite_profile(spark, sf):
     t = _t(spark, sf)
-    return SU.suite_profile(t["rooms"], t["suites"])
+    return SU.suite_profile(t["rooms"], t["suites"], X.suite_room_stats(t))
 
 
 def q_contract_fanout(spark, sf):
@@ -240,7 +241,8 @@ def q_decoration_fanout(spark, sf):
 
 def q_never_available(spark, sf):
     t = _t(spark, sf)
-    return X.rooms_base(t).join(SU.ever_available_suites(t["rooms"]), "suite_id", "left_anti").select("suite_id").distinct()
+    ever = SU.ever_available_suites(t["rooms"], X.suite_room_stats(t))
+    return X.rooms_base(t).join(ever, "suite_id", "left_anti").select("suite_id").distinct()
 
 
 def q_std_deviations(spark, sf):
@@ -266,10 +268,18 @@ def q_score_crawl(spark, sf):
     return S.crawl_scored(X.crawl_standard_pairs(_t(spark, sf)), demo_model(CRAWL_MODEL))
 
 
+def _groups(t: RentalTables):
+    own = t.derived("own_groups", lambda: S.own_group_prices(X.own_standard_pairs(t), demo_model(OWN_MODEL)))
+    crawl = t.derived("crawl_groups", lambda: S.crawl_group_prices(X.crawl_standard_pairs(t), demo_model(CRAWL_MODEL)))
+    return own, crawl
+
+
+def _std_price(t: RentalTables) -> DataFrame:
+    return t.derived("std_price", lambda: S.reconcile(*_groups(t)))
+
+
 def _attached(t: RentalTables) -> DataFrame:
-    a, b = X.own_standard_pairs(t), X.crawl_standard_pairs(t)
-    g = S.reconcile(S.own_group_prices(a, demo_model(OWN_MODEL)), S.crawl_group_prices(b, demo_model(CRAWL_MODEL)))
-    return P.attach_prices(X.rooms_to_price(t), g)
+    return t.derived("attached", lambda: P.attach_prices(X.rooms_to_price(t), _std_price(t)))
 
 
 def q_score_room(spark, sf):
@@ -293,20 +303,13 @@ def q_crawl_quantile(spark, sf):
     return S.crawl_standard_prices(X.crawl_standard_pairs(_t(spark, sf)), demo_model(CRAWL_MODEL))
 
 
-def _groups(t: RentalTables):
-    return (
-        S.own_group_prices(X.own_standard_pairs(t), demo_model(OWN_MODEL)),
-        S.crawl_group_prices(X.crawl_standard_pairs(t), demo_model(CRAWL_MODEL)),
-    )
-
-
 def q_reconcile_full_join(spark, sf):
     rows = S.reconciled_pairs(*_groups(_t(spark, sf)))
     return rows.withColumn("xiaoqu_std_price_final", F.coalesce("final_dk", "final_zr"))
 
 
 def q_block_means(spark, sf):
-    return S.reconcile(*_groups(_t(spark, sf)))
+    return _std_price(_t(spark, sf))
 
 
 def q_attach_prices(spark, sf):

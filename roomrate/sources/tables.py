@@ -15,7 +15,8 @@ Constructors:
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+import weakref
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,15 +24,29 @@ from roomrate.sources.fixture_sql import DRIVER_TABLES, FIXTURE_SQL
 
 RENTAL_TABLES = tuple(FIXTURE_SQL)
 
+# DataFrames are immutable plans: sharing one analysed fixture plan between
+# queries of a session saves re-parsing and re-analysing the fixture SQL.
+_DRIVER_CACHE: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
+
 
 class RentalTables(Mapping[str, DataFrame]):
-    """Named input tables of the pricing jobs."""
+    """Named input tables of the pricing jobs (built lazily, once per name)."""
 
-    def __init__(self, frames: Mapping[str, DataFrame]):
+    def __init__(self, frames: Mapping[str, DataFrame | Callable[[], DataFrame]]):
         self._frames = dict(frames)
+        self._derived: dict[str, DataFrame] = {}
+
+    def derived(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A plan derived from these tables, built once and shared by every job."""
+        if name not in self._derived:
+            self._derived[name] = build()
+        return self._derived[name]
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self._frames[name]
+        frame = self._frames[name]
+        if callable(frame) and not isinstance(frame, DataFrame):
+            frame = self._frames[name] = frame()
+        return frame
 
     def __iter__(self):
         return iter(self._frames)
@@ -40,29 +55,41 @@ class RentalTables(Mapping[str, DataFrame]):
         return len(self._frames)
 
     def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_"):
+            raise AttributeError(name)
         try:
-            return self._frames[name]
+            return self[name]
         except KeyError as exc:
             raise AttributeError(name) from exc
 
     # ------------------------------------------------------------ constructors
     @classmethod
     def from_driver(cls, spark: SparkSession, sf_dir: str, names: Iterable[str] = RENTAL_TABLES) -> "RentalTables":
-        driver = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in DRIVER_TABLES}
-        frames = {}
-        for name in names:
-            sql = FIXTURE_SQL[name]
-            used = {t: df for t, df in driver.items() if "{" + t + "}" in sql}
-            frames[name] = spark.sql(sql, **used)
-        return cls(frames)
+        """Fixture views over the driver tables; one instance per (session, folder)."""
+        key = (sf_dir, tuple(names))
+        cache = _DRIVER_CACHE.setdefault(spark, {})
+        if key not in cache:
+            driver: dict[str, DataFrame] = {}
+
+            def table(t: str) -> DataFrame:
+                if t not in driver:
+                    driver[t] = spark.read.parquet(f"{sf_dir}/{t}.parquet")
+                return driver[t]
+
+            def build(name: str) -> Callable[[], DataFrame]:
+                sql = FIXTURE_SQL[name]
+                return lambda: spark.sql(sql, **{t: table(t) for t in DRIVER_TABLES if "{" + t + "}" in sql})
+
+            cache[key] = cls({name: build(name) for name in key[1]})
+        return cache[key]
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, root: str, names: Iterable[str] = RENTAL_TABLES) -> "RentalTables":
-        return cls({n: spark.read.parquet(f"{root.rstrip('/')}/{n}") for n in names})
+        return cls({n: (lambda n=n: spark.read.parquet(f"{root.rstrip('/')}/{n}")) for n in names})
 
     @classmethod
     def from_catalog(cls, spark: SparkSession, database: str, names: Iterable[str] = RENTAL_TABLES) -> "RentalTables":
-        return cls({n: spark.table(f"{database}.{n}") for n in names})
+        return cls({n: (lambda n=n: spark.table(f"{database}.{n}")) for n in names})
 
     @classmethod
     def from_jdbc(
