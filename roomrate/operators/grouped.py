@@ -56,8 +56,11 @@ def group_quantiles(
     counts = base.groupBy(*keys, _V).agg(F.count(F.lit(1)).alias(_C))
     present = F.col(_V).isNotNull()
 
-    # ordered pieces: a group may span many range partitions (NULLs sort first)
-    ranged = counts.repartitionByRange(*keys, _V).withColumn(_PID, F.spark_partition_id())
+    # ordered pieces: a group may span many range partitions (NULLs sort first).
+    # The partition count is explicit so AQE never coalesces or splits this
+    # exchange: every consumer then sees the same partition id for a row.
+    pieces = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = counts.repartitionByRange(pieces, *keys, _V).withColumn(_PID, F.spark_partition_id())
     piece = Window.partitionBy(_PID, *keys)
     local = ranged.withColumn(
         "__cum",

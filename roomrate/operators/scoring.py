@@ -48,7 +48,7 @@ ENSEMBLE_SCHEMA = T.StructType(
 # compiled expression
 MAX_COMPILED_NODES = 4000
 # refuse to load anything that cannot be a model
-MAX_MODEL_NODES = 5_000_000
+MAX_MODEL_NODES = 1_000_000
 
 
 @dataclass(frozen=True)

@@ -3,8 +3,8 @@
 Replaces the two scripts' global-environment hand-off with explicit inputs
 (tables, models, dates). Two tables are read more than once downstream, so
 they are materialised with reliable ``checkpoint()`` into the shared folder
-named by ``spark.checkpoint.dir``: the community price table (both joins of
-JOB_H) and the rooms with prices attached (the gap report and JOB_I). Losing
+named by ``spark.checkpoint.dir``: the reconciled community rows (both lookup
+tables of JOB_H) and the rooms with prices attached (the gap report and JOB_I). Losing
 an executor after that point recomputes from the checkpoint, not from the
 warehouse scans.
 """
@@ -59,8 +59,8 @@ def price_all(
     ensure_checkpoint_dir(spark)
     own_groups = S.own_group_prices(X.own_standard_pairs(t, as_of), models.own)
     crawl_groups = S.crawl_group_prices(X.crawl_standard_pairs(t, crawl_as_of), models.crawl)
-    std_price = S.reconcile(own_groups, crawl_groups).checkpoint()
-    attached = P.attach_prices(X.rooms_to_price(t, as_of), std_price).checkpoint()
+    rows = S.reconciled_pairs(own_groups, crawl_groups).checkpoint()
+    attached = P.attach_lookups(X.rooms_to_price(t, as_of), S.community_prices(rows), S.block_prices(rows)).checkpoint()
     gaps = P.coverage_gaps(attached)
     prices = P.price_rooms(attached, models.room)
     paths = {}

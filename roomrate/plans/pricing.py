@@ -26,13 +26,22 @@ STD_FACE = 3
 def attach_prices(rooms: DataFrame, std_price: DataFrame) -> DataFrame:
     """JOB_H (JN11, JN12): community price by (city, community), block price by (city, block).
 
-    Both joins match NULL to NULL. A community priced under several blocks
-    repeats its rooms, as in the reference. The rooms are already distinct and
-    each right side is distinct, so the reference's ``distinct()`` after each
-    join cannot remove a row and is not repeated here.
+    ``std_price`` is the JOB_G table (city, block_dk_data, community,
+    xiaoqu_std_price_final, block_std_price). Both joins match NULL to NULL. A
+    community priced under several blocks repeats its rooms, as in the
+    reference. The rooms are already distinct and each right side is distinct,
+    so the reference's ``distinct()`` after each join cannot remove a row and
+    is not repeated here.
     """
     by_community = std_price.select("city", "community", "xiaoqu_std_price_final").distinct()
     by_block = std_price.select("city", "block_dk_data", "block_std_price").distinct()
+    return attach_lookups(rooms, by_community, by_block)
+
+
+def attach_lookups(rooms: DataFrame, by_community: DataFrame, by_block: DataFrame) -> DataFrame:
+    """JOB_H from the two lookup tables (``standard.community_prices`` and
+    ``standard.block_prices`` of the same reconciled rows, which lets the plan
+    share the reconciliation instead of computing it per lookup)."""
     with_community = join_null_safe(rooms, by_community, ["city", "community"], "left")
     return join_null_safe(with_community, by_block, ["city", "block"], "left", right_keys=["city", "block_dk_data"])
 

@@ -111,30 +111,42 @@ def reconciled_pairs(own_groups: DataFrame, crawl_groups: DataFrame) -> DataFram
 
     Columns: city, block_dk_data (NULL for crawl-only communities), community,
     final_dk, final_zr; distinct, as after the reference's ``distinct()``.
+    ``own_groups`` has one row per (city, block, community) (the output of
+    ``own_group_prices``), so it needs no dedup; the crawl side drops its block
+    and is deduplicated.
     """
     own = own_groups.select(
         "city", F.col("block").alias("block_dk_data"), "community", F.col("final_std_room_outprice_pre").alias("final_dk")
-    ).distinct()
+    )
     crawl = crawl_groups.select("city", "community", F.col("final_std_room_outprice_pre").alias("final_zr")).distinct()
     full = join_null_safe(own, crawl, ["city", "community"], "full")
     return full.select("city", "block_dk_data", "community", "final_dk", "final_zr").distinct()
 
 
+def block_prices(rows: DataFrame) -> DataFrame:
+    """WIN3 + ENC15 per group: one block price per (city, block_dk_data)."""
+    return rows.groupBy("city", "block_dk_data").agg(
+        F.coalesce(exact_avg("final_dk"), exact_avg("final_zr")).alias("block_std_price")
+    )
+
+
+def community_prices(rows: DataFrame) -> DataFrame:
+    """ENC14: the community price(s) per (city, community), own listings first."""
+    return rows.select("city", "community", F.coalesce("final_dk", "final_zr").alias("xiaoqu_std_price_final")).distinct()
+
+
 def reconcile(own_groups: DataFrame, crawl_groups: DataFrame) -> DataFrame:
     """JOB_G: one price per community and block, own listings first (ENC14, ENC15, WIN3)."""
     rows = reconciled_pairs(own_groups, crawl_groups)
     block = ["city", "block_dk_data"]
-    means = rows.groupBy(*block).agg(
-        exact_avg("final_dk").alias("block_price_danke"), exact_avg("final_zr").alias("block_price_ziroom")
-    )
     return (
-        attach(rows, means, block)
+        attach(rows, block_prices(rows), block)
         .select(
             "city",
             "block_dk_data",
             "community",
             F.coalesce("final_dk", "final_zr").alias("xiaoqu_std_price_final"),
-            F.coalesce("block_price_danke", "block_price_ziroom").alias("block_std_price"),
+            "block_std_price",
         )
         .distinct()
     )

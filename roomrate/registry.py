@@ -278,8 +278,16 @@ def _std_price(t: RentalTables) -> DataFrame:
     return t.derived("std_price", lambda: S.reconcile(*_groups(t)))
 
 
+def _reconciled_rows(t: RentalTables) -> DataFrame:
+    return t.derived("reconciled_rows", lambda: S.reconciled_pairs(*_groups(t)))
+
+
 def _attached(t: RentalTables) -> DataFrame:
-    return t.derived("attached", lambda: P.attach_prices(X.rooms_to_price(t), _std_price(t)))
+    def build():
+        rows = _reconciled_rows(t)
+        return P.attach_lookups(X.rooms_to_price(t), S.community_prices(rows), S.block_prices(rows))
+
+    return t.derived("attached", build)
 
 
 def q_score_room(spark, sf):
@@ -304,7 +312,7 @@ def q_crawl_quantile(spark, sf):
 
 
 def q_reconcile_full_join(spark, sf):
-    rows = S.reconciled_pairs(*_groups(_t(spark, sf)))
+    rows = _reconciled_rows(_t(spark, sf))
     return rows.withColumn("xiaoqu_std_price_final", F.coalesce("final_dk", "final_zr"))
 
 
