@@ -40,12 +40,15 @@ def group_quantiles(
     value: str | Column,
     probs: Mapping[str, float],
     na_poisons: bool = False,
+    pieces: int | None = None,
 ) -> DataFrame:
     """Exact type-7 quantiles of ``value`` per group: one row per group.
 
     ``probs`` maps output column -> probability. NULL values are left out of the
     ranking; with ``na_poisons`` (R without ``na.rm``) any NULL in a group makes
     every quantile of that group NULL. A group with no non-NULL value gets NULL.
+    ``pieces`` is the number of ordered range partitions the (group, value)
+    counts are split into (default: ``spark.sql.shuffle.partitions``).
     """
     keys = list(keys)
     val = F.col(value) if isinstance(value, str) else value
@@ -59,7 +62,7 @@ def group_quantiles(
     # ordered pieces: a group may span many range partitions (NULLs sort first).
     # The partition count is explicit so AQE never coalesces or splits this
     # exchange: every consumer then sees the same partition id for a row.
-    pieces = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pieces = pieces or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = counts.repartitionByRange(pieces, *keys, _V).withColumn(_PID, F.spark_partition_id())
     piece = Window.partitionBy(_PID, *keys)
     local = ranged.withColumn(
