@@ -111,7 +111,9 @@ def _own_standard_pairs(t: RentalTables, as_of: dt.date = AS_OF) -> DataFrame:
     )
     xq = t["xiaoqus"].select(F.col("id").alias("xiaoqu_id"), "city", "block", F.col("name").alias("community"))
     suites = suites.join(xq, "xiaoqu_id").where(recency_filter(F.col("ready_for_rent_date"), F.col("city"), as_of))
-    daily = t["f_bi_sfinfor_day"].select("suite_id", "before_room_num")
+    # daily facts hold one row per suite and day: only the distinct
+    # (suite, before_room_num) pairs can reach the DISTINCT output
+    daily = t["f_bi_sfinfor_day"].select("suite_id", "before_room_num").distinct()
     joined = (
         rooms.join(suites, "suite_id")
         .join(daily, "suite_id")
@@ -241,27 +243,36 @@ def _rooms_to_price(t: RentalTables, as_of: dt.date = AS_OF) -> DataFrame:
         & ~F.col("address").contains(WORKSTATION)
         & F.col("ready_for_rent_date").isNotNull()
     )
-    icontract = signed_contracts(t["contract_with_landlords"], as_of).select(
-        "suite_id", "origin_bedroom_num", "house_pricing_id"
-    )
-    in_dk = landlord_price_in_force(t["landlord_payment_schedules"], t["contract_with_landlords"], as_of)
-    mm = t["suite_decorations"].select("suite_id", "supplier_end_date")
+    # The contract and decoration joins fan out per suite and the extract ends
+    # in DISTINCT. Only (origin_bedroom_num, sales wish price) of a contract
+    # and the supplier end date of a decoration reach the output, so each side
+    # is reduced to its distinct (suite, used columns) first: the same final
+    # rows, but a suite with many contracts and decorations no longer emits
+    # every contract x decoration pair before the DISTINCT.
     hp = t["house_pricing"].select(
         F.col("id").alias("house_pricing_id"), F.col("sales_wish_sum_price_yuan").alias("pre_total_outpr")
     )
+    icontract = (
+        signed_contracts(t["contract_with_landlords"], as_of)
+        .select("suite_id", "origin_bedroom_num", "house_pricing_id")
+        .join(hp, "house_pricing_id", "left")
+        .select("suite_id", "origin_bedroom_num", "pre_total_outpr")
+        .distinct()
+    )
+    in_dk = landlord_price_in_force(t["landlord_payment_schedules"], t["contract_with_landlords"], as_of)
+    mm = t["suite_decorations"].select("suite_id", "supplier_end_date").distinct()
     end_date = F.coalesce(F.col("supplier_end_date"), F.col("zhuangxiu_end_date"))
     joined = (
         a1.where(listed)
         .join(icost, "suite_id")
         .join(bb1, "suite_id")
-        .join(icontract, "suite_id")
         .join(in_dk, "suite_id", "left")
         .join(mm, "suite_id", "left")
         .where(
             (F.col("city").isin(*DEADLINE_CITIES) & (end_date <= F.lit(as_of + dt.timedelta(days=DEADLINE_DAYS))))
             | F.col("city").isin(*OPEN_CITIES)
         )
-        .join(hp, "house_pricing_id", "left")
+        .join(icontract, "suite_id")
     )
     return joined.select(
         "city",
