@@ -29,7 +29,7 @@ def join_null_safe(
     """Join on ``keys`` where NULL equals NULL.
 
     ``right_keys`` names the right-hand columns when they differ (dplyr
-    ``by = c("block" = "block.dk_data")``). The result has one copy of each key
+    ``by = c("block" = <own block column>)``). The result has one copy of each key
     under the left name; for a full join it is the coalesce of both sides.
     Non-key column names must not clash (rename before joining).
     """

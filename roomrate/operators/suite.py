@@ -22,8 +22,8 @@ WORKSTATION = "工作站"
 APPROVED = ("审批通过", "特批通过")
 SIGNED = "已签约"
 SIGNED_OR_PENDING = ("已签约", "签约待确认")
-TYPE_DANKE = "蛋壳"
-TYPE_LANJING = "蓝鲸"
+TYPE_OWN_BRAND = "蛋壳"
+TYPE_PARTNER_BRAND = "蓝鲸"
 NO = "无"
 
 BUDGET_TERMS = ("decoration", "furniture", "appliance", "allocation", "operation", "follow_operation")
@@ -115,7 +115,7 @@ def signed_contracts(contracts: DataFrame, as_of: dt.date) -> DataFrame:
     return contracts.where(
         (F.col("status") == SIGNED)
         & (F.col("sign_date") <= F.lit(as_of))
-        & ((F.col("suite_id").isNotNull() & t.startswith(TYPE_DANKE)) | t.startswith(TYPE_LANJING))
+        & ((F.col("suite_id").isNotNull() & t.startswith(TYPE_OWN_BRAND)) | t.startswith(TYPE_PARTNER_BRAND))
     )
 
 
@@ -128,7 +128,7 @@ def landlord_price_in_force(schedules: DataFrame, contracts: DataFrame, as_of: d
     ).select("contract_id", "monthly_price")
     con = contracts.where(
         F.col("suite_id").isNotNull()
-        & F.col("type").startswith(TYPE_DANKE)
+        & F.col("type").startswith(TYPE_OWN_BRAND)
         & F.col("status").isin(*SIGNED_OR_PENDING)
     ).select(F.col("id").alias("contract_id"), "suite_id", "months", "free_days")
     return (

@@ -259,14 +259,14 @@ def _rooms_to_price(t: RentalTables, as_of: dt.date = AS_OF) -> DataFrame:
         .select("suite_id", "origin_bedroom_num", "pre_total_outpr")
         .distinct()
     )
-    in_dk = landlord_price_in_force(t["landlord_payment_schedules"], t["contract_with_landlords"], as_of)
+    in_force = landlord_price_in_force(t["landlord_payment_schedules"], t["contract_with_landlords"], as_of)
     mm = t["suite_decorations"].select("suite_id", "supplier_end_date").distinct()
     end_date = F.coalesce(F.col("supplier_end_date"), F.col("zhuangxiu_end_date"))
     joined = (
         a1.where(listed)
         .join(icost, "suite_id")
         .join(bb1, "suite_id")
-        .join(in_dk, "suite_id", "left")
+        .join(in_force, "suite_id", "left")
         .join(mm, "suite_id", "left")
         .where(
             (F.col("city").isin(*DEADLINE_CITIES) & (end_date <= F.lit(as_of + dt.timedelta(days=DEADLINE_DAYS))))

@@ -26,7 +26,7 @@ STD_FACE = 3
 def attach_prices(rooms: DataFrame, std_price: DataFrame) -> DataFrame:
     """JOB_H (JN11, JN12): community price by (city, community), block price by (city, block).
 
-    ``std_price`` is the JOB_G table (city, block_dk_data, community,
+    ``std_price`` is the JOB_G table (city, own_block, community,
     xiaoqu_std_price_final, block_std_price). Both joins match NULL to NULL. A
     community priced under several blocks repeats its rooms, as in the
     reference. The rooms are already distinct and each right side is distinct,
@@ -34,7 +34,7 @@ def attach_prices(rooms: DataFrame, std_price: DataFrame) -> DataFrame:
     is not repeated here.
     """
     by_community = std_price.select("city", "community", "xiaoqu_std_price_final").distinct()
-    by_block = std_price.select("city", "block_dk_data", "block_std_price").distinct()
+    by_block = std_price.select("city", "own_block", "block_std_price").distinct()
     return attach_lookups(rooms, by_community, by_block)
 
 
@@ -43,7 +43,7 @@ def attach_lookups(rooms: DataFrame, by_community: DataFrame, by_block: DataFram
     ``standard.block_prices`` of the same reconciled rows, which lets the plan
     share the reconciliation instead of computing it per lookup)."""
     with_community = join_null_safe(rooms, by_community, ["city", "community"], "left")
-    return join_null_safe(with_community, by_block, ["city", "block"], "left", right_keys=["city", "block_dk_data"])
+    return join_null_safe(with_community, by_block, ["city", "block"], "left", right_keys=["city", "own_block"])
 
 
 def coverage_gaps(priced: DataFrame) -> DataFrame:

@@ -103,49 +103,49 @@ def crawl_standard_prices(pairs: DataFrame, model: TreeModel) -> DataFrame:
     return attach(scored, crawl_group_prices(pairs, model), GROUP)
 
 
-STD_PRICE_COLUMNS = ("city", "block_dk_data", "community", "xiaoqu_std_price_final", "block_std_price")
+STD_PRICE_COLUMNS = ("city", "own_block", "community", "xiaoqu_std_price_final", "block_std_price")
 
 
 def reconciled_pairs(own_groups: DataFrame, crawl_groups: DataFrame) -> DataFrame:
     """JN10: full join of the two sources on (city, community), NULL matching NULL.
 
-    Columns: city, block_dk_data (NULL for crawl-only communities), community,
-    final_dk, final_zr; distinct, as after the reference's ``distinct()``.
+    Columns: city, own_block (NULL for crawl-only communities), community,
+    final_own, final_crawl; distinct, as after the reference's ``distinct()``.
     ``own_groups`` has one row per (city, block, community) (the output of
     ``own_group_prices``), so it needs no dedup; the crawl side drops its block
     and is deduplicated.
     """
     own = own_groups.select(
-        "city", F.col("block").alias("block_dk_data"), "community", F.col("final_std_room_outprice_pre").alias("final_dk")
+        "city", F.col("block").alias("own_block"), "community", F.col("final_std_room_outprice_pre").alias("final_own")
     )
-    crawl = crawl_groups.select("city", "community", F.col("final_std_room_outprice_pre").alias("final_zr")).distinct()
+    crawl = crawl_groups.select("city", "community", F.col("final_std_room_outprice_pre").alias("final_crawl")).distinct()
     full = join_null_safe(own, crawl, ["city", "community"], "full")
-    return full.select("city", "block_dk_data", "community", "final_dk", "final_zr").distinct()
+    return full.select("city", "own_block", "community", "final_own", "final_crawl").distinct()
 
 
 def block_prices(rows: DataFrame) -> DataFrame:
-    """WIN3 + ENC15 per group: one block price per (city, block_dk_data)."""
-    return rows.groupBy("city", "block_dk_data").agg(
-        F.coalesce(exact_avg("final_dk"), exact_avg("final_zr")).alias("block_std_price")
+    """WIN3 + ENC15 per group: one block price per (city, own_block)."""
+    return rows.groupBy("city", "own_block").agg(
+        F.coalesce(exact_avg("final_own"), exact_avg("final_crawl")).alias("block_std_price")
     )
 
 
 def community_prices(rows: DataFrame) -> DataFrame:
     """ENC14: the community price(s) per (city, community), own listings first."""
-    return rows.select("city", "community", F.coalesce("final_dk", "final_zr").alias("xiaoqu_std_price_final")).distinct()
+    return rows.select("city", "community", F.coalesce("final_own", "final_crawl").alias("xiaoqu_std_price_final")).distinct()
 
 
 def reconcile(own_groups: DataFrame, crawl_groups: DataFrame) -> DataFrame:
     """JOB_G: one price per community and block, own listings first (ENC14, ENC15, WIN3)."""
     rows = reconciled_pairs(own_groups, crawl_groups)
-    block = ["city", "block_dk_data"]
+    block = ["city", "own_block"]
     return (
         attach(rows, block_prices(rows), block)
         .select(
             "city",
-            "block_dk_data",
+            "own_block",
             "community",
-            F.coalesce("final_dk", "final_zr").alias("xiaoqu_std_price_final"),
+            F.coalesce("final_own", "final_crawl").alias("xiaoqu_std_price_final"),
             "block_std_price",
         )
         .distinct()

@@ -2,9 +2,9 @@
 
 Each entry takes ``(spark, sf_dir)``, derives the rental tables from the
 driver tables in ``sf_dir`` and returns a lazy DataFrame over the whole
-tables. Double columns listed in ``ROUNDED`` are rounded to 4 places (here and
-in the oracle SQL) because summation order and interpolation formulas differ
-in the last bits between engines.
+tables. The double columns listed with each entry of ``SPECS`` are rounded to
+4 places (here and in the oracle SQL, with the same formula) because
+interpolation formulas differ in the last bits between engines.
 """
 
 from __future__ import annotations
@@ -313,7 +313,7 @@ def q_crawl_quantile(spark, sf):
 
 def q_reconcile_full_join(spark, sf):
     rows = _reconciled_rows(_t(spark, sf))
-    return rows.withColumn("xiaoqu_std_price_final", F.coalesce("final_dk", "final_zr"))
+    return rows.withColumn("xiaoqu_std_price_final", F.coalesce("final_own", "final_crawl"))
 
 
 def q_block_means(spark, sf):
@@ -426,7 +426,7 @@ SPECS: dict[str, tuple[Query, tuple[str, ...]]] = {
     "score_room": (q_score_room, ("block_std_price", "room_pred")),
     "own_median": (q_own_median, ("std_room_outprice_pre", "final_std_room_outprice_pre")),
     "crawl_quantile": (q_crawl_quantile, ("std_room_outprice_pre", "final_std_room_outprice_pre")),
-    "reconcile_full_join": (q_reconcile_full_join, ("final_dk", "final_zr", "xiaoqu_std_price_final")),
+    "reconcile_full_join": (q_reconcile_full_join, ("final_own", "final_crawl", "xiaoqu_std_price_final")),
     "block_means": (q_block_means, ("xiaoqu_std_price_final", "block_std_price")),
     "attach_prices": (q_attach_prices, ("xiaoqu_std_price_final", "block_std_price")),
     "coverage_gaps": (q_coverage_gaps, ()),

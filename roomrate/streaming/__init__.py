@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The pricing job is a daily batch over warehouse tables with an explicit
+``as_of`` date; it has no stream, watermark, window over event time or state,
+so nothing here is built (see README, "What is re-aimed or left out").
+"""

@@ -16,7 +16,7 @@ def test_block_mean_counts_duplicated_own_price(spark):
     own = spark.createDataFrame([("北京市", "B", "c1", 100.0), ("北京市", "B", "c2", 400.0)], GROUP_SCHEMA)
     crawl = spark.createDataFrame([("北京市", "x", "c1", 10.0), ("北京市", "y", "c1", 20.0)], GROUP_SCHEMA)
     out = S.reconcile(own, crawl).collect()
-    block = {r["block_std_price"] for r in out if r["block_dk_data"] == "B"}
+    block = {r["block_std_price"] for r in out if r["own_block"] == "B"}
     assert block == {(100.0 + 100.0 + 400.0) / 3}
 
 
@@ -24,7 +24,7 @@ def test_crawl_only_block_fallback(spark):
     own = spark.createDataFrame([("北京市", "B", "c1", 100.0)], GROUP_SCHEMA)
     crawl = spark.createDataFrame([("北京市", "x", "c9", 50.0), ("北京市", "y", "c8", 70.0)], GROUP_SCHEMA)
     out = {r["community"]: r for r in S.reconcile(own, crawl).collect()}
-    assert out["c9"]["block_dk_data"] is None
+    assert out["c9"]["own_block"] is None
     assert out["c9"]["block_std_price"] == 60.0  # city-wide crawl-only mean
     assert out["c9"]["xiaoqu_std_price_final"] == 50.0
     assert out["c1"]["block_std_price"] == 100.0
@@ -38,9 +38,9 @@ def test_dedup_first_equals_rowlevel_full_join(spark):
     crawl_rows = spark.createDataFrame(
         [("a", "x", "c1", 5.0), ("a", "x", "c1", 5.0), ("a", "y", "c1", 6.0), (None, "z", "c3", 7.0), ("b", "z", "c4", 8.0)], GROUP_SCHEMA
     )
-    l = own_rows.select("city", F.col("block").alias("block_dk_data"), "community", F.col("final_std_room_outprice_pre").alias("final_dk"))
-    r = crawl_rows.select("city", "community", F.col("final_std_room_outprice_pre").alias("final_zr"))
-    rowlevel = join_null_safe(l, r, ["city", "community"], "full").select("city", "block_dk_data", "community", "final_dk", "final_zr").distinct()
+    l = own_rows.select("city", F.col("block").alias("own_block"), "community", F.col("final_std_room_outprice_pre").alias("final_own"))
+    r = crawl_rows.select("city", "community", F.col("final_std_room_outprice_pre").alias("final_crawl"))
+    rowlevel = join_null_safe(l, r, ["city", "community"], "full").select("city", "own_block", "community", "final_own", "final_crawl").distinct()
     fast = S.reconciled_pairs(own_rows, crawl_rows)
     assert sorted(map(tuple, rowlevel.collect()), key=str) == sorted(map(tuple, fast.collect()), key=str)
 
@@ -51,7 +51,7 @@ def test_coverage_gap_and_multi_block_fanout(spark):
     )
     std = spark.createDataFrame(
         [("北京市", "B", "c1", 100.0, 90.0), ("北京市", "C", "c1", 120.0, 95.0)],
-        "city string, block_dk_data string, community string, xiaoqu_std_price_final double, block_std_price double",
+        "city string, own_block string, community string, xiaoqu_std_price_final double, block_std_price double",
     )
     priced = P.attach_prices(rooms, std)
     rows = priced.collect()
