@@ -26,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -151,14 +151,19 @@ def _flatten(model: TreeModel, features: Sequence[str]):
 
 
 def udf_score(model: TreeModel, feats: Mapping[str, Column], float32: bool = True) -> Column:
-    """The model as an Arrow-batched pandas UDF (all trees walked together)."""
+    """The model as an Arrow-batched pandas UDF (all trees walked together).
+
+    The flattened node arrays (bounded by ``MAX_MODEL_NODES``) travel as one
+    broadcast variable, fetched once per executor instead of inside every task.
+    """
     names = model.features
     feat, split, yes, no, miss, leaf, roots, depth = _flatten(model, names)
     dtype = np.float32 if float32 else np.float64
-    split_c = split.astype(dtype)
+    nodes = SparkSession.active().sparkContext.broadcast((feat, split.astype(dtype), yes, no, miss, leaf, roots))
 
     @F.pandas_udf(T.DoubleType())
     def _score(batch: pd.DataFrame) -> pd.Series:
+        feat, split_c, yes, no, miss, leaf, roots = nodes.value
         X = batch.to_numpy(dtype=np.float64, na_value=np.nan).astype(dtype)
         n = X.shape[0]
         idx = np.broadcast_to(roots, (n, roots.size)).copy()
