@@ -103,3 +103,27 @@ def test_month_in_interval(spark):
     )
     got = [r[0] for r in df.select(month_in_interval(as_of, "s", "e")).collect()]
     assert got == [True, False, True, False]
+
+
+def _r_snap(r):
+    # R: m <- r %% 100 (floored); ifelse chain of the pricing script
+    m = r - 100 * math.floor(r / 100)
+    if m <= 30:
+        return r - m + 30
+    if m <= 60:
+        return r - m + 60
+    return r - m + 90
+
+
+def test_snap_matches_r_rule(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=5, deadline=None)
+    @given(st.lists(st.floats(min_value=-1e6, max_value=1e6, allow_nan=False).map(lambda x: round(x, 2)), min_size=1, max_size=200))
+    def check(values):
+        got = one_col(spark, values, snap_price)
+        for r, s in zip(values, got):
+            assert s == pytest.approx(_r_snap(r), abs=1e-6)
+
+    check()
