@@ -68,3 +68,13 @@ def test_anti_and_semi_partition_the_rooms(spark, tables_small):
     ever = ever_available_suites(tables_small["rooms"])
     anti, semi = base.join(ever, "suite_id", "left_anti"), base.join(ever, "suite_id", "left_semi")
     assert anti.count() + semi.count() == base.count()
+
+
+def test_checkpoint_dir_comes_from_the_session(spark):
+    from roomrate.session import ensure_checkpoint_dir
+
+    folder = ensure_checkpoint_dir(spark)
+    assert folder  # already wired (earlier pipeline test) or set from spark.checkpoint.dir / local scratch
+    assert ensure_checkpoint_dir(spark) == folder  # idempotent: never replaced once set
+    df = spark.range(10).checkpoint()  # reliable checkpoint works against it
+    assert df.count() == 10
