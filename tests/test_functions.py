@@ -127,3 +127,51 @@ def test_snap_matches_r_rule(spark):
             assert s == pytest.approx(_r_snap(r), abs=1e-6)
 
     check()
+
+
+def _mysql_leading_int(s):
+    # leading ASCII whitespace (what MySQL skips) and sign, then digits; NULL
+    # (our choice; MySQL gives 0) when there are none
+    import re
+
+    m = re.match(r"^[ \t\n\x0b\f\r]*([+-]?[0-9]+)", s)
+    return int(m.group(1)) if m else None
+
+
+def test_lenient_int_property(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    texts = st.one_of(
+        st.from_regex(r"\A\s{0,2}[+-]?[0-9]{1,6}[室厅a-z.]{0,3}[0-9]{0,2}\Z"),
+        st.text(alphabet="0123456789 +-.室x", max_size=8),
+    )
+
+    @settings(max_examples=5, deadline=None)
+    @given(st.lists(texts, min_size=1, max_size=100))
+    def check(values):
+        got = one_col(spark, values, lenient_int, "string")
+        assert got == [_mysql_leading_int(v) for v in values]
+
+    check()
+
+
+def test_r_div_property(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    num = st.one_of(st.just(0.0), st.floats(min_value=-1e6, max_value=1e6, allow_nan=False))
+
+    @settings(max_examples=5, deadline=None)
+    @given(st.lists(st.tuples(num, num), min_size=1, max_size=100))
+    def check(pairs):
+        df = spark.createDataFrame(pairs, "a double, b double")
+        got = [r[0] for r in df.select(r_div("a", "b")).collect()]
+        for (a, b), g in zip(pairs, got):
+            if b == 0:
+                want = math.inf if a > 0 else (-math.inf if a < 0 else None)
+                assert g == want
+            else:
+                assert g == a / b
+
+    check()
