@@ -32,6 +32,7 @@ from roomrate.operators.joins import join_null_safe
 _V = "__v"
 _C = "__c"
 _PID = "__pid"
+_G = "__g"
 
 
 def group_quantiles(
@@ -52,39 +53,43 @@ def group_quantiles(
     """
     keys = list(keys)
     val = F.col(value) if isinstance(value, str) else value
-    base = df.select(*[F.col(k) for k in keys], val.cast("double").alias(_V))
+    # The group keys travel as one non-NULL struct: struct equality treats NULL
+    # fields as equal (NULL keys form a group), so the internal join below is a
+    # plain equi-join on the very columns the per-piece window is partitioned
+    # by, and the large counts table is not shuffled a second time for it.
+    base = df.select(F.struct(*[F.col(k) for k in keys]).alias(_G), val.cast("double").alias(_V))
 
     # one row per distinct (group, value), NULL values as their own row: a hot
     # group shrinks to its distinct values, and every group keeps a row
-    counts = base.groupBy(*keys, _V).agg(F.count(F.lit(1)).alias(_C))
+    counts = base.groupBy(_G, _V).agg(F.count(F.lit(1)).alias(_C))
     present = F.col(_V).isNotNull()
 
     # ordered pieces: a group may span many range partitions (NULLs sort first).
     # The partition count is explicit so AQE never coalesces or splits this
     # exchange: every consumer then sees the same partition id for a row.
     pieces = pieces or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = counts.repartitionByRange(pieces, *keys, _V).withColumn(_PID, F.spark_partition_id())
-    piece = Window.partitionBy(_PID, *keys)
+    ranged = counts.repartitionByRange(pieces, _G, _V).withColumn(_PID, F.spark_partition_id())
+    piece = Window.partitionBy(_PID, _G)
     local = ranged.withColumn(
         "__cum",
         F.sum(F.when(present, F.col(_C)).otherwise(F.lit(0))).over(piece.orderBy(_V).rowsBetween(Window.unboundedPreceding, 0)),
     )
 
     # per piece totals -> offset of each piece inside its group (small: pieces x groups)
-    totals = local.groupBy(_PID, *keys).agg(
+    totals = local.groupBy(_PID, _G).agg(
         F.sum(F.when(present, F.col(_C)).otherwise(F.lit(0))).alias("__t"),
         F.sum(F.when(~present, F.col(_C)).otherwise(F.lit(0))).alias("__tn"),
     )
-    by_group = Window.partitionBy(*keys)
+    by_group = Window.partitionBy(_G)
     totals = totals.select(
         _PID,
-        *keys,
+        _G,
         F.coalesce(F.sum("__t").over(by_group.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"),
         F.sum("__t").over(by_group).alias("__n"),
         F.sum("__tn").over(by_group).alias("__nulls"),
     )
 
-    ranked = join_null_safe(local, totals, [_PID, *keys], "inner")
+    ranked = local.join(totals, [_PID, _G], "inner")
     hi_cum = F.col("__off") + F.col("__cum")  # non-NULL rows of the group up to and including this value
     lo_cum = hi_cum - F.col(_C)  # rows strictly below; this value holds ranks [lo_cum, hi_cum)
 
@@ -110,7 +115,8 @@ def group_quantiles(
     for c in picks[1:]:
         keep = keep | c
     # at most (1 + 2 * len(probs)) rows per group survive the filter
-    return ranked.where(keep).groupBy(*keys).agg(*aggs).select(*keys, *finals)
+    chosen = ranked.where(keep).groupBy(_G).agg(*aggs)
+    return chosen.select(*[F.col(_G).getField(k).alias(k) for k in keys], *finals)
 
 
 def group_aggregates(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
