@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, langid, mix, toxicity, url_rules
+from . import exact_dedup, langid, mix, packing, pseudonyms, quality, toxicity, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,15 +15,18 @@ def _over(table: str, fn: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: fn(spark.read.parquet(f"{sf_dir}/{table}.parquet"))
 
 
-def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return toxicity.scores(*(spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels")))
+def _labelled(fn: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: fn(*(spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels")))
 
 
 def queries() -> dict[str, Query]:
     return {
         "op2_url_rules": _over("pages", url_rules.verdicts),
-        "op5_toxicity": _op5,
+        "op3_packing": _over("documents", packing.packed),
+        "op4_quality": _labelled(quality.verdicts),
+        "op5_toxicity": _labelled(toxicity.scores),
         "op7_langid": _over("documents", langid.predictions),
+        "op8_pseudonyms": _over("documents", pseudonyms.pseudonymised),
         "op9_mix": _over("documents", mix.taken),
         "op10_exact_dedup": _over("documents", exact_dedup.verdicts),
     }
