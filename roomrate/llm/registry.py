@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, langid, mix, packing, pseudonyms, quality, toxicity, url_rules
+from . import exact_dedup, html_text, langid, mix, packing, pseudonyms, quality, toxicity, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,7 @@ def queries() -> dict[str, Query]:
         "op3_packing": _over("documents", packing.packed),
         "op4_quality": _labelled(quality.verdicts),
         "op5_toxicity": _labelled(toxicity.scores),
+        "op6_html_text": _over("pages", html_text.extracted),
         "op7_langid": _over("documents", langid.predictions),
         "op8_pseudonyms": _over("documents", pseudonyms.pseudonymised),
         "op9_mix": _over("documents", mix.taken),
