@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, html_text, langid, mix, packing, pseudonyms, quality, toxicity, url_rules
+from . import exact_dedup, html_text, langid, mix, ngram_join, packing, pseudonyms, quality, toxicity, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,7 @@ def _labelled(fn: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_ngram_join": _over("documents", ngram_join.groups),
         "op2_url_rules": _over("pages", url_rules.verdicts),
         "op3_packing": _over("documents", packing.packed),
         "op4_quality": _labelled(quality.verdicts),
