@@ -285,7 +285,8 @@ def classes_and_links(docs: DataFrame, text_col: str) -> tuple[DataFrame, DataFr
 
 
 def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix: str = "__near_") -> DataFrame:
-    """The columns of ``docs`` but the text, plus n_shingles and component_id named by ``prefix``.
+    """The columns of ``docs`` but the text, plus n_shingles, component_id and root (the
+    component's name among sets, null without words) named by ``prefix``.
 
     Null and empty texts and texts without words have no shingle and link with nothing. A
     null id never names a component that has another id. Repeated rows are equal sets.
@@ -297,11 +298,13 @@ def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pre
     node = node.join(edges.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left")
     node = node.select("node", F.coalesce("root", "node").alias("root"), "low")
     roots = node.groupBy("root").agg(F.min("low").alias("component"))
-    node = node.join(roots, "root").select(F.col("node").alias("__node"), F.col("component").alias(f"{prefix}component_id"))
+    node = node.join(roots, "root").select(
+        F.col("node").alias("__node"), F.col("component").alias(f"{prefix}component_id"), F.col("root").alias(f"{prefix}root")
+    )
     out = rows.join(node, F.col("s.node") == F.col("__node"), "left")
     component = F.when(F.col("s.n") > 0, F.col(f"{prefix}component_id")).otherwise(ident)
     rest = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
-    return out.select(*rest, F.col("s.n").alias(f"{prefix}n_shingles"), component.alias(f"{prefix}component_id"))
+    return out.select(*rest, F.col("s.n").alias(f"{prefix}n_shingles"), component.alias(f"{prefix}component_id"), f"{prefix}root")
 
 
 def groups(docs: DataFrame) -> DataFrame:
@@ -318,10 +321,8 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     has_word = text.rlike(r"[^\x20\x09-\x0D]")
     some = docs.filter(has_word)
     marked = grouped(some.select(ident.alias("id"), key.alias("k"), text.alias("t")), "id", "t")
-    # the row that carries its component's name; components without any id keep all their sets
-    named = marked.filter(F.col("id") == F.col("__near_component_id")).groupBy("id").agg(F.min("k").alias("k"))
-    nameless = marked.filter(F.col("__near_component_id").isNull()).select("id", "k").distinct()
-    kept = named.union(nameless).select(F.col("id").alias("__id"), F.col("k").alias("__k"))
+    best = marked.groupBy("__near_root").agg(F.min(F.struct(F.col("id").isNull(), "id", "k")).alias("b"))
+    kept = best.select(F.col("b.id").alias("__id"), F.col("b.k").alias("__k"))
     whole = some.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), ident.alias("id"), key.alias("k"))
     found = whole.join(kept, F.col("id").eqNullSafe(F.col("__id")) & (F.col("k") == F.col("__k")))
     found = found.dropDuplicates(["__id", "__k"]).select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
