@@ -11,12 +11,13 @@ ceil(0.85 n) of its shingles. DivideSkip splits the inverted lists of a set by l
 * Long lists: the frequent shingles left over are never read as lists. For a candidate
   they are binary-probed in its sorted set, which gives the exact overlap.
 
-Equal sets are one class before the search, and no list is expanded into pairs: each list
-names one pivot, a class is checked against the pivot it meets in most lists, and links
-become connected components. Only lists that still hold two or more components are joined
-with themselves, for pairs of different components. So a large group of near copies costs
-one check a member, and every pair that could link two components is checked: the result
-is exact.
+Equal sets are one class before the search. In the first round each list names one pivot,
+a class is checked against the pivot it meets in most lists, and links become connected
+components. The second round takes the lists that still hold two or more components: short
+ones are joined with themselves, for pairs of different components; long ones (many
+variants of one text that do not link with each other) are cut into blocks of bounded size,
+and the DivideSkip search runs inside every pair of blocks of a group, without emitting
+pairs. Every pair that could link two components is checked, so the result is exact.
 
 The count of frequent shingles only decides the order, that is, the cost. It keeps the
 ``FREQUENT`` most frequent ones (6 MB, broadcast); the result is the same at any bound.
@@ -44,6 +45,10 @@ FREQUENT = 1 << 19
 #: Lists of shingles counted at least so often get their pivot by an aggregate and a join that
 #: can be split; shorter ones by a window.
 HOT = 500
+#: Open lists of more classes are searched in blocks instead of joined with themselves.
+LONG_LIST = 64
+#: A block holds about so many classes and shingles at most (two of them meet in a task).
+BLOCK_SETS, BLOCK_SHINGLES = 1500, 1_000_000
 _CHUNK = 3_000_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -93,6 +98,88 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return DEN * both >= NUM * (len(a) + len(b) - both)
 
 
+def divide_skip(sets: list[np.ndarray], parts: list, queries: np.ndarray, index: np.ndarray) -> list[tuple[int, int]]:
+    """Links (query, indexed) that join different parts, found by merging and probing inverted lists.
+
+    ``parts`` names the component each set is known to be in; a link between two sets of
+    one component (known before or found on the way) is not looked for. With ``queries`` equal
+    to ``index`` every pair is met once.
+    """
+    same = queries is index
+    size = np.array([len(s) for s in sets], np.int64)
+    flat = np.concatenate([sets[i] for i in index])
+    order = np.argsort(flat, kind="stable")
+    postings = np.repeat(np.arange(len(index)), size[index])[order]
+    tokens, start = np.unique(flat[order], return_index=True)
+    end = np.r_[start[1:], len(flat)]
+    number = {p: i for i, p in enumerate(dict.fromkeys(parts))}
+    part = np.array([number[p] for p in parts], np.int64)
+    links = []
+    for k, q in enumerate(queries.tolist()):
+        s, n = sets[q], size[q]
+        t = required(n)
+        at = np.minimum(np.searchsorted(tokens, s), len(tokens) - 1)
+        at = at[tokens[at] == s]
+        if len(at) < t:
+            continue
+        at = at[np.argsort(end[at] - start[at], kind="stable")]
+        skip = min(t - 1, t // 4)  # the longest lists are probed, not merged
+        short, long_ = at[: len(at) - skip], at[len(at) - skip :]
+        count = np.bincount(np.concatenate([postings[start[a] : end[a]] for a in short]), minlength=len(index))
+        other = size[index]
+        fit = (count >= t - skip) & (part[index] != part[q]) & (DEN * np.minimum(other, n) >= NUM * np.maximum(other, n))
+        if same:
+            fit[k:] = False
+        found = np.flatnonzero(fit)
+        if not len(found):
+            continue
+        both = count[found]
+        for a in long_:
+            run = postings[start[a] : end[a]]
+            p = np.minimum(np.searchsorted(run, found), len(run) - 1)
+            both = both + (run[p] == found)
+        for j in index[found[DEN * both >= NUM * (n + other[found] - both)]].tolist():
+            if part[j] != part[q]:
+                part[part == part[j]] = part[q]
+                links.append((q, j))
+    return links
+
+
+def _search_block(group: pa.Table) -> pa.Table:
+    """Links of one pair of blocks: within the block if both are one, else across."""
+    rows = group.select(["node", "root", "side", "set"]).to_pylist()
+    rows.sort(key=lambda r: (r["side"], r["node"]))
+    sets = [np.frombuffer(r["set"], np.uint64) for r in rows]
+    side = np.array([r["side"] for r in rows], np.int64)
+    index = np.flatnonzero(side == 0)
+    queries = np.flatnonzero(side == 1) if (side == 1).any() else index
+    alone = len(rows) and group.column("first")[0].as_py() != group.column("second")[0].as_py() and not (len(index) and (side == 1).any())
+    links = [] if alone else divide_skip(sets, [r["root"] for r in rows], queries, index)
+    return pa.table(
+        [pa.array([rows[i]["node"] for i, _ in links], pa.binary()), pa.array([rows[j]["node"] for _, j in links], pa.binary())],
+        names=["u", "v"],
+    )
+
+
+def block_links(crowded: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (u, v) between the classes of long open lists (token, node, root), searched in blocks."""
+    heads = crowded.groupBy("token").agg(F.min("node").alias("v"))
+    star = crowded.join(heads, "token").select(F.col("node").alias("u"), "v")
+    place = components(star, "groups").select(F.col("u").alias("node"), F.col("v").alias("bag"))
+    nodes = crowded.select("node", "root").distinct().join(place, "node", "left")
+    nodes = nodes.withColumn("bag", F.coalesce("bag", "node")).join(sets.select("node", "n", "set"), "node")
+    share = nodes.groupBy("bag").agg(
+        F.ceil(F.greatest(F.count("*") / BLOCK_SETS, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks")
+    )
+    nodes = nodes.join(share, "bag").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    nodes = nodes.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    nodes = nodes.select(
+        "bag", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"),
+        F.when(F.col("block") > F.col("other"), 1).otherwise(0).alias("side"), "node", "root", "set",
+    )
+    return nodes.groupBy("bag", "first", "second").applyInArrow(_search_block, "u binary, v binary")
+
+
 def frequent_shingles(docs: DataFrame, text: Column) -> tuple[np.ndarray, np.ndarray]:
     """(shingles ascending, counts) of the most frequent shingles over all documents.
 
@@ -127,8 +214,9 @@ def frequent_shingles(docs: DataFrame, text: Column) -> tuple[np.ndarray, np.nda
     bound_arrow(docs.sparkSession)
     found = docs.select(text.alias("t")).mapInArrow(count, "token long, n long")
     top = found.groupBy("token").agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "token").limit(FREQUENT)
-    pdf = top.toPandas()
-    token, n = pdf["token"].to_numpy(np.int64).view(np.uint64), pdf["n"].to_numpy(np.int64)
+    table = top.toArrow()
+    token = table.column("token").to_numpy().astype(np.int64).view(np.uint64)
+    n = table.column("n").to_numpy().astype(np.int64)
     order = np.argsort(token)
     return token[order], n[order]
 
@@ -268,20 +356,25 @@ def classes_and_links(docs: DataFrame, text_col: str) -> tuple[DataFrame, DataFr
     alive = written(alive, "alive")
     mixed = alive.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter(F.col("a") != F.col("b"))
     open_ = written(alive.join(mixed.select("token"), "token", "left_semi"), "open")
-    x, y = (open_.select("token", *[F.col(c).alias(f"{s}_{c}") for c in ("n", "node", "root")]) for s in "xy")
+    length = open_.groupBy("token").agg(F.count("*").alias("m"))
+    crowded = open_.join(length.filter(F.col("m") > LONG_LIST).select("token"), "token", "left_semi")
+    few = open_.join(length.filter(F.col("m") <= LONG_LIST).select("token"), "token", "left_semi")
+    x, y = (few.select("token", *[F.col(c).alias(f"{s}_{c}") for c in ("n", "node", "root")]) for s in "xy")
     met = x.join(y, "token").filter(
         (F.col("x_node") < F.col("y_node")) & (F.col("x_root") != F.col("y_root")) & _sizes_fit(F.col("x_n"), F.col("y_n"))
     )
     met = met.groupBy("x_node", "y_node", "x_n", "y_n").agg(F.count("*").alias("c"))
     met = met.filter(F.col("c") >= F.least(_t(F.col("x_n")), _t(F.col("y_n")))).select("x_node", "y_node")
     tried = own.select(F.least("node", "pivot.node").alias("x_node"), F.greatest("node", "pivot.node").alias("y_node"))
-    met = written(met.join(tried, ["x_node", "y_node"], "left_anti"), "pairs")
-    if met.isEmpty():
-        return rows, edges
+    met = met.join(tried, ["x_node", "y_node"], "left_anti")
     a = sets.select(F.col("node").alias("x_node"), F.col("set").alias("a"))
     b = sets.select(F.col("node").alias("y_node"), F.col("set").alias("b"))
-    more = met.join(a, "x_node").join(b, "y_node").filter(_linked("a", "b"))
-    return rows, components(edges.union(more.select("x_node", "y_node")), "second")
+    more = met.join(a, "x_node").join(b, "y_node").filter(_linked("a", "b")).select(F.col("x_node").alias("u"), F.col("y_node").alias("v"))
+    crowd = written(crowded, "crowded")
+    if not crowd.isEmpty():
+        more = more.union(block_links(crowd, sets))
+    more = written(more, "links")
+    return rows, edges if more.isEmpty() else components(edges.union(more), "second")
 
 
 def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix: str = "__near_") -> DataFrame:
