@@ -17,7 +17,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 HASHES = 4
@@ -63,8 +63,9 @@ def _blocks(once: np.ndarray, twice: np.ndarray, base: dict[int, int] | None = N
     )
 
 
-def repeated_bits(hashes: DataFrame, bits: int) -> np.ndarray:
-    """Bits set by two or more rows of the one-column table of 64-bit hashes."""
+def set_bits(hashes: DataFrame, bits: int, repeated: bool = True) -> np.ndarray:
+    """Bits set by two or more rows (by any row, if not ``repeated``) of the one-column table of
+    64-bit hashes."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         once, twice = np.zeros(bits // 64, np.uint64), np.zeros(bits // 64, np.uint64)
@@ -84,19 +85,37 @@ def repeated_bits(hashes: DataFrame, bits: int) -> np.ndarray:
                     have[0] = have[0] | o
                 else:
                     held[block] = [o, t]
-        keys = [k for k, v in held.items() if v[1].any()]
+        which = 1 if repeated else 0
+        keys = [k for k, v in held.items() if v[which].any()]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(keys, pa.int64()), pa.array([held[k][1].tobytes() for k in keys], pa.binary())], ["block", "twice"]
+            [pa.array(keys, pa.int64()), pa.array([held[k][which].tobytes() for k in keys], pa.binary())], ["block", "bits"]
         )
 
     parts = hashes.mapInArrow(gather, "block long, once binary, twice binary")
-    merged = parts.repartition("block").mapInArrow(merge, "block long, twice binary")
+    merged = parts.repartition("block").mapInArrow(merge, "block long, bits binary")
     out = np.zeros(bits // 64, np.uint64)
-    for block, twice in merged.collect():  # at most bits / 8 bytes
-        out[block * _BLOCK_WORDS : (block + 1) * _BLOCK_WORDS] = np.frombuffer(bytes(twice), np.uint64)
+    for block, words in merged.collect():  # at most bits / 8 bytes
+        out[block * _BLOCK_WORDS : (block + 1) * _BLOCK_WORDS] = np.frombuffer(bytes(words), np.uint64)
     return out
 
 
+def bits_for(rows: int, max_bits: int = MAX_BITS) -> int:
+    return min(max_bits, max(BLOCK_BITS, 1 << int(16 * rows).bit_length()))
+
+
+def all_set(spark: SparkSession, words: np.ndarray, hashes: Column) -> Column:
+    """Whether all bits of a 64-bit hash are among ``words``."""
+    shared, bits = spark.sparkContext.broadcast(words), len(words) * 64
+
+    @F.arrow_udf("boolean")
+    def test(h: pa.Array) -> pa.Array:
+        pos = _positions(h.to_numpy(zero_copy_only=False), bits)
+        hit = (shared.value[(pos >> np.uint64(6)).astype(np.int64)] >> (pos & np.uint64(63))) & np.uint64(1)
+        return pa.array(hit.all(axis=1))
+
+    return test(hashes)
+
+
 def mark_copies(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     normalise: Callable[[Column], Column] | None = None, max_bits: int = MAX_BITS, prefix: str = "__dedup_",
@@ -111,23 +130,13 @@ def mark_copies(
     spark = docs.sparkSession
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     text = normalise(text) if normalise else text
-    n = docs.count()
-    bits = min(max_bits, max(BLOCK_BITS, 1 << int(16 * n).bit_length()))
-    shared = spark.sparkContext.broadcast(repeated_bits(docs.select(F.xxhash64(text).alias("h")), bits))
-
-    @F.arrow_udf("boolean")
-    def possibly_repeated(h: pa.Array) -> pa.Array:
-        pos = _positions(h.to_numpy(zero_copy_only=False), bits)
-        words = shared.value
-        hit = (words[(pos >> np.uint64(6)).astype(np.int64)] >> (pos & np.uint64(63))) & np.uint64(1)
-        return pa.array(hit.all(axis=1))
-
+    words = set_bits(docs.select(F.xxhash64(text).alias("h")), bits_for(docs.count(), max_bits))
     c = {k: f"{prefix}{k}" for k in ("keep_id", "group_size", "kept", "sha256")}
     uid, maybe = f"{prefix}uid", f"{prefix}maybe"
     rows = (
         docs.withColumn(c["sha256"], F.sha2(text.cast("binary"), 256))
         .withColumn(uid, F.monotonically_increasing_id())
-        .withColumn(maybe, possibly_repeated(F.xxhash64(text)))
+        .withColumn(maybe, all_set(spark, words, F.xxhash64(text)))
     )
     ident = F.col(f"`{id_col}`")
     single = rows.filter(~F.col(maybe)).select(

@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import bound_arrow, texts, with_struct, written
+from .exact_dedup import all_set, bits_for, set_bits
 
 WORDS = 4
 NUM, DEN = 85, 100
@@ -286,16 +287,14 @@ def _linked_sets(a: pa.Array, b: pa.Array) -> pa.Array:
 
 
 def _best_pivots(n: pa.Array, pivots: pa.Array) -> pa.Array:
-    """The pivot met in most short lists, if it is met often enough."""
-    kind = pa.struct([("n", pa.int64()), ("node", pa.binary())])
+    """The pivot met in most short lists, if it is met as often as the smallest partner asks for."""
     out = []
     for size, met in zip(n.to_pylist(), pivots.to_pylist(), strict=True):
-        own = min(occurrences(size), required(size))
-        lists = [[(p["n"], p["node"])] for p in met]
-        found = merge_short(lists, lambda p, own=own: min(own, occurrences(p[0]), required(p[0])))
-        best = min(found, key=lambda x: (-x[1], x[0]))[0] if found else None
-        out.append(best and {"n": best[0], "node": best[1]})
-    return pa.array(out, kind)
+        least = required(size)
+        least = min(occurrences(least), required(least))
+        found = merge_short([[p] for p in met], lambda _, least=least: least)
+        out.append(min(found, key=lambda x: (-x[1], x[0]))[0] if found else None)
+    return pa.array(out, pa.binary())
 
 
 def classes_and_links(docs: DataFrame, text_col: str) -> tuple[DataFrame, DataFrame]:
@@ -304,7 +303,7 @@ def classes_and_links(docs: DataFrame, text_col: str) -> tuple[DataFrame, DataFr
     The rows carry whatever columns ``docs`` has besides the text.
     """
     _linked = F.arrow_udf(_linked_sets, "boolean")
-    _best_pivot = F.arrow_udf(_best_pivots, "struct<n: long, node: binary>")
+    _best_pivot = F.arrow_udf(_best_pivots, "binary")
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     key = F.struct(F.xxhash64(text).alias("h"), F.crc32(text.cast("binary")).alias("c"))
     frequent = frequent_shingles(docs, text)
@@ -314,25 +313,27 @@ def classes_and_links(docs: DataFrame, text_col: str) -> tuple[DataFrame, DataFr
     flat = rows.select("__key", F.col("s.n").alias("n"), F.col("s.node").alias("node"), F.col("s.short").alias("short"), F.col("s.hot").alias("hot"))
     classes = flat.filter(F.col("n") > 0).dropDuplicates(["node"])
 
-    # lists of two or more classes, each with one pivot
-    me = F.struct("n", "node")
-    short = classes.select("n", "node", "__key", F.explode("short").alias("token"))
+    # lists of two or more classes, each with one pivot; only (shingle, node) moves
+    short = classes.select("node", F.explode("short").alias("token"))
     w = Window.partitionBy("token")
-    short = short.withColumn("pivot", F.min(me).over(w)).withColumn("m", F.count("*").over(w)).filter(F.col("m") > 1)
-    hot = classes.select("n", "node", "__key", F.explode("hot").alias("token"))
-    heads = hot.groupBy("token").agg(F.min(me).alias("pivot"), F.count("*").alias("m")).filter(F.col("m") > 1)
-    columns = ["token", "n", "node", "__key", "pivot"]
+    short = short.withColumn("pivot", F.min("node").over(w)).withColumn("m", F.count("*").over(w)).filter(F.col("m") > 1)
+    hot = classes.select("node", F.explode("hot").alias("token"))
+    heads = hot.groupBy("token").agg(F.min("node").alias("pivot"), F.count("*").alias("m")).filter(F.col("m") > 1)
+    columns = ["token", "node", "pivot"]
     lists = written(short.select(columns).union(hot.join(heads, "token").select(columns)), "lists")
 
     # sets of the classes that meet others in as many lists as the smallest possible partner asks for
     least = _t(F.ceil(F.col("n") * NUM / DEN))
-    meets = lists.groupBy("node", "n", "__key").agg(
-        F.count("*").alias("c"), F.collect_list(F.when(F.col("pivot.node") != F.col("node"), F.col("pivot"))).alias("pivots")
+    meets = lists.groupBy("node").agg(
+        F.count("*").alias("c"), F.collect_list(F.when(F.col("pivot") != F.col("node"), F.col("pivot"))).alias("pivots")
     )
-    meets = meets.filter(F.col("c") >= least).withColumn("best", _best_pivot("n", "pivots"))
-    wanted = meets.select("node", "n", F.col("__key").alias("key"), F.col("best").alias("pivot"))
-    wanted = written(wanted, "wanted")
-    source = docs.select(key.alias("key"), text.alias("text")).join(wanted.select("key"), "key", "left_semi")
+    meets = meets.join(classes.select("node", "n", F.col("__key").alias("key")), "node")
+    meets = meets.filter(F.col("c") >= least).select("node", "n", "key", _best_pivot("n", "pivots").alias("pivot"))
+    wanted = written(meets, "wanted")
+    # a Bloom filter keeps most other texts out of the shuffle
+    words = set_bits(wanted.select("key.h"), bits_for(wanted.count()), repeated=False)
+    source = docs.select(key.alias("key"), text.alias("text")).filter(all_set(docs.sparkSession, words, F.col("key.h")))
+    source = source.join(wanted.select("key"), "key", "left_semi")
     source = source.groupBy("key").agg(F.first("text").alias("text"))
 
     def as_set(b: pa.Array) -> pa.Array:
@@ -343,15 +344,16 @@ def classes_and_links(docs: DataFrame, text_col: str) -> tuple[DataFrame, DataFr
     sets = written(wanted.join(sets, "key").select("node", "n", "pivot", "set"), "sets")
 
     # first round: each class against its best pivot
-    own = sets.filter(F.col("pivot").isNotNull() & _sizes_fit(F.col("n"), F.col("pivot.n")))
-    pivots = sets.join(own.select(F.col("pivot.node").alias("node")).distinct(), "node", "left_semi")
-    pivots = pivots.select(F.col("node").alias("v"), F.col("set").alias("v_set"))
-    pairs = own.select(F.col("node").alias("u"), F.col("pivot.node").alias("v"), F.col("set").alias("u_set")).join(pivots, "v")
+    own = sets.filter(F.col("pivot").isNotNull())
+    pivots = sets.join(own.select(F.col("pivot").alias("node")).distinct(), "node", "left_semi")
+    pivots = pivots.select(F.col("node").alias("v"), F.col("set").alias("v_set"), F.col("n").alias("v_n"))
+    pairs = own.select(F.col("node").alias("u"), F.col("pivot").alias("v"), F.col("set").alias("u_set"), F.col("n").alias("u_n"))
+    pairs = pairs.join(pivots, "v").filter(_sizes_fit(F.col("u_n"), F.col("v_n")))
     edges = components(pairs.filter(_linked("u_set", "v_set")).select("u", "v"), "first")
 
     # second round: pairs of different components in lists that hold several
     place = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    alive = lists.join(wanted.select("node"), "node", "left_semi").select("token", "n", "node")
+    alive = lists.select("token", "node").join(wanted.select("node", "n"), "node")
     alive = alive.join(place, "node", "left").withColumn("root", F.coalesce("root", "node"))
     alive = written(alive, "alive")
     mixed = alive.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter(F.col("a") != F.col("b"))
@@ -365,7 +367,7 @@ def classes_and_links(docs: DataFrame, text_col: str) -> tuple[DataFrame, DataFr
     )
     met = met.groupBy("x_node", "y_node", "x_n", "y_n").agg(F.count("*").alias("c"))
     met = met.filter(F.col("c") >= F.least(_t(F.col("x_n")), _t(F.col("y_n")))).select("x_node", "y_node")
-    tried = own.select(F.least("node", "pivot.node").alias("x_node"), F.greatest("node", "pivot.node").alias("y_node"))
+    tried = own.select(F.least("node", "pivot").alias("x_node"), F.greatest("node", "pivot").alias("y_node"))
     met = met.join(tried, ["x_node", "y_node"], "left_anti")
     a = sets.select(F.col("node").alias("x_node"), F.col("set").alias("a"))
     b = sets.select(F.col("node").alias("y_node"), F.col("set").alias("b"))
