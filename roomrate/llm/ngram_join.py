@@ -162,13 +162,21 @@ def _search_block(group: pa.Table) -> pa.Table:
     )
 
 
+def _among(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows of ``sets`` that a Bloom filter of ``nodes`` lets through: all of theirs and few others.
+    Keeps the other sets out of the shuffle of a join that follows."""
+    words = set_bits(nodes.select(F.xxhash64("node").alias("h")), bits_for(nodes.count()), repeated=False)
+    return sets.filter(all_set(sets.sparkSession, words, F.xxhash64("node")))
+
+
 def block_links(crowded: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (u, v) between the classes of long open lists (token, node, root), searched in blocks."""
     heads = crowded.groupBy("token").agg(F.min("node").alias("v"))
     star = crowded.join(heads, "token").select(F.col("node").alias("u"), "v")
     place = components(star, "groups").select(F.col("u").alias("node"), F.col("v").alias("bag"))
     nodes = crowded.select("node", "root").distinct().join(place, "node", "left")
-    nodes = nodes.withColumn("bag", F.coalesce("bag", "node")).join(sets.select("node", "n", "set"), "node")
+    nodes = nodes.withColumn("bag", F.coalesce("bag", "node"))
+    nodes = nodes.join(_among(sets, crowded.select("node")).select("node", "n", "set"), "node")
     share = nodes.groupBy("bag").agg(
         F.ceil(F.greatest(F.count("*") / BLOCK_SETS, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks")
     )
@@ -331,7 +339,7 @@ def classes_and_links(docs: DataFrame, text_col: str) -> tuple[DataFrame, DataFr
     meets = meets.filter(F.col("c") >= least).select("node", "n", "key", _best_pivot("n", "pivots").alias("pivot"))
     wanted = written(meets, "wanted")
     # a Bloom filter keeps most other texts out of the shuffle
-    words = set_bits(wanted.select("key.h"), bits_for(wanted.count()), repeated=False)
+    words = set_bits(wanted.select("key.h"), bits_for(wanted.count()), repeated=False)  # as in _among
     source = docs.select(key.alias("key"), text.alias("text")).filter(all_set(docs.sparkSession, words, F.col("key.h")))
     source = source.join(wanted.select("key"), "key", "left_semi")
     source = source.groupBy("key").agg(F.first("text").alias("text"))
@@ -368,9 +376,10 @@ def classes_and_links(docs: DataFrame, text_col: str) -> tuple[DataFrame, DataFr
     met = met.groupBy("x_node", "y_node", "x_n", "y_n").agg(F.count("*").alias("c"))
     met = met.filter(F.col("c") >= F.least(_t(F.col("x_n")), _t(F.col("y_n")))).select("x_node", "y_node")
     tried = own.select(F.least("node", "pivot").alias("x_node"), F.greatest("node", "pivot").alias("y_node"))
-    met = met.join(tried, ["x_node", "y_node"], "left_anti")
-    a = sets.select(F.col("node").alias("x_node"), F.col("set").alias("a"))
-    b = sets.select(F.col("node").alias("y_node"), F.col("set").alias("b"))
+    met = written(met.join(tried, ["x_node", "y_node"], "left_anti"), "pairs")
+    needed = _among(sets, met.select(F.explode(F.array("x_node", "y_node")).alias("node")))
+    a = needed.select(F.col("node").alias("x_node"), F.col("set").alias("a"))
+    b = needed.select(F.col("node").alias("y_node"), F.col("set").alias("b"))
     more = met.join(a, "x_node").join(b, "y_node").filter(_linked("a", "b")).select(F.col("x_node").alias("u"), F.col("y_node").alias("v"))
     crowd = written(crowded, "crowded")
     if not crowd.isEmpty():
