@@ -29,8 +29,8 @@ BUCKETS = 1 << 17
 DIM = 8
 NGRAMS = (3, 4, 5)
 #: Bound of the training sample: clean and toxic rows.
-MAX_ROWS = (4000, 2000)
-STEPS = 150
+MAX_ROWS = (3000, 1500)
+STEPS = 120
 FOLDS, HELD_OUT = 5, 0
 _TRIM = b".,;:!?\"'()[]{}*%$&#|<>-_=+/\\"
 
@@ -49,8 +49,8 @@ def subwords(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     joined = "".join(f"<{w.decode('utf-8', 'replace')}>" for w in words)
     size = np.array([len(w.decode("utf-8", "replace")) + 2 for w in words], np.int64)
     chars = np.frombuffer(joined.encode("utf-32-le"), "<u4").astype(np.uint64)
-    owner = np.repeat(np.arange(len(words)), size)
-    left = np.repeat(np.cumsum(size), size) - np.arange(len(chars))  # characters to the word's end
+    owner = np.repeat(np.arange(len(words), dtype=np.int32), size)
+    left = (np.repeat(np.cumsum(size), size) - np.arange(len(chars))).astype(np.int32)  # characters to the word's end
     ids, seg = [], []
     h = np.zeros(len(chars), np.uint64)
     for n in range(1, max(NGRAMS) + 1):
@@ -59,9 +59,9 @@ def subwords(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
             fits = left[: len(h)] >= n
             x = h[fits] ^ (h[fits] >> np.uint64(31))
             x = x * np.uint64(0x9E3779B97F4A7C15) + np.uint64(n)
-            ids.append((x >> np.uint64(40)).astype(np.int64) % BUCKETS)
+            ids.append((x >> np.uint64(40)).astype(np.int32) % BUCKETS)
             seg.append(owner[: len(h)][fits])
-    return np.concatenate(ids), np.concatenate(seg)
+    return np.concatenate(ids), np.concatenate(seg)  # int32: the driver holds millions of them
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
@@ -109,18 +109,17 @@ class SubwordSoftmax:
         self.scale, self.shift = max(float(ab[0]), 1e-3), float(ab[1])
 
     @classmethod
-    def train(cls, docs: list[set[bytes]], toxic: np.ndarray, steps: int = STEPS, seed: int = 7) -> SubwordSoftmax:
-        """Adam on the noisy-or likelihood of document labels."""
+    def train(cls, docs: list[bytes], toxic: np.ndarray, steps: int = STEPS, seed: int = 7) -> SubwordSoftmax:
+        """Adam on the noisy-or likelihood of document labels; ``docs`` are their distinct words."""
         bias = -6.0
         if not len(docs) or not toxic.any() or toxic.all():
             return cls(np.zeros(BUCKETS), bias)
-        vocabulary = sorted(set().union(*docs))
-        at = {w: i for i, w in enumerate(vocabulary)}
-        ids, seg = subwords(vocabulary)
+        at: dict[bytes, int] = {}
+        bags = [np.array([at.setdefault(w, len(at)) for w in d.split()], np.int32) for d in docs]
+        ids, seg = subwords(list(at))
         per_word = np.maximum(np.bincount(seg, minlength=len(at)), 1)
-        share = 1.0 / per_word[seg]
-        word = np.array([at[w] for d in docs for w in d], np.int64)
-        doc = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
+        word = np.concatenate(bags)
+        doc = np.repeat(np.arange(len(bags), dtype=np.int32), [len(b) for b in bags])
         bad = toxic[doc]
         in_clean = np.bincount(word[~bad], minlength=len(at)).astype(float)
         word, doc = word[bad], doc[bad]
@@ -130,12 +129,12 @@ class SubwordSoftmax:
         out = rng.normal(0, 0.5, DIM).astype(np.float32)  # class 1 minus class 0 of the softmax
         moments = [[np.zeros_like(x), np.zeros_like(x)] for x in (emb, out)]
         for t in range(1, steps + 1):
-            z = np.bincount(seg, (emb @ out)[ids] * share, minlength=len(at)) + bias
+            z = np.bincount(seg, (emb @ out)[ids], minlength=len(at)) / per_word + bias
             p = _sigmoid(z)
             none = np.exp(np.bincount(doc, np.log1p(-np.minimum(p, 1 - 1e-9))[word], minlength=len(docs)))
             pull = np.minimum(none / np.maximum(1 - none, 1e-9), 1e3)  # of a toxic document not yet explained
             grad = w_clean * in_clean * p - w_toxic * np.bincount(word, pull[doc], minlength=len(at)) * p
-            by_ngram = np.bincount(ids, grad[seg] * share, minlength=BUCKETS).astype(np.float32)
+            by_ngram = np.bincount(ids, (grad / per_word)[seg], minlength=BUCKETS).astype(np.float32)
             grads = (by_ngram[:, None] * out[None, :], by_ngram @ emb)
             for x, g, m in zip((emb, out), grads, moments, strict=True):
                 m[0] += 0.1 * (g - m[0])
@@ -157,23 +156,23 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         part = y.filter(F.col("toxic") == c).join(d.select("id").distinct(), "id").orderBy(order, "id").limit(max_rows[c])
         chosen = part if chosen is None else chosen.union(part)
     # at most sum(max_rows) rows of distinct words reach the driver
-    bag = with_struct(d.join(chosen, "id"), "__bag", F.col("text"), "struct<words:array<binary>>", _bags)
+    bag = with_struct(d.join(chosen, "id"), "__bag", F.col("text"), "struct<words:binary>", _bags)
     rows = bag.select("id", "toxic", "__bag.words").collect()
     rows.sort(key=lambda r: (r["id"], len(r["words"])))
     seen = {}
     for r in rows:  # repeated ids count once
         seen.setdefault(r["id"], r)
     rows = list(seen.values())
-    bags, toxic = [{bytes(w) for w in r["words"]} for r in rows], np.array([r["toxic"] == 1 for r in rows], bool)
+    bags, toxic = [bytes(r["words"]) for r in rows], np.array([r["toxic"] == 1 for r in rows], bool)
     apart = np.arange(len(rows)) % 5 == 4
     pick = lambda mask: [bags[i] for i in np.flatnonzero(mask)]
     model = SubwordSoftmax.train(pick(~apart), toxic[~apart])
-    model.calibrate(pick(apart), toxic[apart])
+    model.calibrate([set(b.split()) for b in pick(apart)], toxic[apart])
     return model
 
 
 def _bags(batch: pa.Array) -> pa.Array:
-    words = pa.array([sorted(word_types(t)) for t in texts(batch)], pa.list_(pa.binary()))
+    words = pa.array([b" ".join(sorted(word_types(t))) for t in texts(batch)], pa.binary())
     return pa.StructArray.from_arrays([words], ["words"])
 
 
