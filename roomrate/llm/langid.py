@@ -137,6 +137,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     d = d.filter(F.col("lang").isNotNull() & (F.length("text") > 0) & (fold(F.col("id"), FOLDS) != HELD_OUT))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
     chosen = d.select("id", "lang").withColumn("r", rank).filter(F.col("r") <= max_rows).select("id", "lang").distinct()
+    chosen = F.broadcast(chosen)  # languages * max_rows ids
     cut = with_struct(d.join(chosen, ["id", "lang"]), "__w", F.col("text"), "struct<windows:array<binary>>", _samples)
     rows = cut.select("id", "lang", F.explode("__w.windows").alias("w")).collect()  # languages * max_rows * ROW_WINDOWS windows
     if not rows:
