@@ -16,10 +16,6 @@ def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def as_date(as_of: dt.date | str) -> dt.date:
-    return as_of if isinstance(as_of, dt.date) else dt.date.fromisoformat(str(as_of))
-
-
 def days_since(as_of: dt.date, col: Column | str) -> Column:
     """FN1 ``datediff(CURDATE(), d)``."""
     return F.datediff(F.lit(as_of), _c(col))
@@ -30,13 +26,13 @@ def on_or_after(col: Column | str, day: dt.date) -> Column:
 
 
 def text_date_on_or_after(col: Column | str, day: dt.date) -> Column:
-    """FLT3 ``substr(text,1,10) >= day`` for ISO date text.
+    """FLT3: the first 10 characters are an ISO date on or after ``day``.
 
-    For ISO 'YYYY-MM-DD…' text ``substr(s,1,10) >= k`` equals ``s >= k`` when k
-    has 10 characters, so the comparison is written on the raw column and
-    becomes a string range the scan can use for row-group skipping.
+    The string range is what the scan can use for row-group skipping; it holds for every
+    ISO text that passes. The parsed date keeps other text ('n/a', '2024/01/01') out.
     """
-    return _c(col) >= F.lit(day.isoformat())
+    parsed = F.try_to_timestamp(F.substring(_c(col), 1, 10), F.lit("yyyy-MM-dd")).cast("date")
+    return (_c(col) >= F.lit(day.isoformat())) & (parsed >= F.lit(day))
 
 
 def month_start(day: dt.date) -> dt.date:

@@ -30,17 +30,6 @@ def lenient_double(col: Column | str) -> Column:
     return F.regexp_extract(_c(col).cast("string"), NUM_PREFIX, 1).try_cast("double")
 
 
-def as_numeric(col: Column | str) -> Column:
-    """PRJ10 R ``as.numeric``: numbers pass, text that is not a number becomes NULL."""
-    return _c(col).try_cast("double")
-
-
-def nan_to_null(col: Column | str) -> Column:
-    """R treats NaN as NA; Spark ranks NaN above +Inf and ``avg`` propagates it."""
-    c = _c(col)
-    return F.when(F.isnan(c), F.lit(None).cast("double")).otherwise(c)
-
-
 def r_div(num: Column | str, den: Column | str) -> Column:
     """PRJ9 R division: x/0 is +Inf or -Inf, 0/0 (R's NaN) is NULL, NULL stays NULL."""
     n, d = _c(num).cast("double"), _c(den).cast("double")

@@ -9,11 +9,11 @@ community holding a third of the data would run in one task.
 * Sums, counts and means decompose: ``groupBy().agg()`` pre-aggregates in every
   map task, so a hot group reaches its reducer as one partial row per task.
 * Quantiles do not decompose. ``group_quantiles`` computes exact order
-  statistics without gathering a group: it counts each distinct (group, value),
-  range-partitions those counts on (group, value) so a hot group's values are
-  spread over many ordered tasks, takes per-task running counts, adds the
-  counts of the earlier tasks of the same group (a table of at most one row
-  per task and group), and keeps only the rows that hold the wanted ranks.
+  statistics without gathering a group: it counts each distinct (group, value)
+  and each (group, bucket), where a value's bucket is a fixed monotone function
+  of the value (a 4096th of an octave), finds the buckets that hold the wanted
+  ranks from the running counts over buckets, and ranks the values of those
+  buckets only. Nothing is sampled and no partition number enters the result.
   Interpolation is R's type 7 (also Spark ``percentile`` / DuckDB
   ``quantile_cont``): h = (n-1)p, x[lo] + (h-lo)(x[hi]-x[lo]).
 
@@ -31,8 +31,18 @@ from roomrate.operators.joins import join_null_safe
 
 _V = "__v"
 _C = "__c"
-_PID = "__pid"
+_B = "__b"
 _G = "__g"
+#: Buckets per doubling of a value.
+OCTAVE = 4096
+
+
+def _bucket(v: Column) -> Column:
+    """Monotone bucket of a double; infinities and zero have one of their own, NULL the lowest."""
+    size = F.floor(F.log2(F.abs(v)) * OCTAVE) + 1100 * OCTAVE  # above 0 down to the smallest double
+    far = F.lit(4000 * OCTAVE)
+    b = F.when(v == 0, F.lit(0)).when(F.abs(v) == F.lit(float("inf")), F.signum(v) * far).otherwise(F.signum(v) * size)
+    return F.when(v.isNull(), F.lit(-5000 * OCTAVE)).otherwise(b).cast("long")
 
 
 def group_quantiles(
@@ -41,55 +51,52 @@ def group_quantiles(
     value: str | Column,
     probs: Mapping[str, float],
     na_poisons: bool = False,
-    pieces: int | None = None,
 ) -> DataFrame:
     """Exact type-7 quantiles of ``value`` per group: one row per group.
 
-    ``probs`` maps output column -> probability. NULL values are left out of the
-    ranking; with ``na_poisons`` (R without ``na.rm``) any NULL in a group makes
+    ``probs`` maps output column -> probability. NULL and NaN (R's NA) are left out of
+    the ranking; with ``na_poisons`` (R without ``na.rm``) any NULL in a group makes
     every quantile of that group NULL. A group with no non-NULL value gets NULL.
-    ``pieces`` is the number of ordered range partitions the (group, value)
-    counts are split into (default: ``spark.sql.shuffle.partitions``).
     """
     keys = list(keys)
     val = F.col(value) if isinstance(value, str) else value
     # The group keys travel as one non-NULL struct: struct equality treats NULL
-    # fields as equal (NULL keys form a group), so the internal join below is a
-    # plain equi-join on the very columns the per-piece window is partitioned
-    # by, and the large counts table is not shuffled a second time for it.
-    base = df.select(F.struct(*[F.col(k) for k in keys]).alias(_G), val.cast("double").alias(_V))
+    # fields as equal (NULL keys form a group), so the internal join is a plain equi-join.
+    val = val.cast("double")
+    base = df.select(F.struct(*[F.col(k) for k in keys]).alias(_G), F.when(~F.isnan(val), val + F.lit(0.0)).alias(_V))
 
     # one row per distinct (group, value), NULL values as their own row: a hot
     # group shrinks to its distinct values, and every group keeps a row
-    counts = base.groupBy(_G, _V).agg(F.count(F.lit(1)).alias(_C))
+    counts = base.groupBy(_G, _V).agg(F.count(F.lit(1)).alias(_C)).withColumn(_B, _bucket(F.col(_V)))
     present = F.col(_V).isNotNull()
 
-    # ordered pieces: a group may span many range partitions (NULLs sort first).
-    # The partition count is explicit so AQE never coalesces or splits this
-    # exchange: every consumer then sees the same partition id for a row.
-    pieces = pieces or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = counts.repartitionByRange(pieces, _G, _V).withColumn(_PID, F.spark_partition_id())
-    piece = Window.partitionBy(_PID, _G)
-    local = ranged.withColumn(
-        "__cum",
-        F.sum(F.when(present, F.col(_C)).otherwise(F.lit(0))).over(piece.orderBy(_V).rowsBetween(Window.unboundedPreceding, 0)),
-    )
-
-    # per piece totals -> offset of each piece inside its group (small: pieces x groups)
-    totals = local.groupBy(_PID, _G).agg(
+    # running counts over the buckets of a group, a small table whatever the group's size
+    buckets = counts.groupBy(_G, _B).agg(
         F.sum(F.when(present, F.col(_C)).otherwise(F.lit(0))).alias("__t"),
         F.sum(F.when(~present, F.col(_C)).otherwise(F.lit(0))).alias("__tn"),
     )
     by_group = Window.partitionBy(_G)
-    totals = totals.select(
-        _PID,
+    buckets = buckets.select(
         _G,
-        F.coalesce(F.sum("__t").over(by_group.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"),
+        _B,
+        "__t",
+        "__tn",
+        F.coalesce(F.sum("__t").over(by_group.orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"),
         F.sum("__t").over(by_group).alias("__n"),
         F.sum("__tn").over(by_group).alias("__nulls"),
     )
-
-    ranked = local.join(totals, [_PID, _G], "inner")
+    wanted = F.col("__tn") > 0
+    for p in probs.values():
+        h = (F.col("__n") - 1).cast("double") * F.lit(float(p))
+        for rank in (F.floor(h), F.ceil(h)):
+            wanted = wanted | ((F.col("__off") <= rank) & (rank < F.col("__off") + F.col("__t")))
+    buckets = buckets.where(wanted).drop("__t", "__tn")
+
+    # the values of those buckets, ranked
+    inside = Window.partitionBy(_G, _B).orderBy(_V).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counts.join(buckets, [_G, _B], "inner").withColumn(
+        "__cum", F.sum(F.when(present, F.col(_C)).otherwise(F.lit(0))).over(inside)
+    )
     hi_cum = F.col("__off") + F.col("__cum")  # non-NULL rows of the group up to and including this value
     lo_cum = hi_cum - F.col(_C)  # rows strictly below; this value holds ranks [lo_cum, hi_cum)
 
@@ -130,14 +137,32 @@ def group_aggregates(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column])
 EXACT = "decimal(38,10)"
 
 
+def _col(col: str | Column) -> Column:
+    return F.col(col) if isinstance(col, str) else col
+
+
+def _number(col: str | Column) -> Column:
+    """The value, NULL for NaN (R's NA)."""
+    c = _col(col)
+    return F.when(~F.isnan(c.cast("double")), c)
+
+
+def _infinite(c: Column, sign: str) -> Column:
+    return F.count(F.when(c.cast("double") == F.lit(float(sign + "inf")), 1)) > 0
+
+
 def exact_sum(col: str | Column) -> Column:
-    c = F.col(col) if isinstance(col, str) else col
-    return F.sum(c.cast(EXACT)).cast("double")
+    """Sum in fixed point. NaN counts as missing; infinities carry through as in R (Inf - Inf is NaN, so NULL)."""
+    c = _number(col)
+    finite = F.sum(F.when(F.abs(c.cast("double")) < F.lit(float("inf")), c).cast(EXACT)).cast("double")
+    up, down = _infinite(c, "+"), _infinite(c, "-")
+    inf = F.lit(float("inf"))
+    return F.when(up & down, F.lit(None).cast("double")).when(up, inf).when(down, -inf).otherwise(finite)
 
 
 def exact_avg(col: str | Column) -> Column:
     """Mean of the non-NULL values (NULL when there is none), order-independent."""
-    c = F.col(col) if isinstance(col, str) else col
+    c = _number(col)
     return F.when(F.count(c) > 0, exact_sum(c) / F.count(c))
 
 

@@ -9,14 +9,11 @@ sparsity-aware boosting). Like the native runtime, the comparison is made in
 single precision unless ``float32=False``.
 
 The model is a parameter, not data: its size is bounded by its tree count and
-depth, never by the table being scored. It is read to the driver once and
-turned into either
-
-* one Column expression (``CASE WHEN`` per tree, summed): stays in whole-stage
-  codegen, no UDF, no join - the default for small ensembles;
-* a pandas UDF walking all trees at once over Arrow batches with numpy - for
-  ensembles too large to compile (hundreds of deep trees exceed the JVM's
-  method size limit and fall back to interpreted evaluation).
+depth, never by the table being scored. It is read to the driver once, flattened
+into numpy arrays, broadcast, and walked by a pandas UDF over Arrow batches, all
+trees together. Leaves are added in tree order in single precision (double when
+``float32=False``), as the native runtime does, so a score does not depend on
+the size of the model or of the batch.
 """
 
 from __future__ import annotations
@@ -44,13 +41,6 @@ ENSEMBLE_SCHEMA = T.StructType(
     ]
 )
 
-# above this many nodes a model is scored by the vectorised UDF instead of a
-# compiled expression
-MAX_COMPILED_NODES = 4000
-# refuse to load anything that cannot be a model
-MAX_MODEL_NODES = 1_000_000
-
-
 @dataclass(frozen=True)
 class Node:
     tree: int
@@ -78,13 +68,11 @@ class TreeModel:
 
 
 def load_model(ensemble: DataFrame, model: str) -> TreeModel:
-    """Read one model's nodes (bounded size, checked) from the ensemble table."""
+    """Read one model's nodes from the ensemble table."""
     nodes = ensemble.where(F.col("model") == model)
     n = nodes.count()
     if n == 0:
         raise ValueError(f"model {model!r} not in ensemble table")
-    if n > MAX_MODEL_NODES:
-        raise ValueError(f"model {model!r} has {n} nodes; not a model-sized table")
     rows = nodes.select(*[f.name for f in ENSEMBLE_SCHEMA.fields if f.name != "model"]).collect()
     return model_from_rows(model, [tuple(r) for r in rows])
 
@@ -97,32 +85,6 @@ def model_from_rows(model: str, rows: Sequence[tuple]) -> TreeModel:
     return TreeModel(model, tuple(tuple(sorted(v, key=lambda n: n.node)) for _, v in sorted(by_tree.items())))
 
 
-# ------------------------------------------------------------- Column path
-def _tree_column(nodes: Mapping[int, Node], node_id: int, feats: Mapping[str, Column], float32: bool) -> Column:
-    n = nodes[node_id]
-    if n.feature is None:
-        return F.lit(float(n.leaf))
-    x = feats[n.feature].cast("double")
-    missing = x.isNull() | F.isnan(x)
-    lhs = x.cast("float") if float32 else x
-    rhs = F.lit(float(n.split)).cast("float") if float32 else F.lit(float(n.split))
-    return (
-        F.when(missing, _tree_column(nodes, n.missing, feats, float32))
-        .when(lhs < rhs, _tree_column(nodes, n.yes, feats, float32))
-        .otherwise(_tree_column(nodes, n.no, feats, float32))
-    )
-
-
-def compiled_score(model: TreeModel, feats: Mapping[str, Column], float32: bool = True) -> Column:
-    """The model as one Column expression (sum of per-tree CASE expressions)."""
-    total: Column | None = None
-    for tree in model.trees:
-        col = _tree_column({n.node: n for n in tree}, tree[0].node, feats, float32)
-        total = col if total is None else total + col
-    return total
-
-
-# ------------------------------------------------------------ pandas path
 def _flatten(model: TreeModel, features: Sequence[str]):
     fidx = {f: i for i, f in enumerate(features)}
     offsets, size = [], 0
@@ -150,11 +112,11 @@ def _flatten(model: TreeModel, features: Sequence[str]):
     return feat, split, yes, no, miss, leaf, np.array(roots, dtype=np.int64), depth
 
 
-def udf_score(model: TreeModel, feats: Mapping[str, Column], float32: bool = True) -> Column:
-    """The model as an Arrow-batched pandas UDF (all trees walked together).
+def score(model: TreeModel, feats: Mapping[str, Column], float32: bool = True) -> Column:
+    """Prediction of ``model`` from named feature Columns.
 
-    The flattened node arrays (bounded by ``MAX_MODEL_NODES``) travel as one
-    broadcast variable, fetched once per executor instead of inside every task.
+    The flattened node arrays travel as one broadcast variable, fetched once per
+    executor instead of inside every task.
     """
     names = model.features
     feat, split, yes, no, miss, leaf, roots, depth = _flatten(model, names)
@@ -176,42 +138,14 @@ def udf_score(model: TreeModel, feats: Mapping[str, Column], float32: bool = Tru
             x = X[rows, np.where(inner, f, 0)]
             nxt = np.where(np.isnan(x), miss[idx], np.where(x < split_c[idx], yes[idx], no[idx]))
             idx = np.where(inner, nxt, idx)
-        return pd.Series(leaf[idx].sum(axis=1))
+        total = np.zeros(n, dtype)
+        for t in range(roots.size):
+            total += leaf[idx[:, t]].astype(dtype)
+        return pd.Series(total.astype(np.float64))
 
     return _score(F.struct(*[feats[n].cast("double").alias(f"f{i}") for i, n in enumerate(names)]))
 
 
-def score(model: TreeModel, feats: Mapping[str, Column], float32: bool = True, strategy: str = "auto") -> Column:
-    """Prediction of ``model`` from named feature Columns."""
-    if strategy == "auto":
-        strategy = "compiled" if model.n_nodes <= MAX_COMPILED_NODES else "udf"
-    if strategy == "compiled":
-        return compiled_score(model, feats, float32)
-    if strategy == "udf":
-        return udf_score(model, feats, float32)
-    raise ValueError(strategy)
-
-
 def numeric_features(df: DataFrame, names: Sequence[str]) -> dict[str, Column]:
     """PRJ2 + PRJ10: the named feature block, as R's ``sapply(as.numeric)``."""
     return {n: df[n].try_cast("double") for n in names}
-
-
-# ------------------------------------------------------------- oracle text
-def tree_sql(model: TreeModel, exprs: Mapping[str, str], float32: bool = True) -> str:
-    """The same model as SQL text (sum of CASE expressions) for a SQL engine."""
-
-    def node_sql(nodes, node_id):
-        n = nodes[node_id]
-        if n.feature is None:
-            return f"cast({float(n.leaf)!r} as double)"
-        x = f"cast({exprs[n.feature]} as double)"
-        lhs = f"cast({x} as float)" if float32 else x
-        rhs = f"cast({float(n.split)!r} as float)" if float32 else repr(float(n.split))
-        return (
-            f"(case when {x} is null or isnan({x}) then {node_sql(nodes, n.missing)} "
-            f"when {lhs} < {rhs} then {node_sql(nodes, n.yes)} else {node_sql(nodes, n.no)} end)"
-        )
-
-    parts = [node_sql({n.node: n for n in t}, t[0].node) for t in model.trees]
-    return "(" + " + ".join(parts) + ")"

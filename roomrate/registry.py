@@ -19,7 +19,6 @@ from roomrate.functions.dates import days_since
 from roomrate.functions.numeric import clamp_nonneg, lenient_double, lenient_int, snap_price
 from roomrate.functions.text import crawl_block, with_city_suffix
 from roomrate.operators import suite as SU
-from roomrate.operators.joins import join_null_safe
 from roomrate.operators.scoring import numeric_features, score
 from roomrate.plans import extracts as X
 from roomrate.plans import pricing as P

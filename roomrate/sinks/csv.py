@@ -3,7 +3,9 @@
 The reference writes one file named after the run date. Spark writes a folder
 of part files per run date (``<root>/<name>/run_date=YYYY-MM-DD``), one per
 output task, so the write is as parallel as the job; readers select a run by
-partition value. ``NA`` marks missing values as R's ``write.csv`` does.
+partition value. A missing value is an empty field and an empty text is ``""``,
+so neither can be taken for the text ``NA``; quotes are doubled, blanks and line
+breaks inside a text are kept.
 """
 
 from __future__ import annotations
@@ -11,9 +13,18 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
-NULL_TOKEN = "NA"
+#: The same options write and read.
+OPTIONS = {
+    "header": "true", "encoding": "UTF-8", "nullValue": "", "emptyValue": '""', "quote": '"', "escape": '"',
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
+
+
+#: Stands for a quoted empty field while reading, where Spark would make it the null value.
+_EMPTY = "\x01empty\x01"
 
 
 def dated_path(root: str, name: str, as_of: dt.date) -> str:
@@ -23,22 +34,13 @@ def dated_path(root: str, name: str, as_of: dt.date) -> str:
 def write_dated_csv(df: DataFrame, root: str, name: str, as_of: dt.date) -> str:
     """Overwrite the run's folder (a rerun of the same date replaces it)."""
     path = dated_path(root, name, as_of)
-    (
-        df.write.mode("overwrite")
-        .option("header", True)
-        .option("nullValue", NULL_TOKEN)
-        .option("encoding", "UTF-8")
-        .csv(path)
-    )
+    df.write.mode("overwrite").options(**OPTIONS).csv(path)
     return path
 
 
 def read_dated_csv(spark: SparkSession, root: str, name: str, as_of: dt.date, schema: StructType) -> DataFrame:
     """Read a run back with the writer's schema (no inference)."""
-    return (
-        spark.read.option("header", True)
-        .option("nullValue", NULL_TOKEN)
-        .option("encoding", "UTF-8")
-        .schema(schema)
-        .csv(dated_path(root, name, as_of))
-    )
+    options = OPTIONS | {"emptyValue": _EMPTY, "multiLine": "true"}
+    df = spark.read.options(**options).schema(schema).csv(dated_path(root, name, as_of))
+    text = [f.name for f in schema.fields if isinstance(f.dataType, StringType)]
+    return df.withColumns({c: F.when(F.col(c) == _EMPTY, "").otherwise(F.col(c)) for c in text})

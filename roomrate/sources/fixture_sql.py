@@ -54,7 +54,7 @@ select event_id, case user_id % 8 when 0 then '北京' when 1 then '上海' when
 """
 
 FIXTURE_SQL["xiaoqurelations"] = """
-select case c_custkey % 9 when 0 then '北京市' when 1 then '上海市' when 2 then '深圳市' when 3 then '杭州市' when 4 then '广州市' when 5 then '天津市' when 6 then '南京市' when 7 then '武汉市' else '成都市' end as city, concat('XQ', cast(c_custkey % 450 as varchar(9))) as jingdui, c_mktsegment as block, concat('XQ', cast((c_custkey + 9) % 450 as varchar(9))) as company from {customer} where c_custkey % 2 = 0 and c_custkey < 100
+select case c_custkey % 9 when 0 then '北京市' when 1 then '上海市' when 2 then '深圳市' when 3 then '杭州市' when 4 then '广州市' when 5 then '天津市' when 6 then '南京市' when 7 then '武汉市' else '成都市' end as city, concat('XQ', cast(c_custkey % 450 as varchar(9))) as jingdui, c_mktsegment as block, concat('XQ', cast((c_custkey + 9) % 450 as varchar(9))) as company from {customer} where c_custkey % 2 = 0
 """
 
 FIXTURE_SQL["suite_decorations"] = """

@@ -102,7 +102,7 @@ class RentalTables(Mapping[str, DataFrame]):
     ) -> "RentalTables":
         """Read warehouse tables over JDBC.
 
-        ``tables`` maps our name to the server's (``{"rooms": "Laputa.rooms"}``).
+        ``tables`` maps our name to the server's (``{"rooms": "warehouse.rooms"}``).
         ``slices`` maps a name to ``(column, lower, upper, num_partitions)`` so a
         large table is read by many tasks in key ranges instead of one
         connection. Credentials come in ``properties`` (never prompted).

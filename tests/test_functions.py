@@ -175,3 +175,16 @@ def test_r_div_property(spark):
                 assert g == a / b
 
     check()
+
+
+def test_crawl_window_takes_iso_dates_only(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from roomrate.functions.dates import text_date_on_or_after
+
+    texts = ["2024-01-23", "2024-01-23 10:00:00", "2024-02-01T00", "2024-01-22 23:59", "n/a", "待定", "2024/01/24", "2024-1-25", "2024-02-30", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    kept = {r.t for r in df.where(text_date_on_or_after(F.col("t"), dt.date(2024, 1, 23))).collect()}
+    assert kept == set(texts[:3])

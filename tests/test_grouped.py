@@ -94,3 +94,36 @@ def test_full_join_null_safe_coalesces_keys(spark):
     right = spark.createDataFrame([("a", None, 5.0), ("c", "y", 6.0)], "city string, community string, r double")
     out = sorted(tuple(r) for r in join_null_safe(left, right, ["city", "community"], "full").collect())
     assert out == sorted([("a", None, 1.0, 5.0), ("b", "x", 2.0, None), ("c", "y", None, 6.0)], key=str)
+
+
+def test_quantiles_do_not_depend_on_exchange_reuse_or_partitions(spark):
+    df = spark.range(1_000_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 40)).alias("g"),
+        ((F.xxhash64("id") % 10_000_000) / 7.0).alias("v"),
+    )
+    want = {r["g"]: r["q"] for r in df.groupBy("g").agg(F.percentile("v", 0.65).alias("q")).collect()}
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for reuse, parts in (("true", "5"), ("false", "13")):
+            spark.conf.set("spark.sql.exchange.reuse", reuse)
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            got = {r["g"]: r["q"] for r in group_quantiles(df, ["g"], "v", {"q": 0.65}).collect()}
+            assert got.keys() == want.keys()
+            assert all(got[g] == pytest.approx(want[g], rel=1e-12) for g in want)
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_quantiles_of_special_values(spark):
+    vs = [float("nan"), None, -math.inf, -3.5, -0.0, 0.0, 5e-324, 1e-300, 2.0, 1.7e308, math.inf]
+    df = spark.createDataFrame([("g", v) for v in vs], "g string, v double")
+    r = group_quantiles(df, ["g"], "v", {"lo": 0.0, "a": 0.125, "m": 0.5, "hi": 1.0}).collect()[0]
+    assert (r["lo"], r["a"], r["m"], r["hi"]) == (-math.inf, -3.5, 5e-324, math.inf)
+
+
+def test_exact_sums_of_infinities_and_nan(spark):
+    rows = [("a", 1.0), ("a", math.inf), ("b", 1.0), ("b", math.nan), ("c", math.inf), ("c", -math.inf), ("d", None), ("e", -math.inf)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r["g"]: (r["s"], r["m"]) for r in df.groupBy("g").agg(exact_sum("v").alias("s"), exact_avg("v").alias("m")).collect()}
+    assert got == {"a": (math.inf, math.inf), "b": (1.0, 1.0), "c": (None, None), "d": (None, None), "e": (-math.inf, -math.inf)}

@@ -1,10 +1,9 @@
-"""Tree-ensemble scoring: compiled Column, pandas UDF, and SQL text agree."""
+"""Tree-ensemble scoring against hand-computed values, SQL and a plain walk."""
 
-import duckdb
-import pytest
+import numpy as np
 from pyspark.sql import functions as F
 
-from roomrate.operators.scoring import model_from_rows, score, tree_sql
+from roomrate.operators.scoring import model_from_rows, score
 from roomrate.sources.ensemble import DEMO_ENSEMBLE, OWN_MODEL, ROOM_MODEL, demo_ensemble_table, demo_model
 
 TINY = model_from_rows(
@@ -23,21 +22,25 @@ TINY = model_from_rows(
 def test_missing_and_split_branches(spark):
     df = spark.createDataFrame([(1.0, 5.0), (2.0, -1.0), (2.0, 1.0), (None, 1.0), (2.0, None), (float("nan"), 3.0)], "a double, b double")
     feats = {"a": F.col("a"), "b": F.col("b")}
-    got = [r[0] for r in df.select(score(TINY, feats, strategy="compiled")).collect()]
+    got = [r[0] for r in df.select(score(TINY, feats)).collect()]
     assert got == [-0.5, 10.5, 20.5, 20.5, 10.5, 20.5]
-    got_udf = [r[0] for r in df.select(score(TINY, feats, strategy="udf")).collect()]
-    assert got_udf == got
 
 
-def test_sql_text_matches(spark):
-    rows = [(1.0, 5.0), (2.0, -1.0), (2.0, 1.0), (None, 1.0), (2.0, None)]
-    con = duckdb.connect()
-    con.execute("create table t(a double, b double)")
-    con.executemany("insert into t values (?, ?)", rows)
-    sql_vals = [r[0] for r in con.sql(f"select {tree_sql(TINY, {'a': 'a', 'b': 'b'})} from t").fetchall()]
-    df = spark.createDataFrame(rows, "a double, b double")
-    spark_vals = [r[0] for r in df.select(score(TINY, {"a": F.col("a"), "b": F.col("b")})).collect()]
-    assert sql_vals == spark_vals
+def test_large_model_sums_in_tree_order(spark):
+    """More than 5000 nodes: the score is the single-precision sum in tree order."""
+    leaves = [((t * 37) % 101) / 7 for t in range(4000)]
+    rows = []
+    for t in range(2000):
+        rows += [(t, 0, "a", float(t % 50), 1, 2, 2, None), (t, 1, None, None, None, None, None, leaves[2 * t]),
+                 (t, 2, None, None, None, None, None, leaves[2 * t + 1])]
+    m = model_from_rows("big", rows)
+    assert m.n_nodes == 6000
+    df = spark.createDataFrame([(x,) for x in (0.0, 24.5, 60.0, None)], "a double")
+    for r in df.select("a", score(m, {"a": F.col("a")}).alias("s")).collect():
+        want = np.float32(0)
+        for t in range(2000):
+            want += np.float32(leaves[2 * t + (r.a is None or not r.a < t % 50)])
+        assert r.s == float(want)
 
 
 def test_float32_split(spark):
@@ -55,18 +58,3 @@ def test_ensemble_table_roundtrip(spark):
     assert table.count() == len(DEMO_ENSEMBLE)
     for name in (OWN_MODEL, ROOM_MODEL):
         assert load_model(table, name) == demo_model(name)
-
-
-def test_udf_equals_compiled_on_room_model(spark, tables_small):
-    from roomrate.registry import _attached
-    from roomrate.operators.scoring import numeric_features
-    from roomrate.plans.pricing import ROOM_FEATURES
-
-    rows = _attached(tables_small).where(F.col("xiaoqu_std_price_final").isNotNull()).withColumns(
-        {"bedroom_num_dev": 3 - F.col("bedroom_num"), "living_area_dev": 12 - F.col("living_area"), "face_dev": 3 - F.col("face")}
-    )
-    feats = numeric_features(rows, ROOM_FEATURES)
-    m = demo_model(ROOM_MODEL)
-    out = rows.select(score(m, feats, strategy="compiled").alias("c"), score(m, feats, strategy="udf").alias("u"))
-    pairs = out.collect()
-    assert pairs and all(r["c"] == pytest.approx(r["u"]) for r in pairs)
