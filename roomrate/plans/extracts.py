@@ -50,6 +50,7 @@ RND_ADDRESS = "研发"
 CODE_A = "A"
 
 # the "standard room" each own listing is compared with (extract A)
+# fixed values: the standard rooms that listings are compared with
 OWN_STANDARD = (
     ("before_room_num_y", 2),
     ("bedroom_num_y", 3),
@@ -184,17 +185,6 @@ def _crawl_standard_pairs(t: RentalTables, as_of: dt.date = CRAWL_AS_OF) -> Data
 
 
 # ------------------------------------------------------------------ JOB_C
-ROOM_COLUMNS = (
-    "city", "block", "community", "address", "origin_bedroom_num", "bedroom_num", "toilet_num",
-    "total_area", "dw_num", "dly_num", "has_lift", "heating", "floor", "xianfang_days", "code",
-    "area", "living_area", "balcony_area", "terrace_area", "toilet_area", "storeroom_area",
-    "has_toilet", "has_balcony", "has_storeroom", "has_terrace", "face_old", "face", "lighting",
-    "is_small_window", "shape", "rent_type", "status", "price", "city_level", "dts",
-    "zhuangxiu_end_date", "pre_total_outpr", "decoration_cost", "month_price", "imonths",
-    "free_days", "suite_id",
-)
-
-
 def suite_room_stats(t: RentalTables) -> DataFrame:
     """The one per-suite aggregate of ``rooms`` shared by extracts A and C."""
     return t.derived("room_stats", lambda: room_stats(t["rooms"]))

@@ -103,9 +103,6 @@ def crawl_standard_prices(pairs: DataFrame, model: TreeModel) -> DataFrame:
     return attach(scored, crawl_group_prices(pairs, model), GROUP)
 
 
-STD_PRICE_COLUMNS = ("city", "own_block", "community", "xiaoqu_std_price_final", "block_std_price")
-
-
 def reconciled_pairs(own_groups: DataFrame, crawl_groups: DataFrame) -> DataFrame:
     """JN10: full join of the two sources on (city, community), NULL matching NULL.
 

@@ -1,4 +1,4 @@
-"""SRC5: the boosted-tree models as a node table.
+"""SRC5: the boosted-tree models as a node table, or read from a booster's JSON file.
 
 The three pre-trained boosters of the original job are not published, so their
 predictions cannot be reproduced; what is rebuilt is the scoring of any
@@ -11,6 +11,9 @@ reaches (for example a NULL ``block_std_price``).
 
 from __future__ import annotations
 
+import json
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from roomrate.operators.scoring import ENSEMBLE_SCHEMA, TreeModel, model_from_rows
@@ -83,3 +86,37 @@ def demo_ensemble_table(spark: SparkSession) -> DataFrame:
 def read_ensemble(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """The exported node table of the trained boosters."""
     return spark.read.format(fmt).schema(ENSEMBLE_SCHEMA).load(path)
+
+
+def booster_rows(text: str, model: str, features: Sequence[str] | None = None) -> list[tuple]:
+    """Node-table rows of a gradient-boosting model saved as JSON (the public model format).
+
+    The base score becomes tree 0, a single leaf; features are named by ``features``, else by
+    the names in the file, else by position (``f0``, ``f1``, ...). Only numeric splits of a
+    single-output tree booster are read.
+    """
+    learner = json.loads(text)["learner"]
+    booster = learner["gradient_booster"]
+    if booster.get("name") != "gbtree":
+        raise ValueError(f"not a tree booster: {booster.get('name')}")
+    names = list(features or learner.get("feature_names") or ())
+    base = float(str(learner["learner_model_param"].get("base_score", "0")).strip("[]"))
+    rows = [(model, 0, 0, None, None, None, None, None, base)]
+    for t, tree in enumerate(booster["model"]["trees"], 1):
+        if any(tree.get("split_type", ())):
+            raise ValueError("categorical splits are not supported")
+        for node, (left, right) in enumerate(zip(tree["left_children"], tree["right_children"], strict=True)):
+            value = float(tree["split_conditions"][node])
+            if left < 0:
+                rows.append((model, t, node, None, None, None, None, None, value))
+            else:
+                at = tree["split_indices"][node]
+                missing = left if tree["default_left"][node] else right
+                rows.append((model, t, node, names[at] if names else f"f{at}", value, left, right, missing, None))
+    return rows
+
+
+def read_booster(spark: SparkSession, path: str, model: str, features: Sequence[str] | None = None) -> DataFrame:
+    """A booster's JSON file, in any store Spark reads, as a node table."""
+    text = spark.read.text(path, wholetext=True).first()[0]
+    return spark.createDataFrame(booster_rows(text, model, features), ENSEMBLE_SCHEMA)

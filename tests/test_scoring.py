@@ -58,3 +58,24 @@ def test_ensemble_table_roundtrip(spark):
     assert table.count() == len(DEMO_ENSEMBLE)
     for name in (OWN_MODEL, ROOM_MODEL):
         assert load_model(table, name) == demo_model(name)
+
+
+def test_booster_json_matches_hand_computed_scores(spark, tmp_path):
+    import json
+
+    from roomrate.operators.scoring import load_model
+    from roomrate.sources.ensemble import read_booster
+
+    tree = {
+        "left_children": [1, -1, 3, -1, -1], "right_children": [2, -1, 4, -1, -1], "split_indices": [0, 0, 1, 0, 0],
+        "split_conditions": [1.5, -1.0, 0.0, 10.0, 20.0], "default_left": [0, 0, 1, 0, 0], "split_type": [0, 0, 0, 0, 0],
+    }
+    learner = {
+        "feature_names": ["a", "b"], "learner_model_param": {"base_score": "5E-1"},
+        "gradient_booster": {"name": "gbtree", "model": {"trees": [tree]}},
+    }
+    (tmp_path / "m.json").write_text(json.dumps({"learner": learner}))
+    m = load_model(read_booster(spark, str(tmp_path / "m.json"), "m"), "m")
+    df = spark.createDataFrame([(1.0, 5.0), (2.0, -1.0), (2.0, 1.0), (None, 1.0), (2.0, None)], "a double, b double")
+    got = [r[0] for r in df.select(score(m, {"a": F.col("a"), "b": F.col("b")})).collect()]
+    assert got == [-0.5, 10.5, 20.5, 20.5, 10.5]
