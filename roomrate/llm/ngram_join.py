@@ -162,11 +162,11 @@ def _search_block(group: pa.Table) -> pa.Table:
     )
 
 
-def _among(sets: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The rows of ``sets`` that a Bloom filter of ``nodes`` lets through: all of theirs and few others.
-    Keeps the other sets out of the shuffle of a join that follows."""
-    words = set_bits(nodes.select(F.xxhash64("node").alias("h")), bits_for(nodes.count()), repeated=False)
-    return sets.filter(all_set(sets.sparkSession, words, F.xxhash64("node")))
+def _among(table: DataFrame, keys: DataFrame, column: str = "node") -> DataFrame:
+    """The rows of ``table`` that a Bloom filter of the ``keys`` lets through: all of theirs and few
+    others. Keeps the others out of the shuffle of a join that follows."""
+    words = set_bits(keys.select(F.xxhash64(column).alias("h")), bits_for(keys.count()), repeated=False)
+    return table.filter(all_set(table.sparkSession, words, F.xxhash64(column)))
 
 
 def block_links(crowded: DataFrame, sets: DataFrame) -> DataFrame:
@@ -365,7 +365,8 @@ def classes_and_links(docs: DataFrame, text_col: str) -> tuple[DataFrame, DataFr
     alive = alive.join(place, "node", "left").withColumn("root", F.coalesce("root", "node"))
     alive = written(alive, "alive")
     mixed = alive.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter(F.col("a") != F.col("b"))
-    open_ = written(alive.join(mixed.select("token"), "token", "left_semi"), "open")
+    mixed = written(mixed.select("token"), "mixed")
+    open_ = written(_among(alive, mixed, "token").join(mixed, "token", "left_semi"), "open")
     length = open_.groupBy("token").agg(F.count("*").alias("m"))
     crowded = open_.join(length.filter(F.col("m") > LONG_LIST).select("token"), "token", "left_semi")
     few = open_.join(length.filter(F.col("m") <= LONG_LIST).select("token"), "token", "left_semi")
