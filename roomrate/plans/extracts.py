@@ -16,6 +16,7 @@ from roomrate.functions.dates import days_since, on_or_after, text_date_on_or_af
 from roomrate.functions.numeric import clamp_nonneg, lenient_double, lenient_int, r_div
 from roomrate.functions.text import crawl_block, with_city_suffix
 from roomrate.operators.grouped import attach, exact_sum, group_aggregates, group_quantiles, na_poisoned
+from roomrate.operators.joins import join_spread
 from roomrate.operators.suite import (
     DELISTED,
     WORKSTATION,
@@ -106,6 +107,8 @@ def _own_standard_pairs(t: RentalTables, as_of: dt.date = AS_OF) -> DataFrame:
         & (F.col("has_storeroom") != E.YES)
         & (F.col("has_terrace") != E.YES)
         & ~F.col("status").isin(DELISTED)
+    ).select(
+        "suite_id", "living_area", "area", "toilet_area", "has_balcony", "price", "face", "has_toilet", "code", "status"
     )
     suites = t["suites"].where(F.col("bedroom_num") > 1).select(
         F.col("id").alias("suite_id"), "xiaoqu_id", "bedroom_num", "toilet_num", "ready_for_rent_date"
@@ -115,10 +118,9 @@ def _own_standard_pairs(t: RentalTables, as_of: dt.date = AS_OF) -> DataFrame:
     # daily facts hold one row per suite and day: only the distinct
     # (suite, before_room_num) pairs can reach the DISTINCT output
     daily = t["f_bi_sfinfor_day"].select("suite_id", "before_room_num").distinct()
-    joined = (
-        rooms.join(suites, "suite_id")
-        .join(daily, "suite_id")
-        .join(suite_toilet_counts(t["rooms"], suite_room_stats(t)), "suite_id")
+    toilets = suite_toilet_counts(t["rooms"], suite_room_stats(t))
+    joined = join_spread(
+        rooms, "suite_id", lambda ids: ids.join(suites, "suite_id").join(daily, "suite_id").join(toilets, "suite_id")
     )
     return joined.select(
         "city",
@@ -190,9 +192,13 @@ def suite_room_stats(t: RentalTables) -> DataFrame:
     return t.derived("room_stats", lambda: room_stats(t["rooms"]))
 
 
-def rooms_base(t: RentalTables) -> DataFrame:
-    """a1 of JOB_C: rooms not yet let, with their suite and community."""
-    rooms = t["rooms"].where(~F.col("status").isin(*PRICED_STATES) & F.col("deleted_at").isNull())
+def open_rooms(t: RentalTables) -> DataFrame:
+    """Rooms not yet let."""
+    return t["rooms"].where(~F.col("status").isin(*PRICED_STATES) & F.col("deleted_at").isNull())
+
+
+def suites_with_community(t: RentalTables) -> DataFrame:
+    """Suites with their community."""
     suites = t["suites"].select(
         F.col("id").alias("suite_id"),
         "xiaoqu_id",
@@ -208,19 +214,26 @@ def rooms_base(t: RentalTables) -> DataFrame:
         F.col("status").alias("suite_state"),
     )
     xq = t["xiaoqus"].select(F.col("id").alias("xiaoqu_id"), "city", "block", F.col("name").alias("community"))
-    return rooms.join(suites.join(xq, "xiaoqu_id"), "suite_id")
+    return suites.join(xq, "xiaoqu_id")
+
+
+def rooms_base(t: RentalTables) -> DataFrame:
+    """Rooms not yet let, with their suite and community."""
+    return open_rooms(t).join(suites_with_community(t), "suite_id")
 
 
 def _rooms_to_price(t: RentalTables, as_of: dt.date = AS_OF) -> DataFrame:
     """JOB_C: rooms to price with suite, cost, contract and landlord data (42 columns)."""
     rent = F.col("rent_type")
-    a1 = rooms_base(t).where(
-        F.col("city").isin(*DEADLINE_CITIES, *OPEN_CITIES)
-        & ~F.col("suite_id").isin(*denied_suite_ids())
+    rooms = open_rooms(t).where(
+        ~F.col("suite_id").isin(*denied_suite_ids())
         & F.col("price").isNull()
         & F.col("available_date").isNull()
         & (~rent.contains(E.WHOLE_UNIT) | (rent.contains(E.WHOLE_UNIT) & F.col("code").contains(CODE_A)))
-        & ~F.col("address").contains(RND_ADDRESS)
+    ).select(
+        "suite_id", "code", "area", "living_area", "balcony_area", "terrace_area", "toilet_area", "storeroom_area",
+        "has_toilet", "has_balcony", "has_storeroom", "has_terrace", "face", "lighting", "is_small_window", "shape",
+        "shape_note", "rent_type", "status", "price",
     )
     icost = decoration_cost(t["suite_decorations"], as_of).select("suite_id", "decoration_cost")
     # bb1 (AGG4 over listed suites) and the never-available anti join (JN8)
@@ -228,8 +241,10 @@ def _rooms_to_price(t: RentalTables, as_of: dt.date = AS_OF) -> DataFrame:
     bb1 = suite_room_stats(t).where((F.col("live_rooms") > 0) & (F.col("ever_available_rooms") == 0)).select(
         "suite_id", "dw_num", "dly_num"
     )
-    listed = (
-        ~F.col("suite_state").isin(DELISTED)
+    suites = suites_with_community(t).where(
+        F.col("city").isin(*DEADLINE_CITIES, *OPEN_CITIES)
+        & ~F.col("address").contains(RND_ADDRESS)
+        & ~F.col("suite_state").isin(DELISTED)
         & ~F.col("address").contains(WORKSTATION)
         & F.col("ready_for_rent_date").isNotNull()
     )
@@ -252,18 +267,22 @@ def _rooms_to_price(t: RentalTables, as_of: dt.date = AS_OF) -> DataFrame:
     in_force = landlord_price_in_force(t["landlord_payment_schedules"], t["contract_with_landlords"], as_of)
     mm = t["suite_decorations"].select("suite_id", "supplier_end_date").distinct()
     end_date = F.coalesce(F.col("supplier_end_date"), F.col("zhuangxiu_end_date"))
-    joined = (
-        a1.where(listed)
-        .join(icost, "suite_id")
-        .join(bb1, "suite_id")
-        .join(in_force, "suite_id", "left")
-        .join(mm, "suite_id", "left")
-        .where(
-            (F.col("city").isin(*DEADLINE_CITIES) & (end_date <= F.lit(as_of + dt.timedelta(days=DEADLINE_DAYS))))
-            | F.col("city").isin(*OPEN_CITIES)
+
+    def attach_suites(ids: DataFrame) -> DataFrame:
+        return (
+            ids.join(suites, "suite_id")
+            .join(icost, "suite_id")
+            .join(bb1, "suite_id")
+            .join(in_force, "suite_id", "left")
+            .join(mm, "suite_id", "left")
+            .where(
+                (F.col("city").isin(*DEADLINE_CITIES) & (end_date <= F.lit(as_of + dt.timedelta(days=DEADLINE_DAYS))))
+                | F.col("city").isin(*OPEN_CITIES)
+            )
+            .join(icontract, "suite_id")
         )
-        .join(icontract, "suite_id")
-    )
+
+    joined = join_spread(rooms, "suite_id", attach_suites)
     return joined.select(
         "city",
         "block",

@@ -128,8 +128,15 @@ def block_prices(rows: DataFrame) -> DataFrame:
 
 
 def community_prices(rows: DataFrame) -> DataFrame:
-    """ENC14: the community price(s) per (city, community), own listings first."""
-    return rows.select("city", "community", F.coalesce("final_own", "final_crawl").alias("xiaoqu_std_price_final")).distinct()
+    """ENC14: the community price(s) per (city, community), own listings first.
+
+    A distinct, written as a count that the price depends on: over a plain distinct the
+    optimizer drops the distinct of ``reconciled_pairs`` below it, and moves a filter on the
+    price under it, and the full join would no longer be shared with ``block_prices``.
+    """
+    price = F.coalesce("final_own", "final_crawl").alias("__price")
+    found = rows.groupBy("city", "community", price).agg(F.count("*").alias("__n"))
+    return found.select("city", "community", F.when(F.col("__n") > 0, F.col("__price")).alias("xiaoqu_std_price_final"))
 
 
 def reconcile(own_groups: DataFrame, crawl_groups: DataFrame) -> DataFrame:

@@ -1,10 +1,18 @@
 """Hot keys: one group holding a third of the rows is never processed whole by one task."""
 
+import os
+
+import duckdb
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SF_SMALL
+from harness import ALL_DRIVER_TABLES, compare, duck
 from roomrate.operators.grouped import attach, exact_avg, group_quantiles
+from roomrate.operators.joins import SALT, join_spread
+from roomrate.oracle_sql import oracle_sql
+from roomrate.registry import queries
 
 SKEW_CONF = {
     # shrink the thresholds so AQE's skew handling triggers on test-sized data
@@ -54,3 +62,72 @@ def test_quantiles_exact_under_skew_settings(spark, skew_conf):
     for k, q in want.items():
         key = None if (isinstance(k, float) and pd.isna(k)) else k
         assert got[key] == pytest.approx(q)
+
+
+def test_spread_join_shares_a_hot_key_out(spark, skew_conf):
+    old = spark.conf.get("spark.sql.adaptive.skewJoin.enabled")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")  # the salt alone has to do it
+    try:
+        rows = _rows(spark).withColumn("i", F.monotonically_increasing_id())
+        sides = [rows.where("k is not null").groupBy("k").agg(F.count("*").alias(n)) for n in ("a", "b", "c")]
+        out = join_spread(rows, "k", lambda ids: ids.join(sides[0], "k").join(sides[1], "k").join(sides[2], "k"))
+        assert SALT not in out.columns
+        per_task = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert sum(per_task) == rows.where("k is not null").count()
+        assert max(per_task) < sum(per_task) / 4  # a third of the rows has one key
+        wrong = out.where((F.col("a") != F.col("b")) | (F.col("b") != F.col("c"))).count()
+        assert wrong == 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", old)
+
+
+def test_spread_join_edge_rows(spark):
+    rows = spark.createDataFrame([("a", 1), ("a", 1), (None, 2), ("b", 3)], "k string, v int")
+    side = spark.createDataFrame([("a", "x"), ("a", "y"), ("c", "z"), (None, "n")], "k string, s string")
+    got = sorted(map(tuple, join_spread(rows, "k", lambda ids: ids.join(side, "k")).collect()))
+    assert got == [("a", 1, "x"), ("a", 1, "x"), ("a", 1, "y"), ("a", 1, "y")]
+    assert join_spread(rows.limit(0), "k", lambda ids: ids.join(side, "k")).count() == 0
+
+
+@pytest.fixture(scope="module")
+def hot_suite_dir(tmp_path_factory):
+    """The small tables plus one let and one unlet suite that hold a third of the rooms each."""
+    out = tmp_path_factory.mktemp("hot")
+    con = duckdb.connect()
+    for t in ALL_DRIVER_TABLES:
+        src = f"select * from read_parquet('{SF_SMALL}/{t}.parquet')"
+        if t == "lineitem":
+            # order keys whose suites pass the filters of JOB_A (odd) and JOB_C (even)
+            con.execute(f"create table l as {src}")
+            picked = con.execute(
+                f"""select min(o_orderkey) filter (where o_orderkey % 2 = 1 and o_orderkey % 5 > 0 and o_orderdate >= date '2001-03-10'),
+                min(o_orderkey) filter (where o_orderkey % 2 = 0 and o_orderkey % 40 > 0 and o_orderkey % 50 > 1
+                and o_orderkey % 7 > 1 and o_orderkey % 29 > 0 and o_custkey % 9 < 8 and o_orderstatus <> 'P'
+                and o_orderpriority not in ('5-LOW')) from read_parquet('{SF_SMALL}/orders.parquet')"""
+            ).fetchone()
+            src = "select * from l"
+            for key in picked:
+                if key is not None:
+                    src += f" union all select * replace ({key} as l_orderkey) from l"
+        con.execute(f"copy ({src}) to '{os.path.join(out, t)}.parquet' (format parquet)")
+    return str(out)
+
+
+@pytest.mark.parametrize("name", ["job_a", "job_c"])
+def test_hot_suite_jobs(spark, skew_conf, hot_suite_dir, name):
+    df = queries()[name](spark, hot_suite_dir)
+    res = compare(df, duck(hot_suite_dir), oracle_sql()[name])
+    assert res["ok"], res
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    # both sides of the join that takes the rooms are partitioned by suite and salt
+    final = plan.split("== Initial Plan ==")[0]
+    salted = [x for x in final.splitlines() if "hashpartitioning(suite_id" in x and SALT in x.split("hashpartitioning")[1]]
+    assert len(salted) >= 2, final
+
+
+@pytest.mark.parametrize("name", ["job_h", "job_i"])
+def test_reconciliation_runs_once(spark, skew_conf, name):
+    df = queries()[name](spark, SF_SMALL)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FullOuter") == 1, final
