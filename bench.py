@@ -17,6 +17,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from roomrate.plans.pipeline import Models, price_all  # noqa: E402
+from roomrate.plans.extracts import AS_OF, CRAWL_AS_OF  # noqa: E402
 from roomrate.registry import queries  # noqa: E402
 from roomrate.session import local_session  # noqa: E402
 from roomrate.sources.ensemble import CRAWL_MODEL, OWN_MODEL, ROOM_MODEL, demo_model  # noqa: E402
@@ -49,7 +50,7 @@ def main() -> None:
     out_root = tempfile.mkdtemp(prefix="roomrate-bench-out-")
     t0 = time.perf_counter()
     models = Models(demo_model(OWN_MODEL), demo_model(CRAWL_MODEL), demo_model(ROOM_MODEL))
-    price_all(RentalTables.from_driver(spark, sf_dir), models, out_root)
+    price_all(RentalTables.from_driver(spark, sf_dir), models, out_root, AS_OF, CRAWL_AS_OF)
     times["pipeline_csv"] = round(time.perf_counter() - t0, 3)
 
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")

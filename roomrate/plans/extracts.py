@@ -50,7 +50,6 @@ OPEN_CITIES = ("北京市", "天津市")
 RND_ADDRESS = "研发"
 CODE_A = "A"
 
-# the "standard room" each own listing is compared with (extract A)
 # fixed values: the standard rooms that listings are compared with
 OWN_STANDARD = (
     ("before_room_num_y", 2),
@@ -65,7 +64,7 @@ OWN_STANDARD = (
     ("face_y", 3),
     ("has_toilet_y", 0),
 )
-# the standard room of the crawl extract (B)
+# fixed values: the standard room of the crawl extract
 CRAWL_STANDARD = (
     ("bedroomnum_y", 3),
     ("area_y", 12),

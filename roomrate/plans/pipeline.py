@@ -52,8 +52,8 @@ def price_all(
     t: RentalTables,
     models: Models,
     out_root: str | None,
-    as_of: dt.date = X.AS_OF,
-    crawl_as_of: dt.date = X.CRAWL_AS_OF,
+    as_of: dt.date,
+    crawl_as_of: dt.date,
 ) -> PricingOutput:
     spark = t["rooms"].sparkSession
     ensure_checkpoint_dir(spark)

@@ -7,7 +7,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from roomrate.plans.extracts import AS_OF
+from roomrate.plans.extracts import AS_OF, CRAWL_AS_OF
 from roomrate.plans.pipeline import GAPS_NAME, RESULT_NAME, Models, price_all
 from roomrate.registry import queries
 from roomrate.sinks.csv import read_dated_csv
@@ -19,7 +19,7 @@ from conftest import ROOT, SF_SMALL
 def test_pipeline_writes_both_csvs(spark, tables_small):
     out = tempfile.mkdtemp(prefix="roomrate-test-out-")
     models = Models.from_table(demo_ensemble_table(spark))
-    res = price_all(tables_small, models, out)
+    res = price_all(tables_small, models, out, AS_OF, CRAWL_AS_OF)
     assert set(res.paths) == {GAPS_NAME, RESULT_NAME}
     assert res.paths[RESULT_NAME].endswith(f"run_date={AS_OF.isoformat()}")
     prices = read_dated_csv(spark, out, RESULT_NAME, AS_OF, res.prices.schema)
