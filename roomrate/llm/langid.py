@@ -139,7 +139,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     chosen = d.select("id", "lang").withColumn("r", rank).filter(F.col("r") <= max_rows).select("id", "lang").distinct()
     chosen = F.broadcast(chosen)  # languages * max_rows ids
     cut = with_struct(d.join(chosen, ["id", "lang"]), "__w", F.col("text"), "struct<windows:array<binary>>", _samples)
-    rows = cut.select("id", "lang", F.explode("__w.windows").alias("w")).collect()  # languages * max_rows * ROW_WINDOWS windows
+    once = cut.groupBy("id", "lang").agg(F.min("__w.windows").alias("windows"))  # however often an id repeats
+    rows = once.select("id", "lang", F.explode("windows").alias("w")).collect()  # languages * max_rows * ROW_WINDOWS windows
     if not rows:
         return None
     rows.sort(key=lambda r: (r["lang"], r["id"] is None, r["id"] or 0, bytes(r["w"])))

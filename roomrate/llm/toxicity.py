@@ -157,12 +157,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         chosen = part if chosen is None else chosen.union(part)
     # at most sum(max_rows) rows of distinct words reach the driver
     bag = with_struct(d.join(chosen, "id"), "__bag", F.col("text"), "struct<words:binary>", _bags)
-    rows = bag.select("id", "toxic", "__bag.words").collect()
-    rows.sort(key=lambda r: (r["id"], len(r["words"])))
-    seen = {}
-    for r in rows:  # repeated ids count once
-        seen.setdefault(r["id"], r)
-    rows = list(seen.values())
+    words = F.struct(F.length("__bag.words").alias("n"), F.col("__bag.words").alias("words"))
+    once = bag.groupBy("id").agg(F.max("toxic").alias("toxic"), F.min(words).alias("b"))  # however often an id repeats
+    rows = sorted(once.select("id", "toxic", "b.words").collect(), key=lambda r: r["id"])
     bags, toxic = [bytes(r["words"]) for r in rows], np.array([r["toxic"] == 1 for r in rows], bool)
     apart = np.arange(len(rows)) % 5 == 4
     pick = lambda mask: [bags[i] for i in np.flatnonzero(mask)]

@@ -260,6 +260,18 @@ def test_toxicity_and_language_tables(odd, empty, spark):
     assert all((r.lang_pred == "und") == (not any(map(str.isalpha, r.text or ""))) for r in by_text)
 
 
+def test_training_rows_are_bounded_however_often_an_id_repeats(spark, monkeypatch):
+    ids = spark.range(20).withColumnRenamed("id", "doc_id")
+    docs = ids.crossJoin(spark.range(30)).select("doc_id", F.concat(F.lit("some words "), F.col("id").cast("string")).alias("text"), F.lit("en").alias("lang"))
+    labels = ids.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    seen = []
+    monkeypatch.setattr(toxicity.SubwordSoftmax, "train", classmethod(lambda cls, d, t: seen.append(len(d)) or cls(np.zeros(toxicity.BUCKETS), 0.0)))
+    monkeypatch.setattr(langid.ByteCnn, "train", classmethod(lambda cls, w, lang, langs: seen.append(len(w))))
+    toxicity.fit(docs, labels)
+    langid.fit(docs)
+    assert len(seen) == 2 and 0 < max(seen) <= 20
+
+
 def test_language_accuracy_on_held_out_rows(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = langid.predictions(docs).join(docs, "doc_id").filter("held_out")
