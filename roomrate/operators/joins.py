@@ -13,30 +13,26 @@ and otherwise keeps the shuffle join (splitting skewed partitions).
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-SALT = "__salt"
-#: Parts that the rows of one key are spread over.
-SALTS = 64
+_TAG = "__tag"
 
 
-def join_spread(rows: DataFrame, key: str, attach_to: Callable[[DataFrame], DataFrame], salts: int = SALTS) -> DataFrame:
-    """Inner join of ``rows`` with key-level tables, no key's rows in one task.
+def join_spread(rows: DataFrame, side: DataFrame, key: str) -> DataFrame:
+    """Inner join of ``rows`` with ``side``, itself a chain of joins on ``key``, so that AQE can split
+    a hot key's rows.
 
-    AQE does not split a hot key in a chain of joins on that key: the next join needs
-    the partitioning that a split gives up. So the chain runs over the distinct
-    (key, salt) pairs of ``rows``, at most ``salts`` per key, and the rows meet its
-    result in a single join on (key, salt). ``attach_to`` joins the key-level tables to
-    those pairs and keeps both columns. The salt is a hash of the whole row, so a
-    recomputed task gives it again; equal rows share one. NULL keys match nothing.
+    AQE splits a join only if both inputs come straight from a shuffle; inside a chain of
+    joins on one key they do not. So the chain runs without the rows, and the rows meet its
+    result in one join on (key, hash of the key): the chain's partitioning by the key alone
+    does not serve that join, so both inputs are shuffled for it. NULL keys match nothing.
     """
-    salted = rows.withColumn(SALT, F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(salts)).cast("int"))
-    side = attach_to(salted.select(key, SALT).distinct())
-    return salted.join(side, [key, SALT]).drop(SALT)
+    tag = F.hash(key).alias(_TAG)
+    return rows.select("*", tag).join(side.select("*", tag), [key, _TAG]).drop(_TAG)
 
 
 def join_null_safe(

@@ -118,9 +118,7 @@ def _own_standard_pairs(t: RentalTables, as_of: dt.date = AS_OF) -> DataFrame:
     # (suite, before_room_num) pairs can reach the DISTINCT output
     daily = t["f_bi_sfinfor_day"].select("suite_id", "before_room_num").distinct()
     toilets = suite_toilet_counts(t["rooms"], suite_room_stats(t))
-    joined = join_spread(
-        rooms, "suite_id", lambda ids: ids.join(suites, "suite_id").join(daily, "suite_id").join(toilets, "suite_id")
-    )
+    joined = join_spread(rooms, suites.join(daily, "suite_id").join(toilets, "suite_id"), "suite_id")
     return joined.select(
         "city",
         "block",
@@ -266,22 +264,18 @@ def _rooms_to_price(t: RentalTables, as_of: dt.date = AS_OF) -> DataFrame:
     in_force = landlord_price_in_force(t["landlord_payment_schedules"], t["contract_with_landlords"], as_of)
     mm = t["suite_decorations"].select("suite_id", "supplier_end_date").distinct()
     end_date = F.coalesce(F.col("supplier_end_date"), F.col("zhuangxiu_end_date"))
-
-    def attach_suites(ids: DataFrame) -> DataFrame:
-        return (
-            ids.join(suites, "suite_id")
-            .join(icost, "suite_id")
-            .join(bb1, "suite_id")
-            .join(in_force, "suite_id", "left")
-            .join(mm, "suite_id", "left")
-            .where(
-                (F.col("city").isin(*DEADLINE_CITIES) & (end_date <= F.lit(as_of + dt.timedelta(days=DEADLINE_DAYS))))
-                | F.col("city").isin(*OPEN_CITIES)
-            )
-            .join(icontract, "suite_id")
+    priced_suites = (
+        suites.join(icost, "suite_id")
+        .join(bb1, "suite_id")
+        .join(in_force, "suite_id", "left")
+        .join(mm, "suite_id", "left")
+        .where(
+            (F.col("city").isin(*DEADLINE_CITIES) & (end_date <= F.lit(as_of + dt.timedelta(days=DEADLINE_DAYS))))
+            | F.col("city").isin(*OPEN_CITIES)
         )
-
-    joined = join_spread(rooms, "suite_id", attach_suites)
+        .join(icontract, "suite_id")
+    )
+    joined = join_spread(rooms, priced_suites, "suite_id")
     return joined.select(
         "city",
         "block",
