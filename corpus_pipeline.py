@@ -18,9 +18,13 @@ def _unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.drop_copies(docs)
 
 
+#: Near copies share shingles of so many words with at least so many hundredths of Jaccard similarity.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
+
 def _distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    return ngram_join.representatives(docs)
+    return ngram_join.representatives(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
 def _mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,11 +1,13 @@
 """N-gram Jaccard join by T-occurrence search (operator 1).
 
-A document is its set of hashed 4-word shingles. Two documents link when
-``100 * |A and B| >= 85 * |A or B|``, so a partner of a set of n has at least
-ceil(0.85 n) of its shingles. DivideSkip splits the inverted lists of a set by length:
+A document is its set of hashed shingles of ``words`` words. Two documents link when
+``100 * |A and B| >= percent * |A or B|``, so a partner of a set of n has at least
+required(n) = ceil(n * percent / 100) of its shingles. The query of the operator takes 4 words
+and 85 (the defaults), the pipeline's stage 5 words and 80. DivideSkip splits the inverted lists
+of a set by length:
 
 * Short lists: shingles are ordered by how often they occur (counted over all documents),
-  rarest first, and the first n - ceil(0.85 n) + T of a set, T = 1 + n // 32, are indexed.
+  rarest first, and the first n - required(n) + T of a set, T = 1 + n // 32, are indexed.
   A linked pair meets in at least T of these lists. They are merged on a heap, and a
   candidate that comes up fewer than T times is dropped.
 * Long lists: the frequent shingles left over are never read as lists. For a candidate
@@ -38,8 +40,8 @@ from pyspark.sql import functions as F
 from .common import bound_arrow, texts, with_struct, written
 from .exact_dedup import all_set, bits_for, set_bits
 
-WORDS = 4
-NUM, DEN = 85, 100
+#: Words of a shingle and least similarity in hundredths of the operator's query.
+WORDS, PERCENT = 4, 85
 #: One more short list must agree for each so many shingles.
 SHINGLES_PER_T = 32
 FREQUENT = 1 << 19
@@ -68,9 +70,9 @@ def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
     return np.unique(out * _MIX)
 
 
-def required(n):
+def required(n, percent: int = PERCENT):
     """Least overlap of a set of ``n`` with any partner."""
-    return -(-NUM * n // DEN)
+    return -(-percent * n // 100)
 
 
 def occurrences(n):
@@ -92,14 +94,16 @@ def probe_long(query: np.ndarray, candidate: np.ndarray) -> int:
     return int((candidate[at] == query).sum())
 
 
-def linked(a: np.ndarray, b: np.ndarray) -> bool:
-    if DEN * min(len(a), len(b)) < NUM * max(len(a), len(b)):
+def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
+    if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
         return False
     both = probe_long(a, b)
-    return DEN * both >= NUM * (len(a) + len(b) - both)
+    return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def divide_skip(sets: list[np.ndarray], parts: list, queries: np.ndarray, index: np.ndarray) -> list[tuple[int, int]]:
+def divide_skip(
+    sets: list[np.ndarray], parts: list, queries: np.ndarray, index: np.ndarray, percent: int = PERCENT
+) -> list[tuple[int, int]]:
     """Links (query, indexed) that join different parts, found by merging and probing inverted lists.
 
     ``parts`` names the component each set is known to be in; a link between two sets of
@@ -118,7 +122,7 @@ def divide_skip(sets: list[np.ndarray], parts: list, queries: np.ndarray, index:
     links = []
     for k, q in enumerate(queries.tolist()):
         s, n = sets[q], size[q]
-        t = required(n)
+        t = required(n, percent)
         at = np.minimum(np.searchsorted(tokens, s), len(tokens) - 1)
         at = at[tokens[at] == s]
         if len(at) < t:
@@ -128,7 +132,7 @@ def divide_skip(sets: list[np.ndarray], parts: list, queries: np.ndarray, index:
         short, long_ = at[: len(at) - skip], at[len(at) - skip :]
         count = np.bincount(np.concatenate([postings[start[a] : end[a]] for a in short]), minlength=len(index))
         other = size[index]
-        fit = (count >= t - skip) & (part[index] != part[q]) & (DEN * np.minimum(other, n) >= NUM * np.maximum(other, n))
+        fit = (count >= t - skip) & (part[index] != part[q]) & (100 * np.minimum(other, n) >= percent * np.maximum(other, n))
         if same:
             fit[k:] = False
         found = np.flatnonzero(fit)
@@ -139,14 +143,14 @@ def divide_skip(sets: list[np.ndarray], parts: list, queries: np.ndarray, index:
             run = postings[start[a] : end[a]]
             p = np.minimum(np.searchsorted(run, found), len(run) - 1)
             both = both + (run[p] == found)
-        for j in index[found[DEN * both >= NUM * (n + other[found] - both)]].tolist():
+        for j in index[found[100 * both >= percent * (n + other[found] - both)]].tolist():
             if part[j] != part[q]:
                 part[part == part[j]] = part[q]
                 links.append((q, j))
     return links
 
 
-def _search_block(group: pa.Table) -> pa.Table:
+def _search_block(group: pa.Table, percent: int) -> pa.Table:
     """Links of one pair of blocks: within the block if both are one, else across."""
     rows = group.select(["node", "root", "side", "set"]).to_pylist()
     rows.sort(key=lambda r: (r["side"], r["node"]))
@@ -155,7 +159,7 @@ def _search_block(group: pa.Table) -> pa.Table:
     index = np.flatnonzero(side == 0)
     queries = np.flatnonzero(side == 1) if (side == 1).any() else index
     alone = len(rows) and group.column("first")[0].as_py() != group.column("second")[0].as_py() and not (len(index) and (side == 1).any())
-    links = [] if alone else divide_skip(sets, [r["root"] for r in rows], queries, index)
+    links = [] if alone else divide_skip(sets, [r["root"] for r in rows], queries, index, percent)
     return pa.table(
         [pa.array([rows[i]["node"] for i, _ in links], pa.binary()), pa.array([rows[j]["node"] for _, j in links], pa.binary())],
         names=["u", "v"],
@@ -169,7 +173,7 @@ def _among(table: DataFrame, keys: DataFrame, column: str = "node") -> DataFrame
     return table.filter(all_set(table.sparkSession, words, F.xxhash64(column)))
 
 
-def block_links(crowded: DataFrame, sets: DataFrame) -> DataFrame:
+def block_links(crowded: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Links (u, v) between the classes of long open lists (token, node, root), searched in blocks."""
     heads = crowded.groupBy("token").agg(F.min("node").alias("v"))
     star = crowded.join(heads, "token").select(F.col("node").alias("u"), "v")
@@ -186,10 +190,14 @@ def block_links(crowded: DataFrame, sets: DataFrame) -> DataFrame:
         "bag", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"),
         F.when(F.col("block") > F.col("other"), 1).otherwise(0).alias("side"), "node", "root", "set",
     )
-    return nodes.groupBy("bag", "first", "second").applyInArrow(_search_block, "u binary, v binary")
 
+    def search(group: pa.Table) -> pa.Table:
+        return _search_block(group, percent)
 
-def frequent_shingles(docs: DataFrame, text: Column) -> tuple[np.ndarray, np.ndarray]:
+    return nodes.groupBy("bag", "first", "second").applyInArrow(search, "u binary, v binary")
+
+
+def frequent_shingles(docs: DataFrame, text: Column, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
     """(shingles ascending, counts) of the most frequent shingles over all documents.
 
     Each task counts its documents in chunks of a few million shingles and passes on what
@@ -211,7 +219,7 @@ def frequent_shingles(docs: DataFrame, text: Column) -> tuple[np.ndarray, np.nda
 
         for b in batches:
             for t in texts(b.column(0)):
-                s = shingles(t)
+                s = shingles(t, words)
                 held.append(s)
                 size += len(s)
                 if size >= _CHUNK:
@@ -230,7 +238,9 @@ def frequent_shingles(docs: DataFrame, text: Column) -> tuple[np.ndarray, np.nda
     return token[order], n[order]
 
 
-def indexed(docs: DataFrame, text: Column, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+def indexed(
+    docs: DataFrame, text: Column, frequent: tuple[np.ndarray, np.ndarray], words: int = WORDS, percent: int = PERCENT
+) -> DataFrame:
     """docs plus struct ``s``: n, node (hash of the set), short and hot (shingles of the index part)."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
@@ -238,7 +248,7 @@ def indexed(docs: DataFrame, text: Column, frequent: tuple[np.ndarray, np.ndarra
         tokens, counts = shared.value
         size, node, short, hot = [], [], [], []
         for t in texts(b):
-            s = shingles(t)
+            s = shingles(t, words)
             n = len(s)
             size.append(n)
             node.append(xxhash.xxh3_128_digest(s.tobytes()) if n else None)
@@ -246,7 +256,7 @@ def indexed(docs: DataFrame, text: Column, frequent: tuple[np.ndarray, np.ndarra
             if len(tokens) and n:
                 at = np.minimum(np.searchsorted(tokens, s), len(tokens) - 1)
                 often = np.where(tokens[at] == s, counts[at], 0)
-            part = n - required(n) + min(occurrences(n), required(n)) if n else 0
+            part = n - required(n, percent) + min(occurrences(n), required(n, percent)) if n else 0
             if not often.any():
                 first, first_often = s[:part], often[:part]
             else:
@@ -281,42 +291,51 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         e = written(small.select("x.u", "x.v").filter(F.col("u") != F.col("v")).distinct(), name)
 
 
-def _t(n: Column) -> Column:
-    return F.least(F.lit(1) + F.floor(n / SHINGLES_PER_T), F.ceil(n * NUM / DEN))
+def _t(n: Column, percent: int) -> Column:
+    return F.least(F.lit(1) + F.floor(n / SHINGLES_PER_T), F.ceil(n * percent / 100))
 
 
-def _sizes_fit(a: Column, b: Column) -> Column:
-    return F.least(a, b) * DEN >= F.greatest(a, b) * NUM
+def _sizes_fit(a: Column, b: Column, percent: int) -> Column:
+    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def _linked_sets(a: pa.Array, b: pa.Array) -> pa.Array:
+def _linked_sets(a: pa.Array, b: pa.Array, percent: int) -> pa.Array:
     pairs = zip(a.to_pylist(), b.to_pylist(), strict=True)
-    return pa.array([linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in pairs], pa.bool_())
+    return pa.array([linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in pairs], pa.bool_())
 
 
-def _best_pivots(n: pa.Array, pivots: pa.Array) -> pa.Array:
+def _best_pivots(n: pa.Array, pivots: pa.Array, percent: int) -> pa.Array:
     """The pivot met in most short lists, if it is met as often as the smallest partner asks for."""
     out = []
     for size, met in zip(n.to_pylist(), pivots.to_pylist(), strict=True):
-        least = required(size)
-        least = min(occurrences(least), required(least))
+        least = required(size, percent)
+        least = min(occurrences(least), required(least, percent))
         found = merge_short([[p] for p in met], lambda _, least=least: least)
         out.append(min(found, key=lambda x: (-x[1], x[0]))[0] if found else None)
     return pa.array(out, pa.binary())
 
 
-def classes_and_links(docs: DataFrame, text_col: str) -> tuple[DataFrame, DataFrame]:
+def classes_and_links(
+    docs: DataFrame, text_col: str, words: int = WORDS, percent: int = PERCENT
+) -> tuple[DataFrame, DataFrame]:
     """(every row of docs plus n, node; links as star edges u, v between nodes).
 
     The rows carry whatever columns ``docs`` has besides the text.
     """
-    _linked = F.arrow_udf(_linked_sets, "boolean")
-    _best_pivot = F.arrow_udf(_best_pivots, "binary")
+
+    @F.arrow_udf("boolean")
+    def _linked(a: pa.Array, b: pa.Array) -> pa.Array:
+        return _linked_sets(a, b, percent)
+
+    @F.arrow_udf("binary")
+    def _best_pivot(n: pa.Array, pivots: pa.Array) -> pa.Array:
+        return _best_pivots(n, pivots, percent)
+
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     key = F.struct(F.xxhash64(text).alias("h"), F.crc32(text.cast("binary")).alias("c"))
-    frequent = frequent_shingles(docs, text)
+    frequent = frequent_shingles(docs, text, words)
     rest = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
-    rows = indexed(docs.select(*rest, text.alias("__text"), key.alias("__key")), F.col("__text"), frequent)
+    rows = indexed(docs.select(*rest, text.alias("__text"), key.alias("__key")), F.col("__text"), frequent, words, percent)
     rows = written(rows.drop("__text"), "shingles")
     flat = rows.select("__key", F.col("s.n").alias("n"), F.col("s.node").alias("node"), F.col("s.short").alias("short"), F.col("s.hot").alias("hot"))
     classes = flat.filter(F.col("n") > 0).dropDuplicates(["node"])
@@ -331,7 +350,7 @@ def classes_and_links(docs: DataFrame, text_col: str) -> tuple[DataFrame, DataFr
     lists = written(short.select(columns).union(hot.join(heads, "token").select(columns)), "lists")
 
     # sets of the classes that meet others in as many lists as the smallest possible partner asks for
-    least = _t(F.ceil(F.col("n") * NUM / DEN))
+    least = _t(F.ceil(F.col("n") * percent / 100), percent)
     meets = lists.groupBy("node").agg(
         F.count("*").alias("c"), F.collect_list(F.when(F.col("pivot") != F.col("node"), F.col("pivot"))).alias("pivots")
     )
@@ -339,13 +358,13 @@ def classes_and_links(docs: DataFrame, text_col: str) -> tuple[DataFrame, DataFr
     meets = meets.filter(F.col("c") >= least).select("node", "n", "key", _best_pivot("n", "pivots").alias("pivot"))
     wanted = written(meets, "wanted")
     # a Bloom filter keeps most other texts out of the shuffle
-    words = set_bits(wanted.select("key.h"), bits_for(wanted.count()), repeated=False)  # as in _among
-    source = docs.select(key.alias("key"), text.alias("text")).filter(all_set(docs.sparkSession, words, F.col("key.h")))
+    bits = set_bits(wanted.select("key.h"), bits_for(wanted.count()), repeated=False)  # as in _among
+    source = docs.select(key.alias("key"), text.alias("text")).filter(all_set(docs.sparkSession, bits, F.col("key.h")))
     source = source.join(wanted.select("key"), "key", "left_semi")
     source = source.groupBy("key").agg(F.first("text").alias("text"))
 
     def as_set(b: pa.Array) -> pa.Array:
-        found = [shingles(t) for t in texts(b)]
+        found = [shingles(t, words) for t in texts(b)]
         return pa.StructArray.from_arrays([pa.array([s.tobytes() for s in found], pa.binary())], ["set"])
 
     sets = with_struct(source, "s", F.col("text"), "struct<set: binary>", as_set).select("key", F.col("s.set").alias("set"))
@@ -356,7 +375,7 @@ def classes_and_links(docs: DataFrame, text_col: str) -> tuple[DataFrame, DataFr
     pivots = sets.join(own.select(F.col("pivot").alias("node")).distinct(), "node", "left_semi")
     pivots = pivots.select(F.col("node").alias("v"), F.col("set").alias("v_set"), F.col("n").alias("v_n"))
     pairs = own.select(F.col("node").alias("u"), F.col("pivot").alias("v"), F.col("set").alias("u_set"), F.col("n").alias("u_n"))
-    pairs = pairs.join(pivots, "v").filter(_sizes_fit(F.col("u_n"), F.col("v_n")))
+    pairs = pairs.join(pivots, "v").filter(_sizes_fit(F.col("u_n"), F.col("v_n"), percent))
     edges = components(pairs.filter(_linked("u_set", "v_set")).select("u", "v"), "first")
 
     # second round: pairs of different components in lists that hold several
@@ -372,10 +391,10 @@ def classes_and_links(docs: DataFrame, text_col: str) -> tuple[DataFrame, DataFr
     few = open_.join(length.filter(F.col("m") <= LONG_LIST).select("token"), "token", "left_semi")
     x, y = (few.select("token", *[F.col(c).alias(f"{s}_{c}") for c in ("n", "node", "root")]) for s in "xy")
     met = x.join(y, "token").filter(
-        (F.col("x_node") < F.col("y_node")) & (F.col("x_root") != F.col("y_root")) & _sizes_fit(F.col("x_n"), F.col("y_n"))
+        (F.col("x_node") < F.col("y_node")) & (F.col("x_root") != F.col("y_root")) & _sizes_fit(F.col("x_n"), F.col("y_n"), percent)
     )
     met = met.groupBy("x_node", "y_node", "x_n", "y_n").agg(F.count("*").alias("c"))
-    met = met.filter(F.col("c") >= F.least(_t(F.col("x_n")), _t(F.col("y_n")))).select("x_node", "y_node")
+    met = met.filter(F.col("c") >= F.least(_t(F.col("x_n"), percent), _t(F.col("y_n"), percent))).select("x_node", "y_node")
     tried = own.select(F.least("node", "pivot").alias("x_node"), F.greatest("node", "pivot").alias("y_node"))
     met = written(met.join(tried, ["x_node", "y_node"], "left_anti"), "pairs")
     needed = _among(sets, met.select(F.explode(F.array("x_node", "y_node")).alias("node")))
@@ -384,12 +403,14 @@ def classes_and_links(docs: DataFrame, text_col: str) -> tuple[DataFrame, DataFr
     more = met.join(a, "x_node").join(b, "y_node").filter(_linked("a", "b")).select(F.col("x_node").alias("u"), F.col("y_node").alias("v"))
     crowd = written(crowded, "crowded")
     if not crowd.isEmpty():
-        more = more.union(block_links(crowd, sets))
+        more = more.union(block_links(crowd, sets, percent))
     more = written(more, "links")
     return rows, edges if more.isEmpty() else components(edges.union(more), "second")
 
 
-def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix: str = "__near_") -> DataFrame:
+def grouped(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix: str = "__near_", words: int = WORDS, percent: int = PERCENT
+) -> DataFrame:
     """The columns of ``docs`` but the text, plus n_shingles, component_id and root (the
     component's name among sets, null without words) named by ``prefix``.
 
@@ -397,7 +418,7 @@ def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pre
     null id never names a component that has another id. Repeated rows are equal sets.
     Other columns pass unchanged. An empty table gives an empty table.
     """
-    rows, edges = classes_and_links(docs, text_col)
+    rows, edges = classes_and_links(docs, text_col, words, percent)
     ident = F.col(f"`{id_col}`")
     node = rows.filter(F.col("s.n") > 0).groupBy(F.col("s.node").alias("node")).agg(F.min(ident).alias("low"))
     node = node.join(edges.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left")
@@ -418,14 +439,16 @@ def groups(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", F.col("__near_n_shingles").alias("n_shingles"), F.col("__near_component_id").alias("component_id"))
 
 
-def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def representatives(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT
+) -> DataFrame:
     """The rows of ``docs`` with one document of each component: its smallest id, the smaller
     text hash among equal ids, one of repeated rows. Documents without words all stay."""
     ident, text = F.col(f"`{id_col}`"), F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     key = F.concat_ws("-", F.xxhash64(text), F.crc32(text.cast("binary")))
     has_word = text.rlike(r"[^\x20\x09-\x0D]")
     some = docs.filter(has_word)
-    marked = grouped(some.select(ident.alias("id"), key.alias("k"), text.alias("t")), "id", "t")
+    marked = grouped(some.select(ident.alias("id"), key.alias("k"), text.alias("t")), "id", "t", words=words, percent=percent)
     best = marked.groupBy("__near_root").agg(F.min(F.struct(F.col("id").isNull(), "id", "k")).alias("b"))
     kept = best.select(F.col("b.id").alias("__id"), F.col("b.k").alias("__k"))
     whole = some.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), ident.alias("id"), key.alias("k"))

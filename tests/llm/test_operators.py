@@ -102,6 +102,50 @@ def test_ngram_join_long_lists_and_blocks(spark, monkeypatch):
     assert 1 < len(set(part)) < 150
 
 
+def test_pipeline_drops_near_copies_from_a_similarity_of_80_on(spark):
+    def sets(text, n):
+        w = text.split()
+        return {tuple(w[j : j + n]) for j in range(len(w) - n + 1)}
+
+    def similarity(a, b, n=5):
+        return len(sets(a, n) & sets(b, n)) / len(sets(a, n) | sets(b, n))
+
+    rng = random.Random(8)
+    texts = []
+    for g, more in enumerate([40, 48, 52, 30]):  # words appended to a copy of 200 words
+        base = ["g%dw%d" % (g, rng.randrange(5000)) for _ in range(200)]
+        texts += [" ".join(base), " ".join(base + ["g%dx%d" % (g, i) for i in range(more)])]
+    j = [similarity(a, b) for a, b in zip(texts[::2], texts[1::2], strict=True)]
+    assert 0.8 <= j[1] < j[0] < 0.85 <= j[3] and j[2] < 0.8
+    df = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    stage = dict(corpus_pipeline.STAGES)["ngram_join"]
+    assert rows(stage(spark, df, SF), "doc_id") == [(0,), (2,), (4,), (5,), (6,)]
+    assert rows(ngram_join.representatives(df), "doc_id") == [(i,) for i in range(7)]
+
+
+def test_ngram_join_at_5_words_and_80_matches_brute_force(spark, monkeypatch):
+    rng = random.Random(11)
+    base = ["b%d" % i for i in range(120)]
+    texts = []
+    for i in range(150):
+        w = list(base)
+        for j in rng.sample(range(120), rng.choice([1, 2, 2, 3, 4])):
+            w[j] = f"x{i}_{j}" if rng.random() < 0.6 else f"y{j}"
+        texts.append(" ".join(w))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    monkeypatch.setattr(ngram_join, "BLOCK_SETS", 40)
+    monkeypatch.setattr(ngram_join, "LONG_LIST", 8)
+    s = [set(zip(*[t.split()[k:] for k in range(5)], strict=False)) for t in texts]
+    part = list(range(150))
+    for i in range(150):
+        for j in range(i):
+            if 100 * len(s[i] & s[j]) >= 80 * len(s[i] | s[j]):
+                a, b = part[i], part[j]
+                part = [min(a, b) if p in (a, b) else p for p in part]
+    got = rows(ngram_join.grouped(df, words=5, percent=80), "doc_id", "__near_component_id")
+    assert dict(got) == dict(enumerate(part)) and 1 < len(set(part)) < 150
+
+
 def test_heap_merge_and_probe():
     assert ngram_join.merge_short([[1, 3], [1, 2], [1, 3]], lambda _: 2) == [(1, 3), (3, 2)]
     a, b = np.array([1, 5, 9], np.uint64), np.array([5, 9, 10, 11], np.uint64)
