@@ -221,6 +221,23 @@ def test_packing(odd, empty):
     assert packing.packed(empty).count() == 0
 
 
+def test_packing_takes_the_special_token_as_tokenizers_does(spark):
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [f"a{end}b", end, end * 3, f" {end} \n{end}", f"{end[:-1]} |>{end}é", f"<|{end}|>", f"x {end.upper()} y", f"one two  {end}\t three"]
+    assert t.encode(texts[0], add_special_tokens=False).ids == [64, 50256, 65]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = []
+    for i, text in enumerate(texts):
+        ids = np.array([*t.encode(text, add_special_tokens=False).ids, 1], "<u4")
+        want.append((i, 0, len(ids), zlib.crc32(ids.tobytes()), len(ids)))
+        assert list(packing.encoder().encode(text, allowed_special="all")) == ids[:-1].tolist()
+    assert rows(packing.pieces(df), "doc_id", "start", "length", "ids_crc32", "doc_tokens") == want
+
+
 def test_cutting_stock_is_near_the_bound():
     rng = np.random.default_rng(1)
     histogram = {int(k) * 32: int(n) for k, n in zip(range(1, 64), rng.integers(1, 400, 63), strict=True)}
