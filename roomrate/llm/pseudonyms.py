@@ -7,6 +7,13 @@ equal pseudonyms in every document and different values different ones; what doe
 validate stays. The network adds keyed hashes of one half to the other, modulo the size of
 that half, so it permutes any product of two ranges and needs no cycle walking.
 
+A card is sought in the whole run of digit groups around it, since an expiry date, a check
+number or a year may stand next to it: at any borders of groups, 13 to 19 digits that pass Luhn
+are a card if the groups are laid out as on cards (or are one group), if they have the prefix and
+length of a card network, or if they are the whole run. Where such cards overlap, those with
+both layout and network come first, then those laid out as cards, then the whole run, then the
+network's; then the first in the run, then the one of fewest groups.
+
 Cards keep length and separators and stay Luhn-valid, phones keep country code and a valid
 first digit of area and exchange, dates stay in 1900-2099, emails keep their domain and the
 place of letters, digits and signs.
@@ -25,7 +32,16 @@ _IP = r"(?<!\d)(?<!\d\.)\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d)"
 _DATE = r"(?<!\d)(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?!\d)"
 _PHONE = r"(?<!\d)(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[.-])\d{3}[ .-]\d{4}(?!\d)"
 _SSN = r"(?<!\d)\d{3}-\d{2}-\d{4}(?!\d)"
-_CARD = r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)"
+#: A run of 13 digits or more that ends where another kind begins. Possessive: long runs need no stack.
+_CARD = rf"(?<!\d)\d(?:(?:[ -](?!{_EMAIL}|{_IP}|{_DATE}|{_PHONE}|{_SSN}))?\d){{12,}}+"
+#: Digits of the groups of a card, besides those in one group.
+_LAYOUTS = ["4-4-4-4", "4-6-5", "4-6-4", "4-4-4-1", "4-4-5", "4-4-4-4-1", "4-4-4-4-2", "4-4-4-4-3", "6-13", "8-8"]
+#: Prefixes and lengths of the card networks.
+_NETWORK = (
+    r"^(?:4\d{12}(?:\d{3}){0,2}|(?:5[1-5]\d\d|222[1-9]|22[3-9]\d|2[3-6]\d\d|27[01]\d|2720|220[0-4])\d{12}|3[47]\d{13}"
+    r"|3(?:0[0-59]|[689]\d)\d{11}(?:\d{2}){0,1}|35(?:2[89]|[3-8]\d)\d{12,15}|6(?:011|4[4-9]\d|5\d\d|2\d\d)\d{12,15}"
+    r"|(?:5[0678]\d\d|6[037]\d\d)\d{9,15}|(?:508\d|8[12]\d\d|9792)\d{12})$"
+)
 #: In order of preference at the same place.
 KINDS = {"email": _EMAIL, "ip": _IP, "date": _DATE, "phone": _PHONE, "ssn": _SSN, "card": _CARD}
 PATTERN = "|".join(KINDS.values())
@@ -98,6 +114,8 @@ def _number(key: str, kind: str, digits: Column) -> Column:
 
 
 def _card(key: str, m: Column) -> Column:
+    """Image of the Luhn-valid digits in ``m``, with its separators."""
+
     def image(d: Column) -> Column:
         payload = F.substr(d, F.lit(1), F.length(d) - 1)
         return _let(
@@ -105,7 +123,80 @@ def _card(key: str, m: Column) -> Column:
             lambda p: _refill(m, F.concat(p, ((10 - luhn_sum(F.concat(p, F.lit("0"))) % 10) % 10).cast("string"))),
         )
 
-    return _let(_digits(m), lambda d: F.when(luhn_sum(d) % 10 == 0, image(d)).otherwise(m))
+    return _let(_digits(m), image)
+
+
+def _windows(groups: Column) -> Column:
+    """(at, n, digits, layout) of every 13 to 19 digits between borders of the ``groups`` of a run,
+    a lambda variable: an expression would be evaluated anew for each of them."""
+
+    def window(i: Column, n: Column) -> Column:
+        return _let(
+            F.slice(groups, i, n),
+            lambda g: F.struct(
+                i.alias("at"), n.alias("n"), F.array_join(g, "").alias("digits"),
+                F.array_join(F.transform(g, lambda x: F.length(x).cast("string")), "-").alias("layout"),
+            ),
+        )
+
+    starts = F.sequence(F.lit(1), F.size(groups))
+    every = F.flatten(
+        F.transform(starts, lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(19), F.size(groups) - i + 1)), lambda n: window(i, n)))
+    )
+    return F.filter(every, lambda w: F.length(w["digits"]).between(13, 19))
+
+
+def _cards(windows: Column, n_groups: Column) -> Column:
+    """(at, n) of the cards among the ``windows``, none overlapping, in order."""
+
+    def rank(w: Column) -> Column:
+        laid_out = (w["n"] == 1) | w["layout"].isin(_LAYOUTS)
+        network = w["digits"].rlike(_NETWORK)
+        return F.when(laid_out & network, 1).when(laid_out, 2).when(w["n"] == n_groups, 3).when(network, 4)
+
+    valid = F.filter(windows, lambda w: luhn_sum(w["digits"]) % 10 == 0)
+    ranked = F.transform(valid, lambda w: F.struct(rank(w).alias("rank"), w["at"].alias("at"), w["n"].alias("n")))
+    ranked = F.array_sort(F.filter(ranked, lambda w: w["rank"].isNotNull()))
+
+    def take(taken: Column, w: Column) -> Column:
+        meets = F.exists(taken, lambda t: (t["at"] < w["at"] + w["n"]) & (w["at"] < t["at"] + t["n"]))
+        return F.when(meets, taken).otherwise(F.concat(taken, F.array(F.struct(w["at"].alias("at"), w["n"].alias("n")))))
+
+    return F.array_sort(F.aggregate(ranked, F.array().cast("array<struct<at:int,n:int>>"), take))
+
+
+def _run(key: str, m: Column) -> Column:
+    """Struct (value, found) of a run of digit groups: its text with the cards replaced, and the
+    cards; the run itself is found, unchanged, if it could hold a card but none is valid."""
+    groups = F.split(m, "[ -]")
+    ends = F.concat(F.regexp_extract_all(m, F.lit("[ -]"), F.lit(0)), F.array(F.lit("")))
+    pieces = F.zip_with(groups, ends, lambda g, e: F.concat(g, e))
+    text = lambda p, at, n: F.array_join(F.slice(p, at, n), "")
+    entry = lambda v: F.struct(F.lit("card").alias("kind"), v.alias("value"))
+
+    def replaced(p: Column, cards: Column) -> Column:
+        start = F.struct(F.lit("").alias("s"), F.lit(1).alias("k"))
+
+        def step(acc: Column, c: Column) -> Column:
+            return F.struct(F.concat(acc["s"], text(p, acc["k"], c["at"] - acc["k"]), c["value"]).alias("s"), (c["at"] + c["n"]).alias("k"))
+
+        return F.aggregate(cards, start, step, lambda acc: F.concat(acc["s"], text(p, acc["k"], F.size(p))))
+
+    def made(p: Column, windows: Column) -> Column:
+        images = F.transform(
+            _cards(windows, F.size(p)),
+            lambda c: F.struct(c["at"].alias("at"), c["n"].alias("n"), _card(key, text(p, c["at"], c["n"])).alias("value")),
+        )
+        none = F.when(F.size(windows) > 0, F.array(entry(m))).otherwise(F.array().cast("array<struct<kind:string,value:string>>"))
+        return _let(
+            images,
+            lambda cards: F.struct(
+                replaced(p, cards).alias("value"),
+                F.when(F.size(cards) > 0, F.transform(cards, lambda c: entry(F.rtrim(F.regexp_replace(c["value"], "-$", ""))))).otherwise(none).alias("found"),
+            ),
+        )
+
+    return _let(pieces, lambda p: _let(F.transform(p, _digits), lambda g: _let(_windows(g), lambda w: made(p, w))))
 
 
 def _ssn(key: str, m: Column) -> Column:
@@ -201,14 +292,16 @@ def _kind(m: Column) -> Column:
 
 
 def pseudonym(m: Column, key: str) -> Column:
-    """Struct (kind, value, changed) of one match."""
+    """Struct (kind, value, found) of one match: its text with pseudonyms, and an array of what it holds."""
     makers = {"email": _email, "ip": _ip, "date": _date, "phone": _phone, "ssn": _ssn}
 
     def made(k: Column) -> Column:
-        value = _card(key, m)
+        value = m
         for name, make in makers.items():
             value = F.when(k == name, make(key, m)).otherwise(value)
-        return F.struct(k.alias("kind"), value.alias("value"))
+        one = _let(value, lambda v: F.struct(v.alias("value"), F.array(F.struct(k.alias("kind"), v.alias("value"))).alias("found")))
+        either = F.when(k == "card", _run(key, m)).otherwise(one)
+        return _let(either, lambda x: F.struct(k.alias("kind"), x["value"].alias("value"), x["found"].alias("found")))
 
     return _let(_kind(m), made)
 
@@ -224,11 +317,12 @@ def masked(docs: DataFrame, text_col: str = "text", key: str = DEMO_KEY, name: s
     some = text.rlike("[0-9@]")
     found = F.when(some, F.transform(F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)), lambda m: pseudonym(m, key)))
     parts = F.when(some, F.split(text, PATTERN, -1))
-    out = docs.withColumn("__found", F.coalesce(found, F.array().cast("array<struct<kind:string,value:string>>"))).withColumn("__parts", parts)
+    out = docs.withColumn("__found", F.coalesce(found, F.array().cast("array<struct<kind:string,value:string,found:array<struct<kind:string,value:string>>>>"))).withColumn("__parts", parts)
     values = F.concat(F.transform("__found", lambda s: s["value"]), F.array(F.lit("")))
     joined = F.array_join(F.zip_with("__parts", values, lambda p, v: F.concat(p, v)), "")
     body = F.when(F.size("__found") > 0, joined).otherwise(text)
-    return out.withColumn(name, F.struct(body.alias("text"), F.col("__found").alias("found"))).drop("__found", "__parts")
+    held = F.flatten(F.transform("__found", lambda s: s["found"]))
+    return out.withColumn(name, F.struct(body.alias("text"), held.alias("found"))).drop("__found", "__parts")
 
 
 def pseudonymised(docs: DataFrame, key: str = DEMO_KEY) -> DataFrame:

@@ -357,6 +357,28 @@ def test_pseudonyms(odd, empty, spark):
     assert pseudonyms.masked(odd).count() == odd.count() and pseudonyms.pseudonymised(empty).count() == 0
 
 
+def test_pseudonyms_of_cards_next_to_other_digits(spark):
+    plain, grouped, amex = "4111111111111111", "4111 1111 1111 1111", "3782 822463 10005"
+    texts = [plain, grouped, f"{grouped} 12/27", f"{plain} 123", f"in 2024 {grouped}", f"{grouped} 5500 0000 0000 0004 12/27", amex,
+             f"1 2 {amex} 1234 12/2027", f"{grouped} 2024-02-29", f"{grouped}-123-45-6789", f"{grouped} 123@x.example.com",
+             f"{grouped} 10.0.0.1", "41111111 11111111 1227", "9" * 30, "1 " * 2_000, f"{'7 ' * 400}{grouped} 12", "4111 1111 1111 1112 12/27"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r.doc_id: r for r in pseudonyms.pseudonymised(df, "k").collect()}
+    got = [out[i].text for i in range(len(texts))]
+    card, first = got[0], got[1]
+    four, fives = first.replace(" ", ""), got[6].replace(" ", "")
+    assert four == card != plain and len(first) == 19 and fives != amex.replace(" ", "")
+    assert got[2] == f"{first} 12/27" and got[3] == f"{card} 123" and got[4] == f"in 2024 {first}"
+    assert re.fullmatch(rf"{first} \d{{4}} \d{{4}} \d{{4}} \d{{4}} 12/27", got[5]) and "5500 0000 0000 0004" not in got[5]
+    assert got[7] == f"1 2 {got[6]} 1234 12/2027"
+    assert got[8].startswith(first + " ") and "2024-02-29" not in got[8]
+    assert got[9].startswith(first + "-") and "123-45-6789" not in got[9]
+    assert re.fullmatch(rf"{first} \d{{3}}@x\.example\.com", got[10]) and got[11].startswith(first + " ") and "10.0.0.1" not in got[11]
+    assert got[12] == f"{four[:8]} {four[8:]} 1227"
+    assert got[13:15] == texts[13:15] and got[15] == f"{'7 ' * 400}{first} 12" and got[16] == texts[16]
+    assert [out[i].n_card for i in (0, 2, 4, 5, 8, 13, 16)] == [1, 1, 1, 2, 1, 0, 1]
+
+
 def test_mix(odd, empty, spark):
     got = mix.taken(odd).collect()
     assert len(got) == odd.count()
