@@ -4,7 +4,8 @@ A small tree builder with implied end tags reads the page, visibility rules drop
 browser would not show, and a renderer walks the tree once: blocks on lines of their own
 (a blank line around paragraphs, headings, lists and tables), list items with markers and
 indentation, ``pre`` as it is, and tables with cells aligned in columns. All visible text
-is emitted, menus and footers too. Parsing is linear in the page and never recursive, so
+is emitted, menus and footers too, and the text of svg and math in the order of the page. An
+open head ends, also without its end tag, at the first thing that cannot stand in it. Parsing is linear in the page and never recursive, so
 very deep or broken pages do no harm.
 """
 
@@ -22,7 +23,15 @@ from .common import with_struct
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 HIDDEN = frozenset(
-    "head script style template noscript title datalist iframe noembed noframes object audio video canvas svg math".split()
+    "head script style template noscript title datalist iframe noembed noframes object audio video canvas".split()
+)
+#: Elements of svg and math whose text is not shown, and HTML elements that end an open svg.
+HIDDEN_FOREIGN = frozenset(
+    "desc metadata defs symbol clippath mask pattern marker lineargradient radialgradient filter annotation annotation-xml".split()
+)
+BREAKOUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre "
+    "ruby s small span strong strike sub sup table tt u ul var".split()
 )
 #: Blocks with a blank line around them, and blocks on a line of their own.
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure".split())
@@ -49,22 +58,32 @@ _NOT_SHOWN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children", "hidden")
+    __slots__ = ("tag", "attrs", "children", "hidden", "within")
 
-    def __init__(self, tag: str, attrs: dict[str, str]):
+    def __init__(self, tag: str, attrs: dict[str, str], within: str = ""):
         self.tag, self.attrs, self.children = tag, attrs, []
+        #: Its content is HTML (""), "svg" (drawn, no text), "text" (text of svg) or "math".
+        self.within = within
+        if tag in ("svg", "math"):
+            self.within = tag
+        elif within == "svg" and tag == "text":
+            self.within = "text"
+        elif within in ("svg", "text") and tag in ("foreignobject", "desc"):
+            self.within = ""
         self.hidden = (
             tag in HIDDEN or "hidden" in attrs or bool(_NOT_SHOWN.search(attrs.get("style", "")))
-            or (tag == "dialog" and "open" not in attrs)
+            or (tag == "dialog" and "open" not in attrs) or (within != "" and tag in HIDDEN_FOREIGN)
         )
 
 
 def tokens(page: str):
-    """("text", str), ("start", tag, attrs) and ("end", tag) of a page; comments and doctypes dropped."""
-    pos, n, unclosed = 0, len(page), set()
+    """("text", str), ("start", tag, attrs) and ("end", tag) of a page; comments and doctypes dropped.
+    Within svg and math, a tag that ends in "/>" is followed by its end."""
+    pos, n, unclosed, foreign = 0, len(page), set(), 0
 
-    def attributes(at: int) -> tuple[dict[str, str], int]:
+    def attributes(at: int) -> tuple[dict[str, str], int, bool]:
         attrs: dict[str, str] = {}
+        last = at  # end of the last value: a slash before it does not close the tag
         while at < n and page[at] != ">":
             m = _ATTR.match(page, at)
             if not m:
@@ -84,8 +103,9 @@ def tokens(page: str):
                     while end < n and page[end] not in " \t\n\r\f>":
                         end += 1
                     value, at = page[at:end], end
+                last = at
             attrs.setdefault(m[1].lower(), unescape(value))
-        return attrs, at + 1
+        return attrs, at + 1, at > last and page[at - 1] == "/"
 
     while pos < n:
         lt = page.find("<", pos)
@@ -105,11 +125,18 @@ def tokens(page: str):
         elif nxt == "/" and (m := _NAME.match(page, lt + 2)):
             end = page.find(">", m.end())
             pos = n if end < 0 else end + 1
+            if m[0].lower() in ("svg", "math"):
+                foreign = max(foreign - 1, 0)
             yield ("end", m[0].lower())
         elif m := _NAME.match(page, lt + 1):
             tag = m[0].lower()
-            attrs, pos = attributes(m.end())
+            attrs, pos, closed = attributes(m.end())
             yield ("start", tag, attrs)
+            if closed and (foreign or tag in ("svg", "math")):
+                yield ("end", tag)
+                continue
+            if tag in ("svg", "math"):
+                foreign += 1
             if tag in RAW:
                 close = re.compile(rf"</{tag}(?=[\s/>])", re.IGNORECASE).search(page, pos)
                 end = close.start() if close else n
@@ -145,7 +172,10 @@ def tree(page: str) -> Node:
 
     for kind, *rest in tokens(page):
         if kind == "text":
-            stack[-1].children.append(rest[0])
+            if stack[-1].tag == "head" and rest[0].strip():
+                close(frozenset({"head"}), frozenset())
+            if stack[-1].within != "svg":
+                stack[-1].children.append(rest[0])
         elif kind == "end":
             tag = rest[0]
             if tag == "br":
@@ -155,6 +185,10 @@ def tree(page: str) -> Node:
                 close(frozenset({tag}), barrier)
         else:
             tag, attrs = rest
+            if stack[-1].within in ("svg", "text") and tag in BREAKOUT:
+                close(frozenset({"svg"}), frozenset({"foreignobject"}))
+            if tag == "body" and count.get("head"):
+                close(frozenset({"head"}), frozenset())
             if tag in ("html", "body"):
                 continue
             if count.get("head") and tag not in ("meta", "link", "base", "noscript", "template") and tag not in RAW:
@@ -167,8 +201,10 @@ def tree(page: str) -> Node:
                     close(_ROWS, frozenset({"table"}))
             if tag in BLOCK and count.get("p"):
                 close(frozenset({"p"}), frozenset({"table", "td", "th", "button", "object"}))
-            node = Node(tag, attrs)
-            stack[-1].children.append(node)
+            within = stack[-1].within
+            node = Node(tag, attrs, within)
+            apart = [" "] if within == "svg" and tag == "text" else []  # texts of a drawing stand apart
+            stack[-1].children.extend([*apart, node, *apart])
             if tag not in VOID:
                 stack.append(node)
                 count[tag] = count.get(tag, 0) + 1

@@ -413,6 +413,23 @@ def test_html(page, text):
     assert html_text.render(page) == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<head><title>T</title><body>Hello <p>x", "Hello\n\nx"), ("<head><title>T</title>Hello", "Hello"),
+        ("<html><head>\n<meta charset=utf-8>\n<title>T</title>\n<body class=a>Hello <b>you</b>", "Hello you"),
+        ("<head><style>p {}</style><script>1</script></head>Hello", "Hello"), ("<head><title>T</title>", ""),
+        ("<svg><title>t</title><defs/><path d='a/'/>\n<text>North</text><text>South</text>q</svg>!", "North South !"),
+        ("<svg><style/><desc><p>d</p></desc><g><text>a <tspan>b</tspan></text></g></svg>c", "a b c"),
+        ("<svg/>a<svg><foreignObject><p>b</foreignObject></svg>c", "a\n\nb\n\nc"), ("<svg><path d=a><p>Hello", "Hello"),
+        ("<math><semantics><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></semantics></math> y", "x=2 y"),
+        ("<a href=b/>c</a><div/>d", "c\nd"),
+    ],
+)
+def test_html_open_head_and_drawings(page, text):
+    assert html_text.render(page) == text
+
+
 @pytest.mark.parametrize("page", ["<div>" * 30000 + "x", '<a href="' * 5000, "<" * 20000, "</td></tr></table>x", "<b></i>" * 20000])
 def test_html_broken_pages_end(page):
     html_text.render(page)
