@@ -8,8 +8,10 @@ of a set by length:
 
 * Short lists: shingles are ordered by how often they occur (counted over all documents),
   rarest first, and the first n - required(n) + T of a set, T = 1 + n // 32, are indexed.
-  A linked pair meets in at least T of these lists. They are merged on a heap, and a
-  candidate that comes up fewer than T times is dropped.
+  A linked pair meets in at least T of these lists. Spark counts the lists a pair
+  meets in by a join and an aggregate, a block search by ``np.bincount``: equal to a heap merge
+  in result, without a step per posting in Python. A candidate that comes up fewer than T times is
+  dropped. Only the choice of pivots merges on a heap.
 * Long lists: the frequent shingles left over are never read as lists. For a candidate
   they are binary-probed in its sorted set, which gives the exact overlap.
 
