@@ -46,7 +46,8 @@ STAGES = [
     ("packing", _packed),
 ]
 
-#: Training, tokenizing and packing are beyond SQL; tests/llm holds the stages against brute force.
+#: Training, tokenizing and packing are beyond SQL; tests/llm holds the operators against
+#: brute force or cases, and the whole pipeline to invariants only.
 ORACLE_SQL = None
 
 
