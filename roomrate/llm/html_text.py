@@ -5,6 +5,7 @@ browser would not show, and a renderer walks the tree once: blocks on lines of t
 (a blank line around paragraphs, headings, lists and tables), list items with markers and
 indentation, ``pre`` as it is, and tables with cells aligned in columns. All visible text
 is emitted, menus and footers too, and the text of svg and math in the order of the page. An
+``colspan`` of a cell is kept, ``rowspan`` is not read: cells of the rows below stand further left. An
 open head ends, also without its end tag, at the first thing that cannot stand in it. Parsing is linear in the page and never recursive, so
 very deep or broken pages do no harm.
 """
