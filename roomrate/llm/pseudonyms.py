@@ -14,6 +14,9 @@ length of a card network, or if they are the whole run. Where such cards overlap
 both layout and network come first, then those laid out as cards, then the whole run, then the
 network's; then the first in the run, then the one of fewest groups.
 
+Phone numbers are ten digits whose area code is in brackets or followed by ``.`` or ``-``, with
+or without a country code; other formats stay.
+
 Cards keep length and separators and stay Luhn-valid, phones keep country code and a valid
 first digit of area and exchange, dates stay in 1900-2099, emails keep their domain and the
 place of letters, digits and signs.
