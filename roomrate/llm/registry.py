@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, html_text, langid, mix, ngram_join, packing, pseudonyms, quality, toxicity, url_rules, vector_codes, whitening
+from . import exact_dedup, html_text, langid, minhash_dedup, mix, ngram_join, packing, pseudonyms, quality, toxicity, url_rules, vector_codes, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,7 @@ def queries() -> dict[str, Query]:
         "op8_pseudonyms": _over("documents", pseudonyms.pseudonymised),
         "op9_mix": _over("documents", mix.taken),
         "op10_exact_dedup": _over("documents", exact_dedup.verdicts),
+        "op11_minhash_dedup": _over("documents", minhash_dedup.groups),
         "op12_vector_codes": _over("embeddings", vector_codes.codes),
         "op13_whitening": _over("embeddings", whitening.components),
     }
