@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import tiktoken
+import tokenizers
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,12 +35,15 @@ UNIT = 32
 END_ID = 1
 #: The same vocabulary as byte_bpe_50k.json, as ranks; faster to apply. Tests hold both equal.
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
+#: The tokenizer itself, for the texts that the fast way cannot take.
+WHOLE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 #: The added token of byte_bpe_50k.json, which the rank file leaves out: found wherever a text holds it.
 SPECIAL = {"<|endoftext|>": 50256}
 #: Rows that a ranking group of one piece length holds at about.
 GROUP_ROWS = 50_000
 
 _ENCODERS: dict[str, tiktoken.Encoding] = {}
+_WHOLE: dict[str, tokenizers.Tokenizer] = {}
 
 
 def encoder(path: str = VOCABULARY) -> tiktoken.Encoding:
@@ -51,19 +55,40 @@ def encoder(path: str = VOCABULARY) -> tiktoken.Encoding:
     return _ENCODERS[path]
 
 
+def token_ids(text: str, enc: tiktoken.Encoding, whole: str = WHOLE_TOKENIZER) -> list[int]:
+    """Ids of ``text`` as ``tokenizers`` gives them.
+
+    The pattern of the fast way looks ahead after every blank of a run and gives up on runs of
+    about a million; such texts, of any length, go to ``tokenizers`` itself.
+    """
+    try:
+        return enc.encode(text, allowed_special="all")
+    except ValueError:
+        if whole not in _WHOLE:
+            _WHOLE[whole] = tokenizers.Tokenizer.from_file(whole)
+        return _WHOLE[whole].encode(text, add_special_tokens=False).ids
+
+
 def cuts(n: int) -> list[int]:
     """Lengths of the pieces of a document of ``n`` tokens, in order."""
     full, rest = divmod(n, LENGTH)
     return [LENGTH] * full + [x for x in (rest // UNIT * UNIT, rest % UNIT) if x]
 
 
-def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str = VOCABULARY) -> DataFrame:
-    """(doc_id, start, length, ids_crc32, doc_tokens): one row per piece."""
+def pieces(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str = VOCABULARY, whole: str = WHOLE_TOKENIZER
+) -> DataFrame:
+    """(doc_id, start, length, ids_crc32, doc_tokens): one row per piece.
+
+    Null and empty texts have the end id alone. Texts count whole, whatever their length or the
+    length of their runs of blanks. Repeated rows are documents of their own; an empty table has
+    no piece.
+    """
 
     def batch(b: pa.Array, enc: tiktoken.Encoding) -> pa.Array:
         out = []
         for text in b.to_pylist():
-            ids = np.array([*enc.encode(text or "", allowed_special="all"), END_ID], "<u4")
+            ids = np.array([*token_ids(text or "", enc, whole), END_ID], "<u4")
             start, rows = 0, []
             for n in cuts(len(ids)):
                 rows.append({"start": start, "length": n, "ids_crc32": zlib.crc32(ids[start : start + n].tobytes())})

@@ -238,6 +238,28 @@ def test_packing_takes_the_special_token_as_tokenizers_does(spark):
     assert rows(packing.pieces(df), "doc_id", "start", "length", "ids_crc32", "doc_tokens") == want
 
 
+def test_packing_of_very_long_texts(spark):
+    """Runs of blanks that the fast pattern gives up on, and other long runs."""
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(path("byte_bpe_50k.json"))
+    m = 2_000_000
+    texts = ["a" + " " * m + "b", "x" + "\n" * m, " \t\n" * (m // 3) + "\u00e9", "\u00a0" * (m // 2) + "<|endoftext|>" + " " * m, "ab" * (m // 2), "word " * (m // 5)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    with pytest.raises(ValueError):  # else the second way is not tried
+        packing.encoder().encode(texts[0], allowed_special="all")
+    want = []
+    for i, text in enumerate(texts):
+        ids = np.array([*t.encode(text, add_special_tokens=False).ids, 1], "<u4")
+        start = 0
+        for length in packing.cuts(len(ids)):
+            want.append((i, start, length, zlib.crc32(ids[start : start + length].tobytes()), len(ids)))
+            start += length
+    got = packing.packed(df)
+    assert rows(got, "doc_id", "start", "length", "ids_crc32", "doc_tokens") == sorted(want, key=repr)
+
+
 def test_cutting_stock_is_near_the_bound():
     rng = np.random.default_rng(1)
     histogram = {int(k) * 32: int(n) for k, n in zip(range(1, 64), rng.integers(1, 400, 63), strict=True)}
