@@ -6,8 +6,8 @@ aggregate joined back to the rows on the (null-safe) group key, never a
 window over raw rows: a window sorts a whole group inside one task, so one
 community holding a third of the data would run in one task.
 
-* Sums, counts and means decompose: ``groupBy().agg()`` pre-aggregates in every
-  map task, so a hot group reaches its reducer as one partial row per task.
+* Sums, counts and means decompose: ``group_sums`` pre-aggregates in every map task, so a
+  hot group reaches its reducer as a few partial rows per task; its sums are exact.
 * Quantiles do not decompose. ``group_quantiles`` computes exact order
   statistics without gathering a group: it counts each distinct (group, value)
   and each (group, bucket), where a value's bucket is a fixed monotone function
@@ -24,8 +24,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from roomrate.operators.joins import join_null_safe
 
@@ -51,12 +53,14 @@ def group_quantiles(
     value: str | Column,
     probs: Mapping[str, float],
     na_poisons: bool = False,
+    na_fails: bool = False,
 ) -> DataFrame:
     """Exact type-7 quantiles of ``value`` per group: one row per group.
 
     ``probs`` maps output column -> probability. NULL and NaN (R's NA) are left out of
     the ranking; with ``na_poisons`` (R without ``na.rm``) any NULL in a group makes
-    every quantile of that group NULL. A group with no non-NULL value gets NULL.
+    every quantile of that group NULL. A group with no non-NULL value gets NULL. With
+    ``na_fails`` (R's ``quantile`` on NA) a missing value fails the run, by the group's key.
     """
     keys = list(keys)
     val = F.col(value) if isinstance(value, str) else value
@@ -116,6 +120,9 @@ def group_quantiles(
         q = F.when((x_hi == x_lo) | (frac == 0), x_lo).otherwise((1 - frac) * x_lo + frac * x_hi)
         if na_poisons:
             q = F.when(F.col("__nulls") > 0, F.lit(None).cast("double")).otherwise(q)
+        if na_fails:
+            told = F.concat(F.lit(f"missing value of {name} in the group "), F.to_json(_G, {"ignoreNullFields": "false"}))
+            q = F.when(F.col("__nulls") > 0, F.raise_error(told).cast("double")).otherwise(q)
         finals.append(q.alias(name))
 
     keep = picks[0]
@@ -126,44 +133,120 @@ def group_quantiles(
     return chosen.select(*[F.col(_G).getField(k).alias(k) for k in keys], *finals)
 
 
-def group_aggregates(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
-    """``groupBy(keys).agg(aggs)`` with map-side partial aggregation."""
-    return df.groupBy(*keys).agg(*aggs)
-
-
-# Money sums accumulate in fixed point: a double SUM depends on the order rows
-# reach it (partitioning, retries), a DECIMAL sum does not, so a rerun on any
-# cluster layout reproduces the same figures to the last bit.
-EXACT = "decimal(38,10)"
-
-
-def _col(col: str | Column) -> Column:
-    return F.col(col) if isinstance(col, str) else col
+# ------------------------------------------------------------------ exact sums
+# A double SUM depends on the order in which rows arrive (partitioning, retries). Here a value is a
+# whole number of the last binary place of its bin, BIN binary orders of magnitude wide; whole
+# numbers of one bin add up exactly as decimals, in any order, and the few bins of a group are
+# put together and rounded once, to the nearest double.
+BIN = 32
+#: Binary places kept below the foot of a bin: one more than a double has, for a logarithm rounded up.
+_PLACES = 54
+_HALF = 43  # a value's whole number has up to 87 bits; it goes through two longs
+_UP, _DOWN = 1000, -1000  # bins of the infinities
+#: Whole numbers of the lowest bin are multiples of 2 to the power of minus this.
+_LOWEST = BIN * 34 + _PLACES
+
+
+def _binned(v: Column) -> tuple[Column, Column]:
+    """(bin, whole number) of a double; the bin is NULL for NULL and NaN."""
+    size = F.abs(v)
+    regular = F.floor(F.log2(size) / BIN).cast("int")
+    place = (
+        F.when(v.isNull() | F.isnan(v), F.lit(None).cast("int"))
+        .when(size == F.lit(float("inf")), F.when(v > 0, F.lit(_UP)).otherwise(F.lit(_DOWN)))
+        .when(v == 0, F.lit(0))
+        .otherwise(regular)
+    )
+    power = _PLACES - BIN * regular
+    half = F.floor(power / 2)  # in two steps: one power of two may be beyond a double
+    scaled = v * F.pow(F.lit(2.0), half.cast("double")) * F.pow(F.lit(2.0), (power - half).cast("double"))
+    high = F.floor(scaled / float(2**_HALF))
+    low = scaled - high * float(2**_HALF)
+    whole = high.cast("decimal(15,0)") * F.lit(2**_HALF).cast("decimal(14,0)") + low.cast("long").cast("decimal(14,0)")
+    usual = v.isNotNull() & ~F.isnan(v) & (size < F.lit(float("inf"))) & (v != 0)
+    return place, F.when(usual, whole).otherwise(F.lit(0).cast("decimal(31,0)"))
+
+
+def _nearest(bins: list[dict] | None) -> float | None:
+    """The double nearest to the sum of a group's bins; NULL for none, or for both infinities."""
+    if not bins:
+        return None
+    found = {b["b"] for b in bins}
+    if found & {_UP, _DOWN}:
+        return None if {_UP, _DOWN} <= found else float("inf") if _UP in found else float("-inf")
+    total = sum(int(b["v"]) << (BIN * b["b"] - _PLACES + _LOWEST) for b in bins)
+    try:
+        return total / (1 << _LOWEST)  # division of whole numbers rounds correctly
+    except OverflowError:
+        return float("inf") if total > 0 else float("-inf")
+
+
+@F.arrow_udf(DoubleType())
+def _put_together(bins: pa.Array) -> pa.Array:
+    return pa.array([_nearest(b) for b in bins.to_pylist()], pa.float64())
+
+
+def group_sums(
+    df: DataFrame, keys: Sequence[str], values: Mapping[str, str | Column], extra: Mapping[str, tuple[str, str | Column]] | None = None
+) -> DataFrame:
+    """One row per group: for each of ``values`` a struct column ``<sum, n, missing>``.
 
+    ``sum`` is the double nearest to the exact sum of the values that are neither NULL nor NaN,
+    whatever the partitions and the order of rows; NULL if there is none (``n`` is 0), and with
+    both infinities. ``missing`` counts the others. ``extra`` names plain aggregates of the same
+    pass: ``("max" | "min" | "sum" | "count", column)``.
 
-def _number(col: str | Column) -> Column:
-    """The value, NULL for NaN (R's NA)."""
-    c = _col(col)
-    return F.when(~F.isnan(c.cast("double")), c)
+    A map task adds up its rows by group and bins (a hot group arrives as a few partial rows);
+    what a group then gathers is bounded by the bins of a double (68 per value), not by its rows.
+    """
+    extra = dict(extra or {})
+    plain = {"max": F.max, "min": F.min, "sum": F.sum, "count": F.count}
+    parts = {name: _binned(_col(c).cast("double")) for name, c in values.items()}
+    base = df.select(
+        F.struct(*[F.col(k) for k in keys]).alias(_G),
+        *[c.alias(f"__{x}_{name}") for name, pair in parts.items() for x, c in zip("bv", pair)],
+        *[_col(c).alias(f"__x_{name}") for name, (_, c) in extra.items()],
+    )
+    first = base.groupBy(_G, *[f"__b_{n}" for n in parts]).agg(
+        F.count(F.lit(1)).alias("__rows"),
+        *[F.sum(f"__v_{n}").alias(f"__v_{n}") for n in parts],
+        *[plain[how](f"__x_{n}").alias(f"__x_{n}") for n, (how, _) in extra.items()],
+    )
+    aggs = []
+    for n in parts:
+        known = F.col(f"__b_{n}").isNotNull()
+        aggs += [
+            F.collect_list(F.when(known, F.struct(F.col(f"__b_{n}").alias("b"), F.col(f"__v_{n}").alias("v")))).alias(f"__l_{n}"),
+            F.sum(F.when(known, F.col("__rows")).otherwise(F.lit(0))).alias(f"__n_{n}"),
+            F.sum(F.when(known, F.lit(0)).otherwise(F.col("__rows"))).alias(f"__m_{n}"),
+        ]
+    again = {"max": F.max, "min": F.min, "sum": F.sum, "count": F.sum}
+    aggs += [again[how](f"__x_{n}").alias(n) for n, (how, _) in extra.items()]
+    second = first.groupBy(_G).agg(*aggs)
+    return second.select(
+        *[F.col(_G).getField(k).alias(k) for k in keys],
+        *[
+            F.struct(_put_together(F.col(f"__l_{n}")).alias("sum"), F.col(f"__n_{n}").alias("n"), F.col(f"__m_{n}").alias("missing")).alias(n)
+            for n in parts
+        ],
+        *extra,
+    )
 
 
-def _infinite(c: Column, sign: str) -> Column:
-    return F.count(F.when(c.cast("double") == F.lit(float(sign + "inf")), 1)) > 0
+def mean_of(name: str) -> Column:
+    """Mean of a struct of ``group_sums``: NULL when no value is known."""
+    c = F.col(name)
+    return F.when(c["n"] > 0, c["sum"] / c["n"])
 
 
-def exact_sum(col: str | Column) -> Column:
-    """Sum in fixed point. NaN counts as missing; infinities carry through as in R (Inf - Inf is NaN, so NULL)."""
-    c = _number(col)
-    finite = F.sum(F.when(F.abs(c.cast("double")) < F.lit(float("inf")), c).cast(EXACT)).cast("double")
-    up, down = _infinite(c, "+"), _infinite(c, "-")
-    inf = F.lit(float("inf"))
-    return F.when(up & down, F.lit(None).cast("double")).when(up, inf).when(down, -inf).otherwise(finite)
+def total_of(name: str, na_poisons: bool = False) -> Column:
+    """Sum of a struct of ``group_sums``; with ``na_poisons`` (R without ``na.rm``) a missing value voids it."""
+    c = F.col(name)
+    return F.when(c["missing"] == 0, c["sum"]) if na_poisons else c["sum"]
 
 
-def exact_avg(col: str | Column) -> Column:
-    """Mean of the non-NULL values (NULL when there is none), order-independent."""
-    c = _number(col)
-    return F.when(F.count(c) > 0, exact_sum(c) / F.count(c))
+def _col(col: str | Column) -> Column:
+    return F.col(col) if isinstance(col, str) else col
 
 
 def na_poisoned(agg: Column, col: str) -> Column:

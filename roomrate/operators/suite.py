@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from roomrate.functions.dates import month_in_interval, not_after_day
 from roomrate.functions.encode import YES
-from roomrate.operators.grouped import exact_avg, exact_sum
+from roomrate.operators.grouped import group_sums, mean_of, total_of
 
 # fixed values: status and type labels of the warehouse tables
 DELISTED = "已下架"
@@ -79,16 +79,16 @@ def _cost(kind: str) -> F.Column:
     return total + F.coalesce(F.col(f"construction_material_{kind}"), F.lit(0.0))
 
 
-def decoration_cost(decorations: DataFrame, as_of: dt.date) -> DataFrame:
-    """AGG2-AGG3 with FLT14: approved decoration cost per suite."""
+def decoration_cost(decorations: DataFrame, as_of: dt.date, only: tuple[str, ...] = ()) -> DataFrame:
+    """AGG2-AGG3 with FLT14: approved decoration cost per suite (``only`` these figures, or all)."""
     approved = decorations.where(
         not_after_day("measure_approve_pass_at", as_of) & F.col("measure_approve_status").isin(*APPROVED)
     )
-    return approved.groupBy("suite_id").agg(
-        F.max("suite_status").alias("suite_status"),
-        exact_sum(_cost("budget")).alias("decoration_cost"),
-        exact_sum(_cost("amount")).alias("final_cost"),
-        exact_avg("total_yuan").alias("total_yuan"),
+    costs = {"decoration_cost": _cost("budget"), "final_cost": _cost("amount"), "total_yuan": "total_yuan"}
+    costs = {name: costs[name] for name in only or costs}
+    sums = group_sums(approved, ["suite_id"], costs, {"suite_status": ("max", "suite_status")})
+    return sums.select(
+        "suite_id", "suite_status", *[(mean_of(c) if c == "total_yuan" else total_of(c)).alias(c) for c in costs]
     )
 
 

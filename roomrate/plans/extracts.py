@@ -15,7 +15,7 @@ from roomrate.functions import encode as E
 from roomrate.functions.dates import days_since, on_or_after, text_date_on_or_after
 from roomrate.functions.numeric import clamp_nonneg, lenient_double, lenient_int, r_div
 from roomrate.functions.text import crawl_block, with_city_suffix
-from roomrate.operators.grouped import attach, exact_sum, group_aggregates, group_quantiles, na_poisoned
+from roomrate.operators.grouped import attach, group_quantiles, group_sums, total_of
 from roomrate.operators.joins import join_spread
 from roomrate.operators.suite import (
     DELISTED,
@@ -232,7 +232,7 @@ def _rooms_to_price(t: RentalTables, as_of: dt.date = AS_OF) -> DataFrame:
         "has_toilet", "has_balcony", "has_storeroom", "has_terrace", "face", "lighting", "is_small_window", "shape",
         "shape_note", "rent_type", "status", "price",
     )
-    icost = decoration_cost(t["suite_decorations"], as_of).select("suite_id", "decoration_cost")
+    icost = decoration_cost(t["suite_decorations"], as_of, ("decoration_cost",)).select("suite_id", "decoration_cost")
     # bb1 (AGG4 over listed suites) and the never-available anti join (JN8)
     # are both read from the one per-suite room aggregate
     bb1 = suite_room_stats(t).where((F.col("live_rooms") > 0) & (F.col("ever_available_rooms") == 0)).select(
@@ -353,13 +353,10 @@ def _whole_unit_listings(t: RentalTables, as_of: dt.date = AS_OF) -> DataFrame:
 
 
 def _ratio_stats(rows: DataFrame, keys: list[str], avg_name: str, median_name: str) -> DataFrame:
-    sums = group_aggregates(
-        rows,
-        keys,
-        [
-            r_div(na_poisoned(exact_sum("price"), "price"), na_poisoned(F.sum("bedroom_num"), "bedroom_num")).alias(avg_name),
-        ],
-    )
+    beds = {"__beds": ("sum", "bedroom_num"), "__known": ("count", "bedroom_num"), "__rows": ("count", F.lit(1))}
+    sums = group_sums(rows, keys, {"__price": "price"}, beds)
+    known_beds = F.when(F.col("__known") == F.col("__rows"), F.col("__beds"))
+    sums = sums.select(*keys, r_div(total_of("__price", na_poisons=True), known_beds).alias(avg_name))
     med = group_quantiles(rows, keys, "puzu_avg_price", {median_name: 0.5}, na_poisons=True)
     return attach(sums, med, keys)
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roomrate.operators.grouped import attach, exact_avg, group_quantiles
+from roomrate.operators.grouped import attach, group_quantiles, group_sums, mean_of
 from roomrate.operators.joins import join_null_safe
 from roomrate.operators.scoring import TreeModel, numeric_features, score
 
@@ -79,13 +79,13 @@ def crawl_scored(pairs: DataFrame, model: TreeModel) -> DataFrame:
 
 
 def own_group_prices(pairs: DataFrame, model: TreeModel) -> DataFrame:
-    """WIN1 per group: median standard price of each (city, block, community)."""
-    return group_quantiles(own_scored(pairs, model), GROUP, "std_room_outprice_pre", {"final_std_room_outprice_pre": 0.5})
+    """WIN1 per group: median standard price of each (city, block, community); a missing price fails the run."""
+    return group_quantiles(own_scored(pairs, model), GROUP, "std_room_outprice_pre", {"final_std_room_outprice_pre": 0.5}, na_fails=True)
 
 
 def crawl_group_prices(pairs: DataFrame, model: TreeModel) -> DataFrame:
-    """WIN2 per group: 0.65 quantile for city '北京', 0.6 otherwise (NULL city: NULL)."""
-    q = group_quantiles(crawl_scored(pairs, model), GROUP, "std_room_outprice_pre", {"__q60": 0.6, "__q65": 0.65})
+    """WIN2 per group: 0.65 quantile for city '北京', 0.6 otherwise (NULL city: NULL); a missing price fails the run."""
+    q = group_quantiles(crawl_scored(pairs, model), GROUP, "std_room_outprice_pre", {"__q60": 0.6, "__q65": 0.65}, na_fails=True)
     city = F.col("city")
     final = F.when(city.isNull(), F.lit(None).cast("double")).when(city == QUANTILE_65_CITY, F.col("__q65")).otherwise(F.col("__q60"))
     return q.select(*GROUP, final.alias("final_std_room_outprice_pre"))
@@ -122,9 +122,8 @@ def reconciled_pairs(own_groups: DataFrame, crawl_groups: DataFrame) -> DataFram
 
 def block_prices(rows: DataFrame) -> DataFrame:
     """WIN3 + ENC15 per group: one block price per (city, own_block)."""
-    return rows.groupBy("city", "own_block").agg(
-        F.coalesce(exact_avg("final_own"), exact_avg("final_crawl")).alias("block_std_price")
-    )
+    sums = group_sums(rows, ["city", "own_block"], {"final_own": "final_own", "final_crawl": "final_crawl"})
+    return sums.select("city", "own_block", F.coalesce(mean_of("final_own"), mean_of("final_crawl")).alias("block_std_price"))
 
 
 def community_prices(rows: DataFrame) -> DataFrame:

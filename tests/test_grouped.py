@@ -1,6 +1,7 @@
 """Group statistics: exact distributed quantiles, NA poisoning, null-safe attach."""
 
 import math
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -9,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from roomrate.operators.grouped import attach, exact_avg, exact_sum, group_quantiles, na_poisoned
+from roomrate.operators.grouped import attach, group_quantiles, group_sums, mean_of, na_poisoned, total_of
 from roomrate.operators.joins import join_null_safe
 
 
@@ -76,9 +77,12 @@ def test_hot_group_spans_partitions(spark):
 def test_exact_sum_is_partition_independent(spark):
     vals = [(i % 7, 0.1 * i + 1e-3 * (i % 13)) for i in range(5000)]
     df = spark.createDataFrame(vals, "k int, v double")
-    a = {r[0]: (r[1], r[2]) for r in df.repartition(3).groupBy("k").agg(exact_sum("v"), exact_avg("v")).collect()}
-    b = {r[0]: (r[1], r[2]) for r in df.repartition(17).groupBy("k").agg(exact_sum("v"), exact_avg("v")).collect()}
+    a, b = (
+        {r[0]: (r[1], r[2]) for r in group_sums(df.repartition(k), ["k"], {"v": "v"}).select("k", total_of("v"), mean_of("v")).collect()}
+        for k in (3, 17)
+    )
     assert a == b
+    assert a == {k: (math.fsum(v for g, v in vals if g == k), math.fsum(v for g, v in vals if g == k) / sum(g == k for g, _ in vals)) for k in range(7)}
 
 
 def test_attach_preserves_rows_and_matches_nulls(spark):
@@ -125,5 +129,66 @@ def test_quantiles_of_special_values(spark):
 def test_exact_sums_of_infinities_and_nan(spark):
     rows = [("a", 1.0), ("a", math.inf), ("b", 1.0), ("b", math.nan), ("c", math.inf), ("c", -math.inf), ("d", None), ("e", -math.inf)]
     df = spark.createDataFrame(rows, "g string, v double")
-    got = {r["g"]: (r["s"], r["m"]) for r in df.groupBy("g").agg(exact_sum("v").alias("s"), exact_avg("v").alias("m")).collect()}
+    got = {r["g"]: (r["s"], r["m"]) for r in group_sums(df, ["g"], {"v": "v"}).select("g", total_of("v").alias("s"), mean_of("v").alias("m")).collect()}
     assert got == {"a": (math.inf, math.inf), "b": (1.0, 1.0), "c": (None, None), "d": (None, None), "e": (-math.inf, -math.inf)}
+
+
+def _sums(spark, groups, partitions=4):
+    df = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in vs], "g string, v double").repartition(partitions)
+    return {r["g"]: r["s"] for r in group_sums(df, ["g"], {"v": "v"}).select("g", total_of("v").alias("s")).collect()}
+
+
+def test_sums_of_any_size_are_right_to_the_last_bit(spark):
+    groups = {
+        "large and small": [1e30, 1.0, -1e30, 1e-12],
+        "small": [1e-12] * 3,
+        "smallest": [5e-324] * 5 + [2.2250738585072014e-308],
+        "largest": [1.7976931348623157e308, 1e292, -1.7976931348623157e308],
+        "beyond": [1.7976931348623157e308] * 2,
+        "below": [-1.7976931348623157e308] * 2,
+        "powers of two": [2.0**k for k in range(-1074, 1000, 31)] + [-(2.0**k) for k in range(-1074, 990, 62)],
+        "zeros": [0.0, -0.0],
+        "tie": [2.0**53, 1.0, 2.0**-60],
+    }
+    want = {"beyond": math.inf, "below": -math.inf}
+    for g, vs in groups.items():
+        if g not in want:
+            want[g] = float(sum(map(Fraction, vs)))
+    for partitions in (1, 3, 9):
+        assert _sums(spark, groups, partitions) == want
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.floats(allow_nan=False, allow_infinity=False, min_value=-1e300, max_value=1e300), min_size=1, max_size=80))
+def test_sums_match_fsum(spark, vs):
+    assert _sums(spark, {"g": vs}) == {"g": math.fsum(vs)}
+
+
+def test_sums_with_missing_values_and_other_aggregates(spark):
+    rows = [("a", 1.5, 3, "x"), ("a", None, 4, "y"), (None, math.nan, 5, None), (None, 2.0, None, "z"), ("b", None, None, None)]
+    df = spark.createDataFrame(rows, "g string, v double, i int, t string")
+    out = group_sums(df, ["g"], {"v": "v", "w": F.col("v") * 2}, {"i": ("sum", "i"), "t": ("max", "t"), "low": ("min", "t"), "rows": ("count", F.lit(1))})
+    got = {r["g"]: (tuple(r["v"]), tuple(r["w"]), r["i"], r["t"], r["low"], r["rows"]) for r in out.collect()}
+    assert got == {
+        "a": ((1.5, 1, 1), (3.0, 1, 1), 7, "y", "x", 2),
+        None: ((2.0, 1, 1), (4.0, 1, 1), 5, "z", "z", 2),
+        "b": ((None, 0, 1), (None, 0, 1), None, None, None, 1),
+    }
+    assert group_sums(df.limit(0), ["g"], {"v": "v"}).collect() == []
+
+
+def test_missing_quantile_input_fails_by_its_group(spark):
+    df = spark.createDataFrame([("g", "n", 1.0), ("g", "n", 2.0), ("h", None, None)], "g string, b string, v double")
+    with pytest.raises(Exception, match=r'missing value of m in the group \{"g":"h","b":null\}'):
+        group_quantiles(df, ["g", "b"], "v", {"m": 0.5}, na_fails=True).collect()
+    ok = group_quantiles(df.where("v is not null"), ["g", "b"], "v", {"m": 0.5}, na_fails=True).collect()
+    assert [tuple(r) for r in ok] == [("g", "n", 1.5)]
+
+
+def test_profile_counts_nan_as_missing(spark):
+    from roomrate.plans.profile import six_number_summary
+
+    df = spark.createDataFrame([(v, 1) for v in (1.0, math.nan, None, 4.0, 2.0, 1e30, -1e30)], "a double, b int")
+    got = {r["column"]: tuple(r)[1:] for r in six_number_summary(df, ["a", "b"]).collect()}
+    assert got["a"] == (-1e30, 1.0, 2.0, 1.4, 4.0, 1e30, 2)
+    assert got["b"] == (1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 0)

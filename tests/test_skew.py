@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from harness import ALL_DRIVER_TABLES, compare, duck
-from roomrate.operators.grouped import attach, exact_avg, group_quantiles
+from roomrate.operators.grouped import attach, group_quantiles, group_sums, mean_of
 from roomrate.operators.joins import join_spread
 from roomrate.oracle_sql import oracle_sql
 from roomrate.registry import queries
@@ -48,7 +48,7 @@ def _rows(spark, n=30000):
 
 def test_join_back_splits_the_hot_key(spark, skew_conf):
     rows = _rows(spark)
-    stats = rows.groupBy("k").agg(exact_avg("v").alias("m"))
+    stats = group_sums(rows, ["k"], {"v": "v"}).select("k", mean_of("v").alias("m"))
     out = attach(rows, stats, ["k"])
     assert out.count() == rows.count()
     out.collect()
