@@ -31,7 +31,7 @@ def main(argv: list[str] | None = None) -> None:
     src.add_argument("--driver-sf", help="driver test data folder (fixture views)")
     p.add_argument("--ensemble", help="node table of the three models (Parquet); required but with --driver-sf")
     p.add_argument("--out", required=True, help="output root for the dated CSV folders")
-    p.add_argument("--as-of", type=dt.date.fromisoformat, default=dt.date.today(), help="run date (YYYY-MM-DD)")
+    p.add_argument("--as-of", type=dt.date.fromisoformat, required=True, help="run date (YYYY-MM-DD)")
     p.add_argument("--crawl-as-of", type=dt.date.fromisoformat, default=None, help="crawl run date (default: --as-of)")
     args = p.parse_args(argv)
     if not args.ensemble and not args.driver_sf:

@@ -167,23 +167,28 @@ def _binned(v: Column) -> tuple[Column, Column]:
     return place, F.when(usual, whole).otherwise(F.lit(0).cast("decimal(31,0)"))
 
 
-def _nearest(bins: list[dict] | None) -> float | None:
+def _put_together(bins: Column) -> Column:
     """The double nearest to the sum of a group's bins; NULL for none, or for both infinities."""
-    if not bins:
-        return None
-    found = {b["b"] for b in bins}
-    if found & {_UP, _DOWN}:
-        return None if {_UP, _DOWN} <= found else float("inf") if _UP in found else float("-inf")
-    total = sum(int(b["v"]) << (BIN * b["b"] - _PLACES + _LOWEST) for b in bins)
-    try:
-        return total / (1 << _LOWEST)  # division of whole numbers rounds correctly
-    except OverflowError:
-        return float("inf") if total > 0 else float("-inf")
-
-
-@F.arrow_udf(DoubleType())
-def _put_together(bins: pa.Array) -> pa.Array:
-    return pa.array([_nearest(b) for b in bins.to_pylist()], pa.float64())
+    up, down, width, lowest, places = _UP, _DOWN, BIN, _LOWEST, _PLACES
+
+    # holds all it needs, so that tasks need no module of this package
+    def nearest(batch: pa.Array) -> pa.Array:
+        out = []
+        for bins in batch.to_pylist():
+            found = {b["b"] for b in bins or ()}
+            if not found or {up, down} <= found:
+                out.append(None)
+            elif found & {up, down}:
+                out.append(float("inf") if up in found else float("-inf"))
+            else:
+                total = sum(int(b["v"]) << (width * b["b"] - places + lowest) for b in bins)
+                try:
+                    out.append(total / (1 << lowest))  # division of whole numbers rounds correctly
+                except OverflowError:
+                    out.append(float("inf") if total > 0 else float("-inf"))
+        return pa.array(out, pa.float64())
+
+    return F.arrow_udf(nearest, DoubleType())(bins)
 
 
 def group_sums(

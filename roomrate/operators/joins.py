@@ -35,6 +35,24 @@ def join_spread(rows: DataFrame, side: DataFrame, key: str) -> DataFrame:
     return rows.select("*", tag).join(side.select("*", tag), [key, _TAG]).drop(_TAG)
 
 
+#: Parts that a key's rows are dealt out to while they meet the keys wanted.
+SALTS = 16
+
+
+def reduced(facts: DataFrame, wanted: DataFrame, key: str, salts: int = SALTS) -> DataFrame:
+    """The rows of ``facts`` whose ``key`` is among the keys of ``wanted``, before they are aggregated.
+
+    A semi join on (key, salt): a fact's salt is that of the task that scans it, and the wanted
+    keys are repeated for every salt. So the rows of a hot key meet their copies of it in several
+    tasks, each of which pre-aggregates what passes. A small ``wanted`` is broadcast by its
+    measured or estimated size, and the facts are then aggregated where they are scanned. NULL
+    keys are dropped. The result does not depend on the salts.
+    """
+    salt = F.pmod(F.hash(F.spark_partition_id()), F.lit(salts)).alias(_TAG)
+    spread = wanted.select(key, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias(_TAG))
+    return facts.select("*", salt).join(spread, [key, _TAG], "left_semi").drop(_TAG)
+
+
 def join_null_safe(
     left: DataFrame,
     right: DataFrame,

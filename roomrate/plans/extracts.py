@@ -16,7 +16,7 @@ from roomrate.functions.dates import days_since, on_or_after, text_date_on_or_af
 from roomrate.functions.numeric import clamp_nonneg, lenient_double, lenient_int, r_div
 from roomrate.functions.text import crawl_block, with_city_suffix
 from roomrate.operators.grouped import attach, group_quantiles, group_sums, total_of
-from roomrate.operators.joins import join_spread
+from roomrate.operators.joins import join_spread, reduced
 from roomrate.operators.suite import (
     DELISTED,
     WORKSTATION,
@@ -36,6 +36,7 @@ CRAWL_AS_OF = dt.date(2024, 1, 30)
 
 # fixed values: recency windows (days) and labels of the own-listing extract
 OWN_RECENT_DAYS = 150  # the 90-day arm for 北京市/天津市 lies inside this one
+OWN_MIN_BEDROOMS = 2
 CRAWL_RECENT_DAYS = 7
 WHOLE_UNIT_RECENT_DAYS = 180
 CRAWL_PRODUCT = "友家合租"
@@ -95,7 +96,13 @@ def recency_filter(ready: F.Column, city: F.Column, as_of: dt.date, absorbed: bo
 
 
 # ------------------------------------------------------------------ JOB_A
-def _own_standard_pairs(t: RentalTables, as_of: dt.date = AS_OF) -> DataFrame:
+def recent_suites(t: RentalTables, as_of: dt.date) -> DataFrame:
+    """Ids of the suites that JOB_A can show: more than one bedroom and ready since the recency window."""
+    ready = recency_filter(F.col("ready_for_rent_date"), F.lit(None).cast("string"), as_of)
+    return t["suites"].where((F.col("bedroom_num") >= OWN_MIN_BEDROOMS) & ready).select(F.col("id").alias("suite_id"))
+
+
+def _own_standard_pairs(t: RentalTables, as_of: dt.date) -> DataFrame:
     """JOB_A: own listings paired with the standard room (28 columns)."""
     rooms = t["rooms"].where(
         F.col("price").isNotNull()
@@ -109,15 +116,17 @@ def _own_standard_pairs(t: RentalTables, as_of: dt.date = AS_OF) -> DataFrame:
     ).select(
         "suite_id", "living_area", "area", "toilet_area", "has_balcony", "price", "face", "has_toilet", "code", "status"
     )
-    suites = t["suites"].where(F.col("bedroom_num") > 1).select(
+    suites = t["suites"].where(F.col("bedroom_num") >= OWN_MIN_BEDROOMS).select(
         F.col("id").alias("suite_id"), "xiaoqu_id", "bedroom_num", "toilet_num", "ready_for_rent_date"
     )
     xq = t["xiaoqus"].select(F.col("id").alias("xiaoqu_id"), "city", "block", F.col("name").alias("community"))
     suites = suites.join(xq, "xiaoqu_id").where(recency_filter(F.col("ready_for_rent_date"), F.col("city"), as_of))
+    # only the rooms and daily facts of recent suites are aggregated
+    recent = recent_suites(t, as_of)
     # daily facts hold one row per suite and day: only the distinct
     # (suite, before_room_num) pairs can reach the DISTINCT output
-    daily = t["f_bi_sfinfor_day"].select("suite_id", "before_room_num").distinct()
-    toilets = suite_toilet_counts(t["rooms"], suite_room_stats(t))
+    daily = reduced(t["f_bi_sfinfor_day"].select("suite_id", "before_room_num"), recent, "suite_id").distinct()
+    toilets = suite_toilet_counts(reduced(t["rooms"], recent, "suite_id"))
     joined = join_spread(rooms, suites.join(daily, "suite_id").join(toilets, "suite_id"), "suite_id")
     return joined.select(
         "city",
@@ -142,7 +151,7 @@ def _own_standard_pairs(t: RentalTables, as_of: dt.date = AS_OF) -> DataFrame:
 
 
 # ------------------------------------------------------------------ JOB_B
-def _crawl_standard_pairs(t: RentalTables, as_of: dt.date = CRAWL_AS_OF) -> DataFrame:
+def _crawl_standard_pairs(t: RentalTables, as_of: dt.date) -> DataFrame:
     """JOB_B: last week's competitor crawl paired with its standard room (18 columns)."""
     z = t["archive_ziroom"].where(
         text_date_on_or_after("date_created", as_of - dt.timedelta(days=CRAWL_RECENT_DAYS))
@@ -185,7 +194,7 @@ def _crawl_standard_pairs(t: RentalTables, as_of: dt.date = CRAWL_AS_OF) -> Data
 
 # ------------------------------------------------------------------ JOB_C
 def suite_room_stats(t: RentalTables) -> DataFrame:
-    """The one per-suite aggregate of ``rooms`` shared by extracts A and C."""
+    """The per-suite aggregate of all ``rooms``; extracts A and C aggregate those of their suites only."""
     return t.derived("room_stats", lambda: room_stats(t["rooms"]))
 
 
@@ -219,7 +228,7 @@ def rooms_base(t: RentalTables) -> DataFrame:
     return open_rooms(t).join(suites_with_community(t), "suite_id")
 
 
-def _rooms_to_price(t: RentalTables, as_of: dt.date = AS_OF) -> DataFrame:
+def _rooms_to_price(t: RentalTables, as_of: dt.date) -> DataFrame:
     """JOB_C: rooms to price with suite, cost, contract and landlord data (42 columns)."""
     rent = F.col("rent_type")
     rooms = open_rooms(t).where(
@@ -233,9 +242,11 @@ def _rooms_to_price(t: RentalTables, as_of: dt.date = AS_OF) -> DataFrame:
         "shape_note", "rent_type", "status", "price",
     )
     icost = decoration_cost(t["suite_decorations"], as_of, ("decoration_cost",)).select("suite_id", "decoration_cost")
+    # only the statistics of suites with a room to price are aggregated
+    wanted = rooms.select("suite_id").distinct()
     # bb1 (AGG4 over listed suites) and the never-available anti join (JN8)
     # are both read from the one per-suite room aggregate
-    bb1 = suite_room_stats(t).where((F.col("live_rooms") > 0) & (F.col("ever_available_rooms") == 0)).select(
+    bb1 = room_stats(reduced(t["rooms"], wanted, "suite_id")).where((F.col("live_rooms") > 0) & (F.col("ever_available_rooms") == 0)).select(
         "suite_id", "dw_num", "dly_num"
     )
     suites = suites_with_community(t).where(
@@ -329,7 +340,7 @@ WHOLE_UNIT_COLUMNS = (
 )
 
 
-def _whole_unit_listings(t: RentalTables, as_of: dt.date = AS_OF) -> DataFrame:
+def _whole_unit_listings(t: RentalTables, as_of: dt.date) -> DataFrame:
     """SRC3 + JN13 + PRJ9: recent whole-unit listings with tier and per-room ratios."""
     listings = (
         t["community_house_type"]
@@ -361,7 +372,7 @@ def _ratio_stats(rows: DataFrame, keys: list[str], avg_name: str, median_name: s
     return attach(sums, med, keys)
 
 
-def _whole_unit_stats(t: RentalTables, as_of: dt.date = AS_OF) -> DataFrame:
+def _whole_unit_stats(t: RentalTables, as_of: dt.date) -> DataFrame:
     """JOB_D: whole-unit rent per room by community and bedroom count (WIN4-WIN6)."""
     rows = whole_unit_listings(t, as_of)
     room_keys = ["city_level", "city", "community", "bedroom_num"]
@@ -380,26 +391,26 @@ def _whole_unit_stats(t: RentalTables, as_of: dt.date = AS_OF) -> DataFrame:
 # Each job's plan is built once per table set and date and shared by every
 # job that consumes it (building is eager analysis on the driver; execution
 # still runs the whole plan each time an action is called).
-def own_standard_pairs(t: RentalTables, as_of: dt.date = AS_OF) -> DataFrame:
+def own_standard_pairs(t: RentalTables, as_of: dt.date) -> DataFrame:
     """JOB_A: own listings paired with the standard room (28 columns)."""
     return t.derived(f"job_a/{as_of}", lambda: _own_standard_pairs(t, as_of))
 
 
-def crawl_standard_pairs(t: RentalTables, as_of: dt.date = CRAWL_AS_OF) -> DataFrame:
+def crawl_standard_pairs(t: RentalTables, as_of: dt.date) -> DataFrame:
     """JOB_B: last week's competitor crawl paired with its standard room (18 columns)."""
     return t.derived(f"job_b/{as_of}", lambda: _crawl_standard_pairs(t, as_of))
 
 
-def rooms_to_price(t: RentalTables, as_of: dt.date = AS_OF) -> DataFrame:
+def rooms_to_price(t: RentalTables, as_of: dt.date) -> DataFrame:
     """JOB_C: rooms to price with suite, cost, contract and landlord data (42 columns)."""
     return t.derived(f"job_c/{as_of}", lambda: _rooms_to_price(t, as_of))
 
 
-def whole_unit_listings(t: RentalTables, as_of: dt.date = AS_OF) -> DataFrame:
+def whole_unit_listings(t: RentalTables, as_of: dt.date) -> DataFrame:
     """SRC3 + JN13 + PRJ9: recent whole-unit listings with tier and per-room ratios."""
     return t.derived(f"whole_unit_listings/{as_of}", lambda: _whole_unit_listings(t, as_of))
 
 
-def whole_unit_stats(t: RentalTables, as_of: dt.date = AS_OF) -> DataFrame:
+def whole_unit_stats(t: RentalTables, as_of: dt.date) -> DataFrame:
     """JOB_D: whole-unit rent per room by community and bedroom count (WIN4-WIN6)."""
     return t.derived(f"job_d/{as_of}", lambda: _whole_unit_stats(t, as_of))

@@ -9,6 +9,7 @@ interpolation formulas differ in the last bits between engines.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,9 @@ from roomrate.plans import extracts as X
 from roomrate.plans import pricing as P
 from roomrate.plans import standard as S
 from roomrate.plans.profile import six_number_summary
+from roomrate.session import ensure_checkpoint_dir
+from roomrate.sinks.csv import read_dated_csv, write_dated_csv
+from roomrate.sources import contract
 from roomrate.sources.ensemble import CRAWL_MODEL, OWN_MODEL, ROOM_MODEL, demo_model
 from roomrate.sources.literals import denied_suite_ids
 from roomrate.sources.tables import RentalTables
@@ -55,11 +59,11 @@ def _round(df: DataFrame, cols: tuple[str, ...]) -> DataFrame:
 
 # ------------------------------------------------------------ small operators
 def q_src_filter_select(spark, sf):
-    return X.whole_unit_listings(_t(spark, sf)).select("city", "block", "community", "bedroom_num", "area", "price")
+    return X.whole_unit_listings(_t(spark, sf), X.AS_OF).select("city", "block", "community", "bedroom_num", "area", "price")
 
 
 def q_inline_tier_join(spark, sf):
-    return X.whole_unit_listings(_t(spark, sf)).select("city", "community", "bedroom_num", "city_level")
+    return X.whole_unit_listings(_t(spark, sf), X.AS_OF).select("city", "community", "bedroom_num", "city_level")
 
 
 def q_encode_flags(spark, sf):
@@ -171,7 +175,7 @@ def q_recency_filter(spark, sf):
 
 
 def q_crawl_filter(spark, sf):
-    return X.crawl_standard_pairs(_t(spark, sf)).select("city", "community", "price_x").distinct()
+    return X.crawl_standard_pairs(_t(spark, sf), X.CRAWL_AS_OF).select("city", "community", "price_x").distinct()
 
 
 def q_denylist(spark, sf):
@@ -245,14 +249,14 @@ def q_never_available(spark, sf):
 
 
 def q_std_deviations(spark, sf):
-    a = X.own_standard_pairs(_t(spark, sf))
+    a = X.own_standard_pairs(_t(spark, sf), X.AS_OF)
     return S.own_deviations(a).select(
         "city", "block", "community", "code", "area_xy_dev", "face_xy_dev", "has_toilet_xy_dev", "has_balcony_xy_dev", "bedroom_xy_dev"
     ).distinct()
 
 
 def q_crawl_deviations(spark, sf):
-    b = X.crawl_standard_pairs(_t(spark, sf))
+    b = X.crawl_standard_pairs(_t(spark, sf), X.CRAWL_AS_OF)
     return S.crawl_deviations(b).select(
         "city", "block", "community", "price_x", "area_xy_dev", "face_xy_dev", "bathroom_xy_dev", "style_xy_dev",
         "balcony_xy_dev", "bedroomnum_xy_dev",
@@ -260,16 +264,16 @@ def q_crawl_deviations(spark, sf):
 
 
 def q_score_own(spark, sf):
-    return S.own_scored(X.own_standard_pairs(_t(spark, sf)), demo_model(OWN_MODEL))
+    return S.own_scored(X.own_standard_pairs(_t(spark, sf), X.AS_OF), demo_model(OWN_MODEL))
 
 
 def q_score_crawl(spark, sf):
-    return S.crawl_scored(X.crawl_standard_pairs(_t(spark, sf)), demo_model(CRAWL_MODEL))
+    return S.crawl_scored(X.crawl_standard_pairs(_t(spark, sf), X.CRAWL_AS_OF), demo_model(CRAWL_MODEL))
 
 
 def _groups(t: RentalTables):
-    own = t.derived("own_groups", lambda: S.own_group_prices(X.own_standard_pairs(t), demo_model(OWN_MODEL)))
-    crawl = t.derived("crawl_groups", lambda: S.crawl_group_prices(X.crawl_standard_pairs(t), demo_model(CRAWL_MODEL)))
+    own = t.derived("own_groups", lambda: S.own_group_prices(X.own_standard_pairs(t, X.AS_OF), demo_model(OWN_MODEL)))
+    crawl = t.derived("crawl_groups", lambda: S.crawl_group_prices(X.crawl_standard_pairs(t, X.CRAWL_AS_OF), demo_model(CRAWL_MODEL)))
     return own, crawl
 
 
@@ -284,7 +288,7 @@ def _reconciled_rows(t: RentalTables) -> DataFrame:
 def _attached(t: RentalTables) -> DataFrame:
     def build():
         rows = _reconciled_rows(t)
-        return P.attach_lookups(X.rooms_to_price(t), S.community_prices(rows), S.block_prices(rows))
+        return P.attach_lookups(X.rooms_to_price(t, X.AS_OF), S.community_prices(rows), S.block_prices(rows))
 
     return t.derived("attached", build)
 
@@ -303,11 +307,11 @@ def q_score_room(spark, sf):
 
 
 def q_own_median(spark, sf):
-    return S.own_standard_prices(X.own_standard_pairs(_t(spark, sf)), demo_model(OWN_MODEL))
+    return S.own_standard_prices(X.own_standard_pairs(_t(spark, sf), X.AS_OF), demo_model(OWN_MODEL))
 
 
 def q_crawl_quantile(spark, sf):
-    return S.crawl_standard_prices(X.crawl_standard_pairs(_t(spark, sf)), demo_model(CRAWL_MODEL))
+    return S.crawl_standard_prices(X.crawl_standard_pairs(_t(spark, sf), X.CRAWL_AS_OF), demo_model(CRAWL_MODEL))
 
 
 def q_reconcile_full_join(spark, sf):
@@ -333,40 +337,74 @@ def q_snap_price(spark, sf):
 
 
 def q_unit_ratios(spark, sf):
-    return X.whole_unit_listings(_t(spark, sf)).select(
+    return X.whole_unit_listings(_t(spark, sf), X.AS_OF).select(
         "city_level", "city", "community", "bedroom_num", "puzu_avg_price", "puzu_avg_area", "avg_price_area"
     )
 
 
 def q_group_ratio_median(spark, sf):
-    return X.whole_unit_stats(_t(spark, sf)).select(
+    return X.whole_unit_stats(_t(spark, sf), X.AS_OF).select(
         "city_level", "city", "community", "bedroom_num", "room_avg_price", "room_median_price"
     ).distinct()
 
 
 def q_community_ratio_median(spark, sf):
-    return X.whole_unit_stats(_t(spark, sf)).select("city_level", "city", "community", "com_avg_price", "com_median_price").distinct()
+    return X.whole_unit_stats(_t(spark, sf), X.AS_OF).select("city_level", "city", "community", "com_avg_price", "com_median_price").distinct()
 
 
 def q_profile(spark, sf):
     return six_number_summary(_t(spark, sf)["community_house_type"], ["bedroom_num", "area", "price"])
 
 
+def _as_loaded_raw(t: RentalTables) -> dict[str, DataFrame]:
+    """Suites and rooms as a lenient server may send them: numbers and dates as text, NaN, zero dates."""
+    suite, text = F.col("id"), lambda c: F.col(c).cast("string")
+    ready = F.when(suite % 31 == 0, "0000-00-00").when(suite % 37 == 0, "2001-02-30").otherwise(text("ready_for_rent_date"))
+    beds = F.when(suite % 41 == 0, F.concat(text("bedroom_num"), F.lit("室"))).otherwise(F.concat(F.lit(" "), text("bedroom_num")))
+    key = F.col("suite_id")
+    price = F.when(key % 7 == 0, "NaN").when(key % 11 == 0, "n/a").otherwise(text("price"))
+    area = F.when(key % 9 == 0, F.lit(float("nan"))).otherwise(F.col("area"))
+    return {
+        "suites": t["suites"].withColumns({"ready_for_rent_date": ready, "bedroom_num": beds}),
+        "rooms": t["rooms"].withColumns({"price": price, "area": area}),
+    }
+
+
+def q_load_violations(spark, sf):
+    raw = _as_loaded_raw(_t(spark, sf))
+    found = contract.violations(raw["suites"], "suites").union(contract.violations(raw["rooms"], "rooms"))
+    return found.where(F.col("rows") > 0)
+
+
+def q_load_conformed(spark, sf):
+    raw = _as_loaded_raw(_t(spark, sf))
+    suites = contract.conform(raw["suites"], "suites").select(F.col("id").alias("suite_id"), "bedroom_num", "ready_for_rent_date")
+    rooms = contract.conform(raw["rooms"], "rooms").select("suite_id", "code", "price", "area")
+    return rooms.join(suites, "suite_id")
+
+
+def q_csv_roundtrip(spark, sf):
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/csv-roundtrip-{uuid.uuid4().hex}"
+    rooms = X.rooms_to_price(_t(spark, sf), X.AS_OF)
+    write_dated_csv(rooms, root, "rooms", X.AS_OF)
+    return read_dated_csv(spark, root, "rooms", X.AS_OF, rooms.schema)
+
+
 # ------------------------------------------------------------------- jobs
 def q_job_a(spark, sf):
-    return X.own_standard_pairs(_t(spark, sf))
+    return X.own_standard_pairs(_t(spark, sf), X.AS_OF)
 
 
 def q_job_b(spark, sf):
-    return X.crawl_standard_pairs(_t(spark, sf))
+    return X.crawl_standard_pairs(_t(spark, sf), X.CRAWL_AS_OF)
 
 
 def q_job_c(spark, sf):
-    return X.rooms_to_price(_t(spark, sf))
+    return X.rooms_to_price(_t(spark, sf), X.AS_OF)
 
 
 def q_job_d(spark, sf):
-    return X.whole_unit_stats(_t(spark, sf))
+    return X.whole_unit_stats(_t(spark, sf), X.AS_OF)
 
 
 def q_job_e(spark, sf):
@@ -433,6 +471,9 @@ SPECS: dict[str, tuple[Query, tuple[str, ...]]] = {
     "unit_ratios": (q_unit_ratios, ("puzu_avg_price", "puzu_avg_area", "avg_price_area")),
     "group_ratio_median": (q_group_ratio_median, ("room_avg_price", "room_median_price")),
     "community_ratio_median": (q_community_ratio_median, ("com_avg_price", "com_median_price")),
+    "load_violations": (q_load_violations, ()),
+    "load_conformed": (q_load_conformed, ()),
+    "csv_roundtrip": (q_csv_roundtrip, ("decoration_cost",)),
     "profile": (q_profile, ("min", "q1", "median", "mean", "q3", "max")),
     "job_a": (q_job_a, ()),
     "job_b": (q_job_b, ()),

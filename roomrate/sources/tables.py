@@ -11,6 +11,8 @@ Constructors:
 * ``from_parquet``  - one Parquet folder per table under a root;
 * ``from_catalog``  - metastore tables of one database;
 * ``from_jdbc``     - the MySQL warehouse itself, read in parallel slices.
+
+The last three read every table by its declared schema (``contract.conform``).
 """
 
 from __future__ import annotations
@@ -20,7 +22,9 @@ from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from roomrate.sources.contract import TABLES, conform, rules
 from roomrate.sources.fixture_sql import DRIVER_TABLES, FIXTURE_SQL
+from roomrate.sources.slices import KEYS, SLICES, bounds_query, predicates
 
 RENTAL_TABLES = tuple(FIXTURE_SQL)
 
@@ -78,18 +82,24 @@ class RentalTables(Mapping[str, DataFrame]):
 
             def build(name: str) -> Callable[[], DataFrame]:
                 sql = FIXTURE_SQL[name]
-                return lambda: spark.sql(sql, **{t: table(t) for t in DRIVER_TABLES if "{" + t + "}" in sql})
+
+                def view() -> DataFrame:
+                    found = spark.sql(sql, **{t: table(t) for t in DRIVER_TABLES if "{" + t + "}" in sql})
+                    rules(found, name)  # a fixture that departs from the declared columns raises here
+                    return found
+
+                return view
 
             cache[key] = cls({name: build(name) for name in key[1]})
         return cache[key]
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, root: str, names: Iterable[str] = RENTAL_TABLES) -> "RentalTables":
-        return cls({n: (lambda n=n: spark.read.parquet(f"{root.rstrip('/')}/{n}")) for n in names})
+        return cls({n: (lambda n=n: conform(spark.read.parquet(f"{root.rstrip('/')}/{n}"), n)) for n in names})
 
     @classmethod
     def from_catalog(cls, spark: SparkSession, database: str, names: Iterable[str] = RENTAL_TABLES) -> "RentalTables":
-        return cls({n: (lambda n=n: spark.table(f"{database}.{n}")) for n in names})
+        return cls({n: (lambda n=n: conform(spark.table(f"{database}.{n}"), n)) for n in names})
 
     @classmethod
     def from_jdbc(
@@ -98,27 +108,21 @@ class RentalTables(Mapping[str, DataFrame]):
         url: str,
         properties: Mapping[str, str],
         tables: Mapping[str, str],
-        slices: Mapping[str, tuple[str, int, int, int]] | None = None,
+        slices: Mapping[str, tuple[str, int]] | None = None,
     ) -> "RentalTables":
-        """Read warehouse tables over JDBC.
+        """Read warehouse tables over JDBC, each by several tasks.
 
-        ``tables`` maps our name to the server's (``{"rooms": "warehouse.rooms"}``).
-        ``slices`` maps a name to ``(column, lower, upper, num_partitions)`` so a
-        large table is read by many tasks in key ranges instead of one
-        connection. Credentials come in ``properties`` (never prompted).
+        ``tables`` maps our name to the server's (``{"rooms": "warehouse.rooms"}``). A table is
+        cut along its key (``slices.KEYS``, or ``(column, number)`` in ``slices``) at bounds
+        that the server finds; see ``slices``. Credentials come in ``properties`` (never
+        prompted).
         """
-        frames = {}
-        for name, server_name in tables.items():
-            reader = spark.read.format("jdbc").option("url", url).option("dbtable", server_name)
-            for k, v in properties.items():
-                reader = reader.option(k, v)
-            if slices and name in slices:
-                col, lo, hi, n = slices[name]
-                reader = (
-                    reader.option("partitionColumn", col)
-                    .option("lowerBound", str(lo))
-                    .option("upperBound", str(hi))
-                    .option("numPartitions", str(n))
-                )
-            frames[name] = reader.load()
-        return cls(frames)
+
+        def read(name: str, server_name: str) -> DataFrame:
+            key, number = (slices or {}).get(name) or (KEYS[name], SLICES)
+            bounds = spark.read.jdbc(url, bounds_query(server_name, key, number), properties=dict(properties))
+            cuts = [r["bound"] for r in bounds.collect()]  # at most one row per slice
+            found = spark.read.jdbc(url, server_name, predicates=predicates(key, cuts), properties=dict(properties))
+            return conform(found, name, zero_dates=True) if name in TABLES else found
+
+        return cls({name: (lambda name=name, server=server: read(name, server)) for name, server in tables.items()})

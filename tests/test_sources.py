@@ -12,7 +12,7 @@ def test_from_parquet_matches_fixture_views(spark, tables_small):
         tables_small[name].write.mode("overwrite").parquet(f"{root}/{name}")
     wh = RentalTables.from_parquet(spark, root)
     for job in (X.rooms_to_price, X.own_standard_pairs, X.whole_unit_stats):
-        a, b = job(tables_small), job(wh)
+        a, b = job(tables_small, X.AS_OF), job(wh, X.AS_OF)
         assert a.count() > 0
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
