@@ -35,6 +35,12 @@ def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def has_text(col: Column | str, part: str, any_case: bool = False) -> Column:
+    """``LIKE '%part%'``; with ``any_case`` as under the server's case-insensitive collations."""
+    c = _c(col)
+    return (F.collate(c, "UTF8_LCASE") if any_case else c).contains(part)
+
+
 def yes_flag(col: Column | str, yes: str = YES) -> Column:
     """ENC1/ENC6/ENC8: 1 when the label equals ``yes``, else 0 (NULL -> 0)."""
     return F.when(_c(col) == yes, F.lit(1)).otherwise(F.lit(0))
@@ -62,23 +68,23 @@ def small_window_code(col: Column | str) -> Column:
     return F.when(_c(col) == SMALL_WINDOW_NO, F.lit(1)).otherwise(F.lit(0))
 
 
-def irregular_note(note: Column | str) -> Column:
+def irregular_note(note: Column | str, any_case: bool = False) -> Column:
     """Any of the irregular-shape notes occurs in the text (LIKE '%x%' OR ...)."""
     n = _c(note)
     cond = None
     for pat in SHAPE_IRREGULAR_NOTES:
-        term = n.contains(pat)
+        term = has_text(n, pat, any_case)
         cond = term if cond is None else (cond | term)
     return cond
 
 
-def shape_code(shape: Column | str, note: Column | str) -> Column:
+def shape_code(shape: Column | str, note: Column | str, any_case: bool = False) -> Column:
     """ENC5: narrow -1, sloped 0, 'other' with an irregular note -2, else 1."""
     s = _c(shape)
     return (
         F.when(s == SHAPE_NARROW, F.lit(-1))
         .when(s == SHAPE_SLOPED, F.lit(0))
-        .when((s == SHAPE_OTHER) & irregular_note(note), F.lit(-2))
+        .when((s == SHAPE_OTHER) & irregular_note(note, any_case), F.lit(-2))
         .otherwise(F.lit(1))
     )
 

@@ -228,14 +228,19 @@ def rooms_base(t: RentalTables) -> DataFrame:
     return open_rooms(t).join(suites_with_community(t), "suite_id")
 
 
-def _rooms_to_price(t: RentalTables, as_of: dt.date) -> DataFrame:
+def lettable_part(rent: F.Column, code: F.Column, any_case: bool = False) -> F.Column:
+    """FLT13: rooms let one by one, and the room of a whole unit that stands for it."""
+    whole = rent.contains(E.WHOLE_UNIT)
+    return ~whole | (whole & E.has_text(code, CODE_A, any_case))
+
+
+def _rooms_to_price(t: RentalTables, as_of: dt.date, any_case: bool) -> DataFrame:
     """JOB_C: rooms to price with suite, cost, contract and landlord data (42 columns)."""
-    rent = F.col("rent_type")
     rooms = open_rooms(t).where(
         ~F.col("suite_id").isin(*denied_suite_ids())
         & F.col("price").isNull()
         & F.col("available_date").isNull()
-        & (~rent.contains(E.WHOLE_UNIT) | (rent.contains(E.WHOLE_UNIT) & F.col("code").contains(CODE_A)))
+        & lettable_part(F.col("rent_type"), F.col("code"), any_case)
     ).select(
         "suite_id", "code", "area", "living_area", "balcony_area", "terrace_area", "toilet_area", "storeroom_area",
         "has_toilet", "has_balcony", "has_storeroom", "has_terrace", "face", "lighting", "is_small_window", "shape",
@@ -317,7 +322,7 @@ def _rooms_to_price(t: RentalTables, as_of: dt.date) -> DataFrame:
         E.face_code("face").alias("face"),
         E.lighting_code("lighting").alias("lighting"),
         E.small_window_code("is_small_window").alias("is_small_window"),
-        E.shape_code("shape", "shape_note").alias("shape"),
+        E.shape_code("shape", "shape_note", any_case).alias("shape"),
         "rent_type",
         "status",
         "price",
@@ -401,9 +406,13 @@ def crawl_standard_pairs(t: RentalTables, as_of: dt.date) -> DataFrame:
     return t.derived(f"job_b/{as_of}", lambda: _crawl_standard_pairs(t, as_of))
 
 
-def rooms_to_price(t: RentalTables, as_of: dt.date) -> DataFrame:
-    """JOB_C: rooms to price with suite, cost, contract and landlord data (42 columns)."""
-    return t.derived(f"job_c/{as_of}", lambda: _rooms_to_price(t, as_of))
+def rooms_to_price(t: RentalTables, as_of: dt.date, any_case: bool = False) -> DataFrame:
+    """JOB_C: rooms to price with suite, cost, contract and landlord data (42 columns).
+
+    ``any_case`` matches Latin letters of room codes and shape notes in either case, as a server
+    with a case-insensitive collation does.
+    """
+    return t.derived(f"job_c/{as_of}/{any_case}", lambda: _rooms_to_price(t, as_of, any_case))
 
 
 def whole_unit_listings(t: RentalTables, as_of: dt.date) -> DataFrame:

@@ -15,7 +15,7 @@ import datetime as dt
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from roomrate.operators.scoring import TreeModel, load_model
 from roomrate.plans import extracts as X
@@ -23,7 +23,7 @@ from roomrate.plans import pricing as P
 from roomrate.plans import standard as S
 from roomrate.session import ensure_checkpoint_dir
 from roomrate.sinks.csv import write_dated_csv
-from roomrate.sources.ensemble import CRAWL_MODEL, OWN_MODEL, ROOM_MODEL
+from roomrate.sources.ensemble import CRAWL_MODEL, OWN_MODEL, ROOM_MODEL, read_booster
 from roomrate.sources.tables import RentalTables
 
 RESULT_NAME = "room_prices"
@@ -40,6 +40,12 @@ class Models:
     def from_table(cls, ensemble: DataFrame) -> "Models":
         return cls(load_model(ensemble, OWN_MODEL), load_model(ensemble, CRAWL_MODEL), load_model(ensemble, ROOM_MODEL))
 
+    @classmethod
+    def from_boosters(cls, spark: SparkSession, own: str, crawl: str, room: str) -> "Models":
+        """The three boosters as JSON files; splits without a feature name count in the feature orders."""
+        files = ((own, OWN_MODEL, S.OWN_FEATURES), (crawl, CRAWL_MODEL, S.CRAWL_FEATURES), (room, ROOM_MODEL, P.ROOM_FEATURES))
+        return cls(*(load_model(read_booster(spark, path, name, features), name) for path, name, features in files))
+
 
 @dataclass(frozen=True)
 class PricingOutput:
@@ -54,13 +60,14 @@ def price_all(
     out_root: str | None,
     as_of: dt.date,
     crawl_as_of: dt.date,
+    any_case: bool = False,
 ) -> PricingOutput:
     spark = t["rooms"].sparkSession
     ensure_checkpoint_dir(spark)
     own_groups = S.own_group_prices(X.own_standard_pairs(t, as_of), models.own)
     crawl_groups = S.crawl_group_prices(X.crawl_standard_pairs(t, crawl_as_of), models.crawl)
     rows = S.reconciled_pairs(own_groups, crawl_groups).checkpoint()
-    attached = P.attach_lookups(X.rooms_to_price(t, as_of), S.community_prices(rows), S.block_prices(rows)).checkpoint()
+    attached = P.attach_lookups(X.rooms_to_price(t, as_of, any_case), S.community_prices(rows), S.block_prices(rows)).checkpoint()
     gaps = P.coverage_gaps(attached)
     prices = P.price_rooms(attached, models.room)
     paths = {}

@@ -25,5 +25,5 @@ def six_number_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     long = df.select(*[F.when(~F.isnan(x), x).alias(c) for c, x in numbers.items()]).unpivot([], list(columns), "column", "value")
     sums = group_sums(long, ["column"], {"value": "value"}, {"min": ("min", "value"), "max": ("max", "value")})
     basic = sums.select("column", "min", "max", mean_of("value").alias("mean"), F.col("value.missing").alias("nas"))
-    quart = group_quantiles(long, ["column"], "value", {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    quart = group_quantiles(long, ["column"], "value", {"q1": 0.25, "median": 0.5, "q3": 0.75}, levels=3)
     return attach(basic, quart, ["column"]).select(*SUMMARY_COLUMNS)

@@ -383,6 +383,24 @@ def q_load_conformed(spark, sf):
     return rooms.join(suites, "suite_id")
 
 
+def q_match_modes(spark, sf):
+    low = lambda c: F.when(F.col("suite_id") % 3 == 0, F.lower(c)).otherwise(F.col(c)).alias(c)
+    rooms = _t(spark, sf)["rooms"].select("suite_id", "rent_type", "shape", low("code"), low("shape_note"))
+    modes = {"": False, "_any_case": True}
+    return rooms.select(
+        "suite_id",
+        "code",
+        *[X.lettable_part(F.col("rent_type"), F.col("code"), m).alias(f"kept{n}") for n, m in modes.items()],
+        *[E.shape_code("shape", "shape_note", m).alias(f"shape{n}") for n, m in modes.items()],
+    )
+
+
+def q_quantile_rule(spark, sf):
+    city = F.when(F.col("city").startswith(X.OPEN_CITIES[0]), S.QUANTILE_65_CITY).when(~F.col("city").startswith(X.DEADLINE_CITIES[0]), F.col("city"))
+    pairs = X.crawl_standard_pairs(_t(spark, sf), X.CRAWL_AS_OF).withColumn("city", city)
+    return S.crawl_group_prices(pairs, demo_model(CRAWL_MODEL))
+
+
 def q_csv_roundtrip(spark, sf):
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/csv-roundtrip-{uuid.uuid4().hex}"
     rooms = X.rooms_to_price(_t(spark, sf), X.AS_OF)
@@ -471,6 +489,8 @@ SPECS: dict[str, tuple[Query, tuple[str, ...]]] = {
     "unit_ratios": (q_unit_ratios, ("puzu_avg_price", "puzu_avg_area", "avg_price_area")),
     "group_ratio_median": (q_group_ratio_median, ("room_avg_price", "room_median_price")),
     "community_ratio_median": (q_community_ratio_median, ("com_avg_price", "com_median_price")),
+    "match_modes": (q_match_modes, ()),
+    "quantile_rule": (q_quantile_rule, ("final_std_room_outprice_pre",)),
     "load_violations": (q_load_violations, ()),
     "load_conformed": (q_load_conformed, ()),
     "csv_roundtrip": (q_csv_roundtrip, ("decoration_cost",)),

@@ -192,3 +192,30 @@ def test_profile_counts_nan_as_missing(spark):
     got = {r["column"]: tuple(r)[1:] for r in six_number_summary(df, ["a", "b"]).collect()}
     assert got["a"] == (-1e30, 1.0, 2.0, 1.4, 4.0, 1e30, 2)
     assert got["b"] == (1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 0)
+
+
+@pytest.mark.parametrize("levels", [1, 2, 3])
+def test_quantiles_of_a_narrow_range(spark, levels):
+    """A million distinct values within one bucket: finer levels share them out and change nothing."""
+    from roomrate.operators.grouped import _digits
+
+    df = spark.range(1_000_000).select(
+        F.when(F.col("id") % 4 == 0, "a").otherwise("b").alias("g"), (1 + 0.0001 * F.pmod(F.xxhash64("id"), F.lit(1 << 40)) / (1 << 40)).alias("v")
+    )
+    want = {r["g"]: (r["q1"], r["m"]) for r in df.groupBy("g").agg(F.percentile("v", 0.25).alias("q1"), F.percentile("v", 0.5).alias("m")).collect()}
+    got = {r["g"]: (r["q1"], r["m"]) for r in group_quantiles(df, ["g"], "v", {"q1": 0.25, "m": 0.5}, levels=levels).collect()}
+    assert got == {g: pytest.approx(q, rel=1e-13) for g, q in want.items()}
+    largest = df.groupBy("g", *_digits(F.col("v"), levels)).count().agg(F.max("count")).first()[0]
+    assert largest > 700_000 if levels == 1 else largest < 10_000
+
+
+@pytest.mark.parametrize("levels", [1, 3])
+def test_finer_levels_keep_the_order_of_values(spark, levels):
+    from roomrate.operators.grouped import _digits
+
+    rng = np.random.default_rng(8)
+    vs = [-math.inf, math.inf, 0.0, 5e-324, -5e-324, 1.7e308, -1.7e308]
+    vs += (rng.normal(size=3000) * 10.0 ** rng.integers(-300, 300, 3000)).tolist() + (1 + rng.random(3000) * 1e-6).tolist() + (-1 - rng.random(3000) * 1e-6).tolist()
+    df = spark.createDataFrame([(v,) for v in vs], "v double").select("v", F.array(*_digits(F.col("v"), levels)).alias("d"))
+    found = [r["d"] for r in df.orderBy("v").collect()]
+    assert found == sorted(found)

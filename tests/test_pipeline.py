@@ -32,6 +32,38 @@ def test_pipeline_writes_both_csvs(spark, tables_small):
     assert prices.where(F.col("block_std_price").isNull()).count() == res.prices.where(F.col("block_std_price").isNull()).count()
 
 
+def test_command_line_with_boosters(spark, tmp_path, capsys):
+    """The three models as JSON files: one tree each, named or numbered features; both match modes."""
+    import json
+
+    from roomrate.__main__ import main
+
+    def booster(names, at, split):
+        tree = {
+            "left_children": [1, -1, -1], "right_children": [2, -1, -1], "split_indices": [at, 0, 0],
+            "split_conditions": [split, -10.0, 25.0], "default_left": [1, 0, 0], "split_type": [0, 0, 0],
+        }
+        learner = {"feature_names": names, "learner_model_param": {"base_score": "5E-1"}, "gradient_booster": {"name": "gbtree", "model": {"trees": [tree]}}}
+        return json.dumps({"learner": learner})
+
+    paths = []
+    for name, text in (("own", booster([], 4, 1500.0)), ("crawl", booster(["price_x"], 0, 1500.0)), ("room", booster([], 19, 2000.0))):
+        paths.append(str(tmp_path / f"{name}.json"))
+        (tmp_path / f"{name}.json").write_text(text)
+    out = str(tmp_path / "out")
+    dates = ["--as-of", AS_OF.isoformat(), "--crawl-as-of", CRAWL_AS_OF.isoformat()]
+    main(["--driver-sf", SF_SMALL, "--booster", *paths, "--out", out, "--any-case", *dates])
+    assert RESULT_NAME in capsys.readouterr().out
+    models = Models.from_boosters(spark, *paths)
+    from roomrate.sources.tables import RentalTables
+
+    prices = price_all(RentalTables.from_driver(spark, SF_SMALL), models, None, AS_OF, CRAWL_AS_OF, any_case=True).prices
+    back = read_dated_csv(spark, out, RESULT_NAME, AS_OF, prices.schema)
+    assert back.count() == prices.count() > 0
+    predicted = {round(r[0], 6) for r in back.select(F.col("xiaoqu_std_price_final") - F.col("room_outprice_pre")).collect()}
+    assert predicted <= {-9.5, 25.5} and predicted
+
+
 def test_csv_roundtrip_values(spark, tables_small):
     out = tempfile.mkdtemp(prefix="roomrate-test-csv-")
     from roomrate.sinks.csv import write_dated_csv
