@@ -169,6 +169,49 @@ def test_exact_dedup(odd, empty):
         exact_dedup.mark_copies(odd, prefix="p_"), "doc_id", "p_kept"
     )
     assert exact_dedup.verdicts(empty).count() == 0
+    assert exact_dedup.mark_copies(odd, prefix="p_", with_text=False).columns == [c for c in odd.columns if c != "text"] + ["p_keep_id", "p_group_size", "p_kept", "p_sha256"]
+
+
+def test_exact_dedup_segments_and_both_ways_to_mark(spark, monkeypatch):
+    """Every repeated text is found, in many segments, with the filter and with the join."""
+    texts = [f"t{i % 4000 if i % 10 < 3 else i}" for i in range(12_000)] + ["hot"] * 6000 + [None, "", "x" * 3_000_000, "x" * 3_000_000]
+    df = spark.createDataFrame([(i // 2, t, i) for i, t in enumerate(texts)], "doc_id long, text string, uid long").repartition(7)
+    count = Counter(t or "" for t in texts)
+    best = {}
+    for i, t in enumerate(texts):
+        best[t or ""] = max(best.get(t or "", -1), i // 2)
+    found = exact_dedup.repeated_hashes(df.select(F.xxhash64(F.coalesce("text", F.lit("")))), segment=1000)
+    hashes = {r["h"] for r in found.collect()}
+    real = {r["h"] for r in df.groupBy(F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).count().where("count > 1").collect()}
+    assert real <= hashes and len(hashes) < len(real) + 600
+    for max_bits in (exact_dedup.MAX_BITS, 0):
+        out = exact_dedup.mark_copies(df, prefix="p_", max_bits=max_bits).collect()
+        assert len(out) == len(texts) and sum(r.p_kept for r in out) == len(count)
+        for r in out:
+            assert (r.p_group_size, r.p_keep_id) == (count[r.text or ""], best[r.text or ""])
+            assert not r.p_kept or r.doc_id == r.p_keep_id
+
+
+def test_exact_dedup_splits_a_hot_text(spark):
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2KB", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.files.maxPartitionBytes": "64KB",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = spark.range(40_000, numPartitions=8).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("t"), F.col("id") % 9000)).alias("text"))
+        out = exact_dedup.verdicts(df)
+        assert out.where("kept").count() == df.select("text").distinct().count()
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert "skew=true" in plan or "isSkewJoin=true" in plan, plan[:4000]
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 @pytest.mark.parametrize("n", [0, 1, 3])
