@@ -203,7 +203,7 @@ def test_exact_dedup_splits_a_hot_text(spark):
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
-        df = spark.range(40_000, numPartitions=8).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("t"), F.col("id") % 9000)).alias("text"))
+        df = spark.range(40_000, numPartitions=8).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("t"), F.when(F.col("id") % 50 == 1, F.col("id") % 900).otherwise(F.col("id")))).alias("text"))
         out = exact_dedup.verdicts(df)
         assert out.where("kept").count() == df.select("text").distinct().count()
         out.collect()
