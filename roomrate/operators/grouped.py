@@ -233,13 +233,14 @@ def group_sums(
     """
     extra = dict(extra or {})
     plain = {"max": F.max, "min": F.min, "sum": F.sum, "count": F.count}
+    group = [f"__k{i}" for i in range(len(keys))]  # plain columns: rows that lie by a key stay there
     parts = {name: _binned(_col(c).cast("double")) for name, c in values.items()}
     base = df.select(
-        F.struct(*[F.col(k) for k in keys]).alias(_G),
+        *[F.col(k).alias(g) for k, g in zip(keys, group)],
         *[c.alias(f"__{x}_{name}") for name, pair in parts.items() for x, c in zip("bv", pair)],
         *[_col(c).alias(f"__x_{name}") for name, (_, c) in extra.items()],
     )
-    first = base.groupBy(_G, *[f"__b_{n}" for n in parts]).agg(
+    first = base.groupBy(*group, *[f"__b_{n}" for n in parts]).agg(
         F.count(F.lit(1)).alias("__rows"),
         *[F.sum(f"__v_{n}").alias(f"__v_{n}") for n in parts],
         *[plain[how](f"__x_{n}").alias(f"__x_{n}") for n, (how, _) in extra.items()],
@@ -254,9 +255,9 @@ def group_sums(
         ]
     again = {"max": F.max, "min": F.min, "sum": F.sum, "count": F.sum}
     aggs += [again[how](f"__x_{n}").alias(n) for n, (how, _) in extra.items()]
-    second = first.groupBy(_G).agg(*aggs)
+    second = first.groupBy(*group).agg(*aggs)
     return second.select(
-        *[F.col(_G).getField(k).alias(k) for k in keys],
+        *[F.col(g).alias(k) for k, g in zip(keys, group)],
         *[
             F.struct(_put_together(F.col(f"__l_{n}")).alias("sum"), F.col(f"__n_{n}").alias("n"), F.col(f"__m_{n}").alias("missing")).alias(n)
             for n in parts

@@ -193,6 +193,12 @@ def _crawl_standard_pairs(t: RentalTables, as_of: dt.date) -> DataFrame:
 
 
 # ------------------------------------------------------------------ JOB_C
+#: The tables that JOB_C reads.
+ROOMS_TO_PRICE_TABLES = (
+    "rooms", "suites", "xiaoqus", "suite_decorations", "contract_with_landlords", "house_pricing", "landlord_payment_schedules",
+)
+
+
 def suite_room_stats(t: RentalTables) -> DataFrame:
     """The per-suite aggregate of all ``rooms``; extracts A and C aggregate those of their suites only."""
     return t.derived("room_stats", lambda: room_stats(t["rooms"]))
@@ -203,9 +209,8 @@ def open_rooms(t: RentalTables) -> DataFrame:
     return t["rooms"].where(~F.col("status").isin(*PRICED_STATES) & F.col("deleted_at").isNull())
 
 
-def suites_with_community(t: RentalTables) -> DataFrame:
-    """Suites with their community."""
-    suites = t["suites"].select(
+def _suites(t: RentalTables) -> DataFrame:
+    return t["suites"].select(
         F.col("id").alias("suite_id"),
         "xiaoqu_id",
         "bedroom_num",
@@ -219,10 +224,18 @@ def suites_with_community(t: RentalTables) -> DataFrame:
         "address",
         F.col("status").alias("suite_state"),
     )
+
+
+def _with_community(t: RentalTables, suites: DataFrame) -> DataFrame:
     xq = t["xiaoqus"].select(F.col("id").alias("xiaoqu_id"), "city", "block", F.col("name").alias("community"))
     return suites.join(xq, "xiaoqu_id")
 
 
+def suites_with_community(t: RentalTables) -> DataFrame:
+    """Suites with their community."""
+    return _with_community(t, _suites(t))
+
+
 def rooms_base(t: RentalTables) -> DataFrame:
     """Rooms not yet let, with their suite and community."""
     return open_rooms(t).join(suites_with_community(t), "suite_id")
@@ -251,12 +264,13 @@ def _rooms_to_price(t: RentalTables, as_of: dt.date, any_case: bool) -> DataFram
     wanted = rooms.select("suite_id").distinct()
     # bb1 (AGG4 over listed suites) and the never-available anti join (JN8)
     # are both read from the one per-suite room aggregate
-    bb1 = room_stats(reduced(t["rooms"], wanted, "suite_id")).where((F.col("live_rooms") > 0) & (F.col("ever_available_rooms") == 0)).select(
+    in_place = t.in_suite_buckets
+    facts = t["rooms"].join(wanted, "suite_id", "left_semi") if in_place else reduced(t["rooms"], wanted, "suite_id")
+    bb1 = room_stats(facts).where((F.col("live_rooms") > 0) & (F.col("ever_available_rooms") == 0)).select(
         "suite_id", "dw_num", "dly_num"
     )
-    suites = suites_with_community(t).where(
-        F.col("city").isin(*DEADLINE_CITIES, *OPEN_CITIES)
-        & ~F.col("address").contains(RND_ADDRESS)
+    suites = _suites(t).where(
+        ~F.col("address").contains(RND_ADDRESS)
         & ~F.col("suite_state").isin(DELISTED)
         & ~F.col("address").contains(WORKSTATION)
         & F.col("ready_for_rent_date").isNotNull()
@@ -270,27 +284,33 @@ def _rooms_to_price(t: RentalTables, as_of: dt.date, any_case: bool) -> DataFram
     hp = t["house_pricing"].select(
         F.col("id").alias("house_pricing_id"), F.col("sales_wish_sum_price_yuan").alias("pre_total_outpr")
     )
-    icontract = (
-        signed_contracts(t["contract_with_landlords"], as_of)
-        .select("suite_id", "origin_bedroom_num", "house_pricing_id")
-        .join(hp, "house_pricing_id", "left")
-        .select("suite_id", "origin_bedroom_num", "pre_total_outpr")
-        .distinct()
+    signed = signed_contracts(t["contract_with_landlords"], as_of).select(
+        "suite_id", "origin_bedroom_num", "house_pricing_id"
     )
+
+    def placed(rows: DataFrame) -> DataFrame:
+        return _with_community(t, rows).where(F.col("city").isin(*DEADLINE_CITIES, *OPEN_CITIES))
+
+    def wished(rows: DataFrame) -> DataFrame:
+        return rows.join(hp, "house_pricing_id", "left").drop("house_pricing_id")
+
     in_force = landlord_price_in_force(t["landlord_payment_schedules"], t["contract_with_landlords"], as_of)
     mm = t["suite_decorations"].select("suite_id", "supplier_end_date").distinct()
     end_date = F.coalesce(F.col("supplier_end_date"), F.col("zhuangxiu_end_date"))
-    priced_suites = (
-        suites.join(icost, "suite_id")
+    due = (
+        F.col("city").isin(*DEADLINE_CITIES) & (end_date <= F.lit(as_of + dt.timedelta(days=DEADLINE_DAYS)))
+    ) | F.col("city").isin(*OPEN_CITIES)
+    chain = (
+        (suites if in_place else placed(suites))
+        .join(icost, "suite_id")
         .join(bb1, "suite_id")
         .join(in_force, "suite_id", "left")
         .join(mm, "suite_id", "left")
-        .where(
-            (F.col("city").isin(*DEADLINE_CITIES) & (end_date <= F.lit(as_of + dt.timedelta(days=DEADLINE_DAYS))))
-            | F.col("city").isin(*OPEN_CITIES)
-        )
-        .join(icontract, "suite_id")
     )
+    if in_place:  # lookups by other keys would move the rows out of their buckets, so they come last
+        priced_suites = wished(placed(chain.join(signed.distinct(), "suite_id")).where(due))
+    else:
+        priced_suites = chain.where(due).join(wished(signed).distinct(), "suite_id")
     joined = join_spread(rooms, priced_suites, "suite_id")
     return joined.select(
         "city",

@@ -28,6 +28,7 @@ from roomrate.plans.profile import six_number_summary
 from roomrate.session import ensure_checkpoint_dir
 from roomrate.sinks.csv import read_dated_csv, write_dated_csv
 from roomrate.sources import contract
+from roomrate.sources.buckets import store_by_suite
 from roomrate.sources.ensemble import CRAWL_MODEL, OWN_MODEL, ROOM_MODEL, demo_model
 from roomrate.sources.literals import denied_suite_ids
 from roomrate.sources.tables import RentalTables
@@ -408,6 +409,14 @@ def q_csv_roundtrip(spark, sf):
     return read_dated_csv(spark, root, "rooms", X.AS_OF, rooms.schema)
 
 
+def q_suite_buckets(spark, sf):
+    """JOB_C over tables stored in buckets of their suite."""
+    database = f"by_suite_{uuid.uuid4().hex}"
+    spark.sql(f"create database {database} location '{ensure_checkpoint_dir(spark).rstrip('/')}/{database}'")
+    store_by_suite(_t(spark, sf), database, int(spark.conf.get("spark.sql.shuffle.partitions")), X.ROOMS_TO_PRICE_TABLES)
+    return X.rooms_to_price(RentalTables.from_catalog(spark, database, X.ROOMS_TO_PRICE_TABLES), X.AS_OF)
+
+
 # ------------------------------------------------------------------- jobs
 def q_job_a(spark, sf):
     return X.own_standard_pairs(_t(spark, sf), X.AS_OF)
@@ -494,6 +503,7 @@ SPECS: dict[str, tuple[Query, tuple[str, ...]]] = {
     "load_violations": (q_load_violations, ()),
     "load_conformed": (q_load_conformed, ()),
     "csv_roundtrip": (q_csv_roundtrip, ("decoration_cost",)),
+    "suite_buckets": (q_suite_buckets, ("decoration_cost",)),
     "profile": (q_profile, ("min", "q1", "median", "mean", "q3", "max")),
     "job_a": (q_job_a, ()),
     "job_b": (q_job_b, ()),

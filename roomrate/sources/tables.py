@@ -22,6 +22,7 @@ from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from roomrate.sources.buckets import bucketed
 from roomrate.sources.contract import TABLES, conform, rules
 from roomrate.sources.fixture_sql import DRIVER_TABLES, FIXTURE_SQL
 from roomrate.sources.slices import KEYS, SLICES, bounds_query, predicates
@@ -36,8 +37,9 @@ _DRIVER_CACHE: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKey
 class RentalTables(Mapping[str, DataFrame]):
     """Named input tables of the pricing jobs (built lazily, once per name)."""
 
-    def __init__(self, frames: Mapping[str, DataFrame | Callable[[], DataFrame]]):
+    def __init__(self, frames: Mapping[str, DataFrame | Callable[[], DataFrame]], in_buckets: Callable[[], frozenset[str]] = frozenset):
         self._frames = dict(frames)
+        self._in_buckets = in_buckets
         self._derived: dict[str, DataFrame] = {}
 
     def derived(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
@@ -46,6 +48,11 @@ class RentalTables(Mapping[str, DataFrame]):
             self._derived[name] = build()
         return self._derived[name]
 
+    @property
+    def in_suite_buckets(self) -> bool:
+        """Whether rooms and suites are stored in buckets of their suite (``sources.buckets``)."""
+        return {"rooms", "suites"} <= self._in_buckets()
+
     def __getitem__(self, name: str) -> DataFrame:
         frame = self._frames[name]
         if callable(frame) and not isinstance(frame, DataFrame):
@@ -99,7 +106,9 @@ class RentalTables(Mapping[str, DataFrame]):
 
     @classmethod
     def from_catalog(cls, spark: SparkSession, database: str, names: Iterable[str] = RENTAL_TABLES) -> "RentalTables":
-        return cls({n: (lambda n=n: conform(spark.table(f"{database}.{n}"), n)) for n in names})
+        names = tuple(names)
+        frames = {n: (lambda n=n: conform(spark.table(f"{database}.{n}"), n)) for n in names}
+        return cls(frames, lambda: bucketed(spark, database, names))
 
     @classmethod
     def from_jdbc(
