@@ -4,9 +4,11 @@ A small tree builder with implied end tags reads the page, visibility rules drop
 browser would not show, and a renderer walks the tree once: blocks on lines of their own
 (a blank line around paragraphs, headings, lists and tables), list items with markers and
 indentation, ``pre`` as it is, and tables with cells aligned in columns. All visible text
-is emitted, menus and footers too, and the text of svg and math in the order of the page. An
-``colspan`` of a cell is kept, ``rowspan`` is not read: cells of the rows below stand further left. An
-open head ends, also without its end tag, at the first thing that cannot stand in it. Parsing is linear in the page and never recursive, so
+is emitted, menus and footers too, and the text of svg and math in the order of the page. What is
+not displayed goes with all that it holds; hidden visibility is inherited, and a part that is made
+visible again is shown. Cells stand in the columns that ``colspan`` and ``rowspan`` leave them (spans
+end with their row group; below column 1,000 only). Where lining up would take over 64 times the
+text of a table, its cells stand apart unaligned, none left out. An open head ends, also without its end tag, at the first thing that cannot stand in it. Parsing is linear in the page and never recursive, so
 very deep or broken pages do no harm.
 """
 
@@ -55,11 +57,14 @@ CLOSES = {
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*+")
 _ATTR = re.compile(r"[\s/]*+([^\s/>=]++|=[^\s/>=]*+)(\s*+=\s*+)?")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
-_NOT_SHOWN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.IGNORECASE)
+_NOT_SHOWN = re.compile(r"(?<![\w-])display\s*:\s*none", re.IGNORECASE)
+_VISIBILITY = re.compile(r"(?<![\w-])visibility\s*:\s*(hidden|collapse|visible)", re.IGNORECASE)
+#: Fixed values of the HTML standard: most columns and rows that a cell spans.
+MOST_ACROSS, MOST_DOWN = 1000, 65534
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children", "hidden", "within")
+    __slots__ = ("tag", "attrs", "children", "hidden", "visible", "within")
 
     def __init__(self, tag: str, attrs: dict[str, str], within: str = ""):
         self.tag, self.attrs, self.children = tag, attrs, []
@@ -71,8 +76,12 @@ class Node:
             self.within = "text"
         elif within in ("svg", "text") and tag in ("foreignobject", "desc"):
             self.within = ""
+        style = attrs.get("style", "")
+        said = _VISIBILITY.findall(style)
+        #: What its style says, if it does; otherwise it is as visible as its parent.
+        self.visible = said[-1].lower() == "visible" if said else None
         self.hidden = (
-            tag in HIDDEN or "hidden" in attrs or bool(_NOT_SHOWN.search(attrs.get("style", "")))
+            tag in HIDDEN or "hidden" in attrs or bool(_NOT_SHOWN.search(style))
             or (tag == "dialog" and "open" not in attrs) or (within != "" and tag in HIDDEN_FOREIGN)
         )
 
@@ -260,23 +269,70 @@ class _Flow:
         return "\n".join(self.lines)
 
 
-def _aligned(rows: list[list[str]]) -> list[str]:
-    width = max(map(len, rows), default=0)
-    wide = [max((len(r[i]) for r in rows if i < len(r)), default=0) for i in range(width)]
-    return ["  ".join(c.ljust(w) for c, w in zip(r, wide, strict=False)).rstrip(" ") for r in rows]
+class _Table:
+    """Cells of a table by row and column."""
+
+    def __init__(self):
+        self.rows: list[list[tuple[int, str]]] = []
+        self.open, self.column = 0, 0
+        self.taken: dict[int, int] = {}  # column: the row from which on it is free again
+
+    def row(self) -> None:
+        self.rows.append([])
+        self.column = 0
+
+    def group(self) -> None:
+        self.taken.clear()
+
+    def cell(self, text: str, across: int, down: int) -> None:
+        here = len(self.rows) - 1
+        while self.taken.get(self.column, 0) > here:
+            self.column += 1
+        if text:
+            self.rows[-1].append((self.column, text))
+        if down > 1:
+            for c in range(self.column, min(self.column + across, MOST_ACROSS)):
+                self.taken[c] = here + down
+        self.column += across
+
+    def lines(self) -> list[str]:
+        rows = [r for r in self.rows if r]
+        wide: dict[int, int] = {}
+        for c, text in (cell for r in rows for cell in r):
+            wide[c] = max(wide.get(c, 0), len(text))
+        start, before = {}, 0
+        for c in sorted(wide):
+            start[c] = 2 * c + before  # two blanks after each column, empty ones too
+            before += wide[c]
+        if sum(start[r[-1][0]] for r in rows) > 64 * sum(len(text) for r in rows for _, text in r) + 4096:
+            return ["  ".join(text for _, text in r) for r in rows]
+        out = []
+        for r in rows:
+            line = ""
+            for c, text in r:
+                line = line.ljust(start[c]) + text
+            out.append(line)
+        return out
+
+
+def _span(node: Node, name: str, most: int) -> int:
+    """How far a cell spans; 0 rows are all that follow."""
+    told = node.attrs.get(name, "").strip()
+    told = int(told) if re.fullmatch(r"[0-9]{1,9}", told) else 1
+    return min(told, most) or (most if name == "rowspan" else 1)
 
 
 def render(page: str) -> str:
     """All visible text of a page."""
     flows, tables, lists = [_Flow()], [], []
     pre = 0
-    walk: list[tuple[object, bool]] = [(tree(page), False)]
+    walk: list[tuple[object, bool, bool]] = [(tree(page), False, True)]
     while walk:
-        node, leaving = walk.pop()
+        node, leaving, visible = walk.pop()
         flow = flows[-1]
         if isinstance(node, str):
-            if tables and not tables[-1][1] and not node.strip():
-                continue  # white space between rows
+            if not visible or (tables and not tables[-1].open and not node.strip()):
+                continue  # white space between rows, too
             flow.text(node, pre > 0)
             continue
         tag = node.tag
@@ -287,16 +343,18 @@ def render(page: str) -> str:
                 if flow.line or not pre:
                     flow.raw(flow.line.rstrip(" ")) if flow.line.strip() else flow.newline()
                 continue
-            walk.append((node, True))
+            if node.visible is not None:
+                visible = node.visible
+            walk.append((node, True, visible))
             children = node.children
             if tag == "details" and "open" not in node.attrs:
                 children = [c for c in children if isinstance(c, Node) and c.tag == "summary"][:1]
-            walk.extend((c, False) for c in reversed(children))
+            walk.extend((c, False, visible) for c in reversed(children))
             if tag in ("td", "th") and tables:
-                if not tables[-1][0]:
-                    tables[-1][0].append([])
+                if not tables[-1].rows:
+                    tables[-1].row()
                 flows.append(_Flow())
-                tables[-1][1] += 1
+                tables[-1].open += 1
                 continue
             if tag in BLOCK:
                 flow.newline(1 if tag in SPACED and not lists else 0)
@@ -310,21 +368,24 @@ def render(page: str) -> str:
                 if lists and lists[-1][0] == "ol":
                     marker = f"{lists[-1][1]}. "
                     lists[-1][1] += 1
-                flow.indent, flow.marker = flow.indent + " " * len(marker), marker
+                flow.indent, flow.marker = flow.indent + " " * len(marker), marker if visible else ""
                 node.attrs["\0"] = marker
             elif tag in ("dd", "blockquote"):
                 flow.indent += "  "
             elif tag == "table":
-                tables.append([[], 0])  # rows, open cells
+                tables.append(_Table())
             elif tag == "tr" and tables:
-                tables[-1][0].append([])
+                tables[-1].row()
+            elif tag in _ROWS and tables:
+                tables[-1].group()
         else:
-            if tag in ("td", "th") and tables and tables[-1][1]:
+            if tag in ("td", "th") and tables and tables[-1].open:
                 cell = _SPACE.sub(" ", flows.pop().done().replace("\n", " ")).strip(" ")
-                span = node.attrs.get("colspan", "1")
-                tables[-1][0][-1].extend([cell] + [""] * (min(int(span), 1000) - 1 if re.fullmatch(r"\d{1,4}", span) else 0))
-                tables[-1][1] -= 1
+                tables[-1].cell(cell, _span(node, "colspan", MOST_ACROSS), _span(node, "rowspan", MOST_DOWN))
+                tables[-1].open -= 1
                 continue
+            if tag in _ROWS and tables:
+                tables[-1].group()
             if tag in BLOCK:
                 flow.newline()
             if tag == "pre":
@@ -337,7 +398,7 @@ def render(page: str) -> str:
             elif tag in ("dd", "blockquote"):
                 flow.indent = flow.indent[:-2]
             elif tag == "table":
-                for line in _aligned([r for r in tables.pop()[0] if any(r)]):
+                for line in tables.pop().lines():
                     flow.raw(line)
             if tag in SPACED and not lists and flow.lines:
                 flow.gap = 1

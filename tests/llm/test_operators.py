@@ -500,6 +500,36 @@ def test_html_broken_pages_end(page):
     html_text.render(page)
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<table><tr><td rowspan=2>a<td>bb<tr><td>c<tr><td>d<td>e</table>", "a  bb\n   c\nd  e"),
+        ("<table><tr><td>a<td rowspan=3 colspan=2>b<td>c<tr><td>d<td>e<tr><td>f<td>g<tr><td>h<td>i</table>",
+         "a  b    c\nd       e\nf       g\nh  i"),
+        ("<table><tbody><tr><td rowspan=0>a<td>b<tr><td>c<tbody><tr><td>d<td>e</table>", "a  b\n   c\nd  e"),
+        ("<table><tr><td rowspan=x>a<td>b<tr><td rowspan=-1>c<td>d</table>", "a  b\nc  d"),
+        ("<p style='visibility:hidden'>a <b style='visibility: visible'>b</b> c</p>d", "b\n\nd"),
+        ("<p style='display:none'>a <b style='visibility:visible'>b</b></p>d", "d"),
+        ("<p style='visibility:hidden;visibility:VISIBLE'>a</p><p style='backface-visibility:hidden'>b</p>", "a\n\nb"),
+        ("<ul><li style='visibility:hidden'>a<li>b</ul>", "- b"),
+        ("<table><tr style='visibility:collapse'><td>a<tr><td>b</table>", "b"),
+    ],
+)
+def test_html_spans_and_visibility(page, text):
+    assert html_text.render(page) == text
+
+
+def test_html_wide_tables_keep_all_cells():
+    page = "<table><tr>" + "<td rowspan=65534>x" * 2000 + "".join(f"<tr><td>y{i}" for i in range(3000))
+    text = html_text.render(page)
+    assert text.count("x") == 2000 and re.findall(r"y\d+", text) == [f"y{i}" for i in range(3000)]
+    assert len(text) < 64 * len(page)
+
+
+def test_html_without_rows(spark):
+    assert html_text.extracted(spark.createDataFrame([], "page_id long, html string")).collect() == []
+
+
 def test_html_table(spark):
     df = spark.createDataFrame([(1, None, "u"), (2, "", "u"), (3, "<p>a b", "u")], "page_id long, html string, text string")
     assert rows(html_text.extracted(df), "page_id", "text", "n_lines", "n_words") == [(1, None, 0, 0), (2, "", 0, 0), (3, "a b", 1, 2)]
