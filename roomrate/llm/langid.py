@@ -16,13 +16,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import texts, with_struct
+from .common import texts, with_struct, written
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 8
 #: Bound of the training sample: rows per language, smallest hashes of the id; windows per row.
 MAX_ROWS, ROW_WINDOWS = 500, 4
+#: A softmax over more languages than this is refused; the counts per language fit a broadcast.
+MAX_LANGS = 1000
 EPOCHS, BATCH, RATE = 12, 64, 0.03
 FOLDS, HELD_OUT = 4, 2
 NONE = "und"
@@ -131,13 +133,32 @@ def _samples(b: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays([pa.array(out, pa.list_(pa.binary()))], ["windows"])
 
 
+def _smallest(ids: DataFrame, max_rows: int) -> DataFrame:
+    """The ``max_rows`` rows of each language with the smallest hashes of the id.
+
+    A first cut of the hashes, at twice the share that a language's count asks for, is made
+    where the rows lie, so that no task ranks more than about ``2 * max_rows`` of a language.
+    """
+    counts = ids.groupBy("lang").count().limit(MAX_LANGS + 1).collect()  # one row per output of the softmax
+    if len(counts) > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} languages")
+    most = [(r["lang"], 2**63 - 1 if r["count"] <= 2 * max_rows else 2**64 * 2 * max_rows // r["count"] - 2**63) for r in counts]
+    cut = ids.sparkSession.createDataFrame(most, "lang string, most long")
+    near = ids.withColumn("hash", F.xxhash64("id")).join(F.broadcast(cut), "lang").filter(F.col("hash") <= F.col("most"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("hash", "id"))
+    return near.withColumn("r", rank).filter(F.col("r") <= max_rows).select("id", "lang")
+
+
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_rows: int = MAX_ROWS) -> ByteCnn | None:
-    """Network from rows with a language outside the held-out fold; None if there are none."""
-    d = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").alias("lang"))
-    d = d.filter(F.col("lang").isNotNull() & (F.length("text") > 0) & (fold(F.col("id"), FOLDS) != HELD_OUT))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
-    chosen = d.select("id", "lang").withColumn("r", rank).filter(F.col("r") <= max_rows).select("id", "lang").distinct()
-    chosen = F.broadcast(chosen)  # languages * max_rows ids
+    """Network from rows with a language outside the held-out fold; None if there are none.
+
+    Rows without text or id teach nothing; an id that repeats counts once per language, with
+    the text whose windows come first. More than ``MAX_LANGS`` languages raise an error.
+    """
+    d = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang"))
+    d = d.filter(F.col("id").isNotNull() & F.col("lang").isNotNull() & (F.length("text") > 0) & (fold(F.col("id"), FOLDS) != HELD_OUT))
+    ids = written(d.select("id", "lang").distinct(), "langid-ids")
+    chosen = F.broadcast(_smallest(ids, max_rows))  # MAX_LANGS * max_rows ids at most
     cut = with_struct(d.join(chosen, ["id", "lang"]), "__w", F.col("text"), "struct<windows:array<binary>>", _samples)
     once = cut.groupBy("id", "lang").agg(F.min("__w.windows").alias("windows"))  # however often an id repeats
     rows = once.select("id", "lang", F.explode("windows").alias("w")).collect()  # languages * max_rows * ROW_WINDOWS windows
