@@ -50,6 +50,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until ``df`` has no such column (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def with_struct(
     df: DataFrame, name: str, column: Column, returns: str, batch: Callable[[pa.Array], pa.Array],
     setup: Callable[[], object] | None = None,

@@ -1,7 +1,7 @@
 """PII: format-preserving Feistel pseudonyms (operator 8), DataFrame functions only.
 
 Emails, IPv4 addresses, dates, phone numbers, social security numbers and card numbers
-are found by one pattern and validated (octets, calendar, Luhn). Each valid value is
+are found by one pattern and validated (octets, calendar, issuable social security numbers, Luhn). Each valid value is
 permuted within its own format by a keyed alternating Feistel network, so equal values get
 equal pseudonyms in every document and different values different ones; what does not
 validate stays. The network adds keyed hashes of one half to the other, modulo the size of
@@ -27,6 +27,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import fresh
+
 ROUNDS = 8
 #: For the registered query; a production run passes its own secret.
 DEMO_KEY = "roomrate-demo-key"
@@ -142,11 +144,28 @@ def _windows(groups: Column) -> Column:
             ),
         )
 
+    def fitting(sizes: Column, i: Column) -> Column:
+        """How many of the next 19 borders come before the 13th digit (few), and by the 19th (most)."""
+        start = F.struct(F.lit(0).cast("long").alias("digits"), F.lit(0).alias("few"), F.lit(0).alias("most"))
+
+        def step(acc: Column, size: Column) -> Column:
+            total = acc["digits"] + size
+            return F.struct(
+                total.alias("digits"), (acc["few"] + F.when(total < 13, 1).otherwise(0)).alias("few"),
+                (acc["most"] + F.when(total <= 19, 1).otherwise(0)).alias("most"),
+            )
+
+        return F.aggregate(F.slice(sizes, i, 19), start, step)
+
+    def at(sizes: Column, i: Column) -> Column:
+        none = F.array().cast("array<struct<at:int,n:int,digits:string,layout:string>>")
+        return _let(
+            fitting(sizes, i),
+            lambda s: F.when(s["most"] > s["few"], F.transform(F.sequence(s["few"] + 1, s["most"]), lambda n: window(i, n))).otherwise(none),
+        )
+
     starts = F.sequence(F.lit(1), F.size(groups))
-    every = F.flatten(
-        F.transform(starts, lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(19), F.size(groups) - i + 1)), lambda n: window(i, n)))
-    )
-    return F.filter(every, lambda w: F.length(w["digits"]).between(13, 19))
+    return _let(F.transform(groups, F.length), lambda sizes: F.flatten(F.transform(starts, lambda i: at(sizes, i))))
 
 
 def _cards(windows: Column, n_groups: Column) -> Column:
@@ -160,12 +179,36 @@ def _cards(windows: Column, n_groups: Column) -> Column:
     valid = F.filter(windows, lambda w: luhn_sum(w["digits"]) % 10 == 0)
     ranked = F.transform(valid, lambda w: F.struct(rank(w).alias("rank"), w["at"].alias("at"), w["n"].alias("n")))
     ranked = F.array_sort(F.filter(ranked, lambda w: w["rank"].isNotNull()))
+    spans = "array<struct<at:int,n:int>>"
 
-    def take(taken: Column, w: Column) -> Column:
-        meets = F.exists(taken, lambda t: (t["at"] < w["at"] + w["n"]) & (w["at"] < t["at"] + t["n"]))
-        return F.when(meets, taken).otherwise(F.concat(taken, F.array(F.struct(w["at"].alias("at"), w["n"].alias("n")))))
+    def first_come(ws: Column) -> Column:
+        """Of windows in order, each that starts after the last one taken ends."""
+        start = F.struct(F.lit(1).alias("free"), F.array().cast(spans).alias("taken"))
 
-    return F.array_sort(F.aggregate(ranked, F.array().cast("array<struct<at:int,n:int>>"), take))
+        def step(acc: Column, w: Column) -> Column:
+            span = F.array(F.struct(w["at"].alias("at"), w["n"].alias("n")))
+            more = F.struct((w["at"] + w["n"]).alias("free"), F.concat(acc["taken"], span).alias("taken"))
+            return F.when(w["at"] >= acc["free"], more).otherwise(acc)
+
+        return F.aggregate(ws, start, step, lambda acc: acc["taken"])
+
+    def used(taken: Column) -> Column:
+        """For each group of the run, whether one of the ``taken`` windows, in order, holds it."""
+        end = lambda t: F.coalesce(t["at"] + t["n"], F.lit(1))
+        upto = F.transform(
+            taken, lambda t, i: F.concat(F.array_repeat(F.lit(False), t["at"] - end(F.get(taken, i - 1))), F.array_repeat(F.lit(True), t["n"])))
+        rest = F.array_repeat(F.lit(False), n_groups + 1 - end(F.get(taken, F.size(taken) - 1)))
+        return F.concat(F.flatten(upto), rest)
+
+    def take(of: Column, taken: Column, rank: int) -> Column:
+        """The windows taken so far and those of this rank beside them, in order."""
+        same = F.filter(of, lambda w: w["rank"] == rank)
+        beside = lambda u: F.filter(same, lambda w: ~F.exists(F.slice(u, w["at"], w["n"]), lambda x: x))
+        more = _let(used(taken), lambda u: first_come(beside(u)))
+        both = F.when(F.exists(of, lambda w: w["rank"] == rank), F.array_sort(F.concat(taken, more))).otherwise(taken)
+        return both if rank == 4 else _let(both, lambda t: take(of, t, rank + 1))
+
+    return _let(ranked, lambda of: _let(F.array().cast(spans), lambda t: take(of, t, 1)))
 
 
 def _run(key: str, m: Column) -> Column:
@@ -203,7 +246,18 @@ def _run(key: str, m: Column) -> Column:
 
 
 def _ssn(key: str, m: Column) -> Column:
-    return _let(_digits(m), lambda d: _let(_number(key, "ssn", d), lambda p: _refill(m, p)))
+    """Image among the numbers that can be issued: area 001 to 899 but 666, no part of zeros only."""
+
+    def image(d: Column) -> Column:
+        area, group, serial = (F.substr(d, F.lit(i), F.lit(n)).cast("int") for i, n in ((1, 3), (4, 2), (6, 4)))
+        valid = area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0)
+        at = area - F.when(area > 666, 2).otherwise(1)
+        pair = _network(key, "ssn", at * 99 + group - 1, serial - 1, F.lit(898 * 99), F.lit(9999))
+        area_of = lambda s: F.floor(s["a"] / 99) + F.when(F.floor(s["a"] / 99) >= 665, 2).otherwise(1)
+        digits = lambda s: F.concat(_pad(area_of(s), 3), _pad(s["a"] % 99 + 1, 2), _pad(s["b"] + 1, 4))
+        return F.when(valid, _let(pair, lambda s: _refill(m, digits(s)))).otherwise(m)
+
+    return _let(_digits(m), image)
 
 
 def _phone(key: str, m: Column) -> Column:
@@ -320,12 +374,14 @@ def masked(docs: DataFrame, text_col: str = "text", key: str = DEMO_KEY, name: s
     some = text.rlike("[0-9@]")
     found = F.when(some, F.transform(F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)), lambda m: pseudonym(m, key)))
     parts = F.when(some, F.split(text, PATTERN, -1))
-    out = docs.withColumn("__found", F.coalesce(found, F.array().cast("array<struct<kind:string,value:string,found:array<struct<kind:string,value:string>>>>"))).withColumn("__parts", parts)
-    values = F.concat(F.transform("__found", lambda s: s["value"]), F.array(F.lit("")))
-    joined = F.array_join(F.zip_with("__parts", values, lambda p, v: F.concat(p, v)), "")
-    body = F.when(F.size("__found") > 0, joined).otherwise(text)
-    held = F.flatten(F.transform("__found", lambda s: s["found"]))
-    return out.withColumn(name, F.struct(body.alias("text"), held.alias("found"))).drop("__found", "__parts")
+    held, cut = fresh(docs, "__found"), fresh(docs, "__parts")
+    none = F.array().cast("array<struct<kind:string,value:string,found:array<struct<kind:string,value:string>>>>")
+    out = docs.withColumns({held: F.coalesce(found, none), cut: parts})
+    values = F.concat(F.transform(held, lambda s: s["value"]), F.array(F.lit("")))
+    joined = F.array_join(F.zip_with(cut, values, lambda p, v: F.concat(p, v)), "")
+    body = F.when(F.size(held) > 0, joined).otherwise(text)
+    every = F.flatten(F.transform(held, lambda s: s["found"]))
+    return out.withColumn(name, F.struct(body.alias("text"), every.alias("found"))).drop(held, cut)
 
 
 def pseudonymised(docs: DataFrame, key: str = DEMO_KEY) -> DataFrame:
