@@ -46,8 +46,8 @@ STAGES = [
     ("packing", _packed),
 ]
 
-#: Training, tokenizing and packing are beyond SQL; tests/llm holds the operators against
-#: brute force or cases, and the whole pipeline to invariants only.
+#: Training, tokenizing and packing are beyond SQL; tests/llm holds each stage against brute
+#: force, and toxicity's decisions against the labels.
 ORACLE_SQL = None
 
 
