@@ -33,3 +33,17 @@ def test_a_listing_meets_each_distinct_mapping_row_once(spark):
     plan = _optimized(df).splitlines()
     join = next(i for i, line in enumerate(plan) if "Join LeftOuter" in line)
     assert any("Aggregate [" in line for line in plan[join:]), "\n".join(plan)
+
+
+def test_quantiles_read_their_input_once(spark, tmp_path):
+    """Both sides of the join on the buckets share one run of the input, missing values and keys kept."""
+    rows = [(g, None if g == "n" or v % 7 == 0 else float(v)) for v in range(40) for g in ("a", "b", "n", None)]
+    spark.createDataFrame(rows, "g string, v double").write.parquet(str(tmp_path / "t"))
+    twice = F.pandas_udf(lambda s: 2 * s, "double")
+    for levels in (1, 3):
+        df = spark.read.parquet(str(tmp_path / "t")).distinct().select("g", twice("v").alias("v"))
+        out = group_quantiles(df, ["g"], "v", {"q": 0.5}, levels=levels)
+        got = {r["g"]: r["q"] for r in out.collect()}
+        assert got["n"] is None and got["a"] == got["b"] == got[None] == 39.0, got
+        final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert final.count("ArrowEvalPython") == 1, final
