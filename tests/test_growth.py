@@ -47,3 +47,15 @@ def test_quantiles_read_their_input_once(spark, tmp_path):
         assert got["n"] is None and got["a"] == got["b"] == got[None] == 39.0, got
         final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
         assert final.count("ArrowEvalPython") == 1, final
+
+
+def test_schedules_are_reduced_to_one_row_per_contract(spark):
+    day = dt.date(2001, 1, 1)
+    pay = [(1, 100.4, day, dt.date(2001, 12, 31), None), (1, 200.6, day, dt.date(2001, 12, 31), None), (1, 900.0, day, dt.date(2001, 12, 31), day)]
+    pay += [(2, 50.0, day, dt.date(2001, 12, 31), None), (None, 70.0, day, dt.date(2001, 12, 31), None), (3, 80.0, day, dt.date(2001, 2, 1), None)]
+    schedules = spark.createDataFrame(pay, "contract_id long, monthly_price double, date date, end_date date, deleted_at date")
+    con = [(1, 7, "蛋壳A", "已签约", 36, 5), (2, 7, "蛋壳A", "已签约", 24, 9), (2, 8, "蛋壳A", "签约待确认", None, 1), (3, 9, "蛋壳A", "已签约", 1, 1), (None, 7, "蛋壳A", "已签约", 99, 99)]
+    contracts = spark.createDataFrame(con, "id long, suite_id long, type string, status string, months int, free_days int")
+    out = landlord_price_in_force(schedules, contracts, AS_OF)
+    assert sorted(map(tuple, out.collect())) == [(7, 201.0, 36, 9), (8, 50.0, None, 1)]
+    assert "Aggregate [contract_id" in _optimized(out)
