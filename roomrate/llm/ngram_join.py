@@ -15,7 +15,8 @@ of a set by length:
 * Long lists: the frequent shingles left over are never read as lists. For a candidate
   they are binary-probed in its sorted set, which gives the exact overlap.
 
-Equal sets are one class before the search. In the first round each list names one pivot,
+Equal sets are one class before the search, named by the smallest number among its rows: eight
+bytes move per posting instead of a digest. In the first round each list names one pivot,
 a class is checked against the pivot it meets in most lists, and links become connected
 components. The second round takes the lists that still hold two or more components: short
 ones are joined with themselves, for pairs of different components; long ones (many
@@ -23,6 +24,10 @@ variants of one text that do not link with each other) are cut into blocks of bo
 and the DivideSkip search runs inside every pair of blocks of a group, without emitting
 pairs. Every pair that could link two components is checked, so the result is exact.
 
+A set has a sketch of one to two bits a shingle: the parity of how many fall to each bit. The
+bits in which two sketches differ are at most the shingles in which the sets differ, so
+candidate pairs with too many of them cannot link. Texts and full sets move only for the others.
+
 The count of frequent shingles only decides the order, that is, the cost. It keeps the
 ``FREQUENT`` most frequent ones (6 MB, broadcast); the result is the same at any bound.
 """
@@ -50,6 +55,8 @@ FREQUENT = 1 << 19
 #: Lists of shingles counted at least so often get their pivot by an aggregate and a join that
 #: can be split; shorter ones by a window.
 HOT = 500
+#: Bits of the largest sketch.
+SKETCH_BITS = 1 << 20
 #: Open lists of more classes are searched in blocks instead of joined with themselves.
 LONG_LIST = 64
 #: A block holds about so many classes and shingles at most (two of them meet in a task).
@@ -103,6 +110,22 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
+def sketch(shingles: np.ndarray) -> bytes:
+    """Parity of the shingles that fall to each bit; bits are a power of two, at least 64."""
+    bits = min(SKETCH_BITS, max(64, 1 << (len(shingles) - 1).bit_length()))
+    at = (shingles >> np.uint64(40)) & np.uint64(bits - 1)
+    return np.packbits((np.bincount(at.astype(np.int64), minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
+def may_link(n: int, a: bytes, m: int, b: bytes, percent: int = PERCENT) -> bool:
+    """Whether sets of ``n`` and ``m`` shingles with these sketches can link; true if they do."""
+    x, y = sorted((np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)), key=len)
+    while len(y) > len(x):  # the upper half falls to the same bits of the lower one
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    apart = int(np.bitwise_count(x ^ y).sum())
+    return 100 * (n + m - apart) >= percent * (n + m + apart)
+
+
 def divide_skip(
     sets: list[np.ndarray], parts: list, queries: np.ndarray, index: np.ndarray, percent: int = PERCENT
 ) -> list[tuple[int, int]]:
@@ -163,15 +186,16 @@ def _search_block(group: pa.Table, percent: int) -> pa.Table:
     alone = len(rows) and group.column("first")[0].as_py() != group.column("second")[0].as_py() and not (len(index) and (side == 1).any())
     links = [] if alone else divide_skip(sets, [r["root"] for r in rows], queries, index, percent)
     return pa.table(
-        [pa.array([rows[i]["node"] for i, _ in links], pa.binary()), pa.array([rows[j]["node"] for _, j in links], pa.binary())],
+        [pa.array([rows[i]["node"] for i, _ in links], pa.int64()), pa.array([rows[j]["node"] for _, j in links], pa.int64())],
         names=["u", "v"],
     )
 
 
-def _among(table: DataFrame, keys: DataFrame, column: str = "node") -> DataFrame:
-    """The rows of ``table`` that a Bloom filter of the ``keys`` lets through: all of theirs and few
-    others. Keeps the others out of the shuffle of a join that follows."""
-    words = set_bits(keys.select(F.xxhash64(column).alias("h")), bits_for(keys.count()), repeated=False)
+def _among(table: DataFrame, keys: DataFrame, column: str = "node", key: str | None = None) -> DataFrame:
+    """The rows of ``table`` that a Bloom filter of the ``keys`` (in their column ``key``, else
+    ``column``) lets through: all of theirs and few others. Keeps the others out of the shuffle of a
+    join that follows."""
+    words = set_bits(keys.select(F.xxhash64(key or column).alias("h")), bits_for(keys.count()), repeated=False)
     return table.filter(all_set(table.sparkSession, words, F.xxhash64(column)))
 
 
@@ -196,7 +220,7 @@ def block_links(crowded: DataFrame, sets: DataFrame, percent: int = PERCENT) ->
     def search(group: pa.Table) -> pa.Table:
         return _search_block(group, percent)
 
-    return nodes.groupBy("bag", "first", "second").applyInArrow(search, "u binary, v binary")
+    return nodes.groupBy("bag", "first", "second").applyInArrow(search, "u long, v long")
 
 
 def frequent_shingles(docs: DataFrame, text: Column, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -243,17 +267,18 @@ def frequent_shingles(docs: DataFrame, text: Column, words: int = WORDS) -> tupl
 def indexed(
     docs: DataFrame, text: Column, frequent: tuple[np.ndarray, np.ndarray], words: int = WORDS, percent: int = PERCENT
 ) -> DataFrame:
-    """docs plus struct ``s``: n, node (hash of the set), short and hot (shingles of the index part)."""
+    """docs plus struct ``s``: n, digest and sketch of the set, short and hot (shingles of the index part)."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def batch(b: pa.Array) -> pa.Array:
         tokens, counts = shared.value
-        size, node, short, hot = [], [], [], []
+        size, digest, sketches, short, hot = [], [], [], [], []
         for t in texts(b):
             s = shingles(t, words)
             n = len(s)
             size.append(n)
-            node.append(xxhash.xxh3_128_digest(s.tobytes()) if n else None)
+            digest.append(xxhash.xxh3_128_digest(s.tobytes()) if n else None)
+            sketches.append(sketch(s) if n else None)
             often = np.zeros(n, np.int64)
             if len(tokens) and n:
                 at = np.minimum(np.searchsorted(tokens, s), len(tokens) - 1)
@@ -268,10 +293,11 @@ def indexed(
             hot.append(first[first_often >= HOT].view(np.int64))
         lists = [pa.array(x, pa.list_(pa.int64())) for x in (short, hot)]
         return pa.StructArray.from_arrays(
-            [pa.array(size, pa.int64()), pa.array(node, pa.binary()), *lists], ["n", "node", "short", "hot"]
+            [pa.array(size, pa.int64()), pa.array(digest, pa.binary()), pa.array(sketches, pa.binary()), *lists],
+            ["n", "digest", "sketch", "short", "hot"],
         )
 
-    returns = "struct<n: long, node: binary, short: array<long>, hot: array<long>>"
+    returns = "struct<n: long, digest: binary, sketch: binary, short: array<long>, hot: array<long>>"
     return with_struct(docs, "s", text, returns, batch)
 
 
@@ -314,13 +340,45 @@ def _best_pivots(n: pa.Array, pivots: pa.Array, percent: int) -> pa.Array:
         least = min(occurrences(least), required(least, percent))
         found = merge_short([[p] for p in met], lambda _, least=least: least)
         out.append(min(found, key=lambda x: (-x[1], x[0]))[0] if found else None)
-    return pa.array(out, pa.binary())
+    return pa.array(out, pa.int64())
+
+
+def _representatives(flat: DataFrame) -> DataFrame:
+    """The rows of ``flat`` (row, digest, ...) with one row of each digest, its smallest, as ``node``.
+
+    Only digests that several rows have, and a few others, go through a join.
+    """
+    names = written(flat.groupBy("digest").agg(F.min("row").alias("node"), F.count("*").alias("m")), "names")
+    copied = names.filter(F.col("m") > 1).select(F.xxhash64("digest").alias("h"))
+    hit = all_set(flat.sparkSession, set_bits(copied, bits_for(copied.count()), repeated=False), F.xxhash64("digest"))
+    first = written(names.filter(hit).select(F.col("node").alias("row")), "first-rows")
+    others = _among(flat.filter(hit), first, "row").join(first, "row", "left_semi").select(flat.columns)
+    return flat.filter(~hit).union(others).withColumnRenamed("row", "node")
+
+
+def _hashes(text: Column) -> list[Column]:
+    return [F.xxhash64(text).alias("h"), F.crc32(text.cast("binary")).alias("c")]
+
+
+def _with_sets(wanted: DataFrame, docs: DataFrame, text: Column, words: int) -> DataFrame:
+    """``wanted`` (with h and c, hashes of the class's text) plus ``set``; few other texts move."""
+    bits = set_bits(wanted.select("h"), bits_for(wanted.count()), repeated=False)  # as in _among
+    source = docs.select(*_hashes(text), text.alias("text")).filter(all_set(docs.sparkSession, bits, F.col("h")))
+    source = source.groupBy("h", "c").agg(F.first("text").alias("text"))
+
+    def as_set(b: pa.Array) -> pa.Array:
+        found = [shingles(t, words) for t in texts(b)]
+        return pa.StructArray.from_arrays([pa.array([s.tobytes() for s in found], pa.binary())], ["set"])
+
+    found = with_struct(wanted.join(source, ["h", "c"]), "s", F.col("text"), "struct<set: binary>", as_set)
+    return found.select(*[c for c in wanted.columns if c not in ("h", "c")], F.col("s.set").alias("set"))
 
 
 def classes_and_links(
     docs: DataFrame, text_col: str, words: int = WORDS, percent: int = PERCENT
 ) -> tuple[DataFrame, DataFrame]:
-    """(every row of docs plus n, node; links as star edges u, v between nodes).
+    """(every row of docs plus its number and s, with n and digest; links as star edges u, v between
+    the numbers that name classes).
 
     The rows carry whatever columns ``docs`` has besides the text.
     """
@@ -329,18 +387,23 @@ def classes_and_links(
     def _linked(a: pa.Array, b: pa.Array) -> pa.Array:
         return _linked_sets(a, b, percent)
 
-    @F.arrow_udf("binary")
+    @F.arrow_udf("long")
     def _best_pivot(n: pa.Array, pivots: pa.Array) -> pa.Array:
         return _best_pivots(n, pivots, percent)
 
+    @F.arrow_udf("boolean")
+    def _may_link(n: pa.Array, a: pa.Array, m: pa.Array, b: pa.Array) -> pa.Array:
+        pairs = zip(*(c.to_pylist() for c in (n, a, m, b)), strict=True)
+        return pa.array([may_link(*pair, percent) for pair in pairs], pa.bool_())
+
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    key = F.struct(F.xxhash64(text).alias("h"), F.crc32(text.cast("binary")).alias("c"))
     frequent = frequent_shingles(docs, text, words)
     rest = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
-    rows = indexed(docs.select(*rest, text.alias("__text"), key.alias("__key")), F.col("__text"), frequent, words, percent)
-    rows = written(rows.drop("__text"), "shingles")
-    flat = rows.select("__key", F.col("s.n").alias("n"), F.col("s.node").alias("node"), F.col("s.short").alias("short"), F.col("s.hot").alias("hot"))
-    classes = flat.filter(F.col("n") > 0).dropDuplicates(["node"])
+    rows = indexed(docs.select(*rest, text.alias("__text"), F.struct(*_hashes(text)).alias("__key")), F.col("__text"), frequent, words, percent)
+    # written: the number of a row is given once, whoever reads it
+    rows = written(rows.drop("__text").withColumn("__row", F.monotonically_increasing_id()), "shingles")
+    flat = rows.select(F.col("__row").alias("row"), "__key.h", "__key.c", *[F.col(f"s.{c}").alias(c) for c in ("n", "digest", "sketch", "short", "hot")])
+    classes = _representatives(flat.filter(F.col("n") > 0))
 
     # lists of two or more classes, each with one pivot; only (shingle, node) moves
     short = classes.select("node", F.explode("short").alias("token"))
@@ -351,70 +414,64 @@ def classes_and_links(
     columns = ["token", "node", "pivot"]
     lists = written(short.select(columns).union(hot.join(heads, "token").select(columns)), "lists")
 
-    # sets of the classes that meet others in as many lists as the smallest possible partner asks for
+    # classes that meet others in as many lists as the smallest possible partner asks for
     least = _t(F.ceil(F.col("n") * percent / 100), percent)
     meets = lists.groupBy("node").agg(
         F.count("*").alias("c"), F.collect_list(F.when(F.col("pivot") != F.col("node"), F.col("pivot"))).alias("pivots")
     )
-    meets = meets.join(classes.select("node", "n", F.col("__key").alias("key")), "node")
-    meets = meets.filter(F.col("c") >= least).select("node", "n", "key", _best_pivot("n", "pivots").alias("pivot"))
-    wanted = written(meets, "wanted")
-    # a Bloom filter keeps most other texts out of the shuffle
-    bits = set_bits(wanted.select("key.h"), bits_for(wanted.count()), repeated=False)  # as in _among
-    source = docs.select(key.alias("key"), text.alias("text")).filter(all_set(docs.sparkSession, bits, F.col("key.h")))
-    source = source.join(wanted.select("key"), "key", "left_semi")
-    source = source.groupBy("key").agg(F.first("text").alias("text"))
-
-    def as_set(b: pa.Array) -> pa.Array:
-        found = [shingles(t, words) for t in texts(b)]
-        return pa.StructArray.from_arrays([pa.array([s.tobytes() for s in found], pa.binary())], ["set"])
-
-    sets = with_struct(source, "s", F.col("text"), "struct<set: binary>", as_set).select("key", F.col("s.set").alias("set"))
-    sets = written(wanted.join(sets, "key").select("node", "n", "pivot", "set"), "sets")
+    meets = meets.join(classes.select("node", "n"), "node").filter(F.col("c") >= least)
+    meets = written(meets.select("node", "n", _best_pivot("n", "pivots").alias("pivot")), "meets")
+    wanted = _among(classes.select("node", "h", "c", "sketch"), meets).join(meets, "node")
+    wanted = written(wanted, "wanted")
 
     # first round: each class against its best pivot
-    own = sets.filter(F.col("pivot").isNotNull())
-    pivots = sets.join(own.select(F.col("pivot").alias("node")).distinct(), "node", "left_semi")
-    pivots = pivots.select(F.col("node").alias("v"), F.col("set").alias("v_set"), F.col("n").alias("v_n"))
-    pairs = own.select(F.col("node").alias("u"), F.col("pivot").alias("v"), F.col("set").alias("u_set"), F.col("n").alias("u_n"))
-    pairs = pairs.join(pivots, "v").filter(_sizes_fit(F.col("u_n"), F.col("v_n"), percent))
-    edges = components(pairs.filter(_linked("u_set", "v_set")).select("u", "v"), "first")
+    own = wanted.filter(F.col("pivot").isNotNull())
+    sketches = wanted.select("node", "n", "sketch")
+    pivots = _among(sketches, own, "node", "pivot").select(*[F.col(c).alias(f"v_{c}") for c in sketches.columns])
+    near = own.join(pivots, F.col("pivot") == F.col("v_node")).filter(_sizes_fit(F.col("n"), F.col("v_n"), percent))
+    near = written(near.filter(_may_link("n", "sketch", "v_n", "v_sketch")).select("node", "pivot"), "near")
+    members = near.select("pivot").withColumnRenamed("pivot", "node").union(near.select("node")).distinct().join(near, "node", "left")
+    sets = written(_with_sets(wanted.select("node", "n", "h", "c").join(members, "node"), docs, text, words), "sets")
+    own_sets = sets.filter(F.col("pivot").isNotNull()).select(F.col("node").alias("u"), F.col("pivot").alias("v"), F.col("set").alias("u_set"))
+    pivot_sets = _among(sets, near, "node", "pivot").select(F.col("node").alias("v"), F.col("set").alias("v_set"))
+    edges = components(own_sets.join(pivot_sets, "v").filter(_linked("u_set", "v_set")).select("u", "v"), "first")
 
     # second round: pairs of different components in lists that hold several
     place = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    alive = lists.select("token", "node").join(wanted.select("node", "n"), "node")
+    alive = _among(lists.select("token", "node"), wanted).join(wanted.select("node", "n"), "node")
     alive = alive.join(place, "node", "left").withColumn("root", F.coalesce("root", "node"))
     alive = written(alive, "alive")
-    mixed = alive.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter(F.col("a") != F.col("b"))
-    mixed = written(mixed.select("token"), "mixed")
-    open_ = written(_among(alive, mixed, "token").join(mixed, "token", "left_semi"), "open")
-    length = open_.groupBy("token").agg(F.count("*").alias("m"))
-    crowded = open_.join(length.filter(F.col("m") > LONG_LIST).select("token"), "token", "left_semi")
-    few = open_.join(length.filter(F.col("m") <= LONG_LIST).select("token"), "token", "left_semi")
+    mixed = alive.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("m"))
+    mixed = written(mixed.filter(F.col("a") != F.col("b")).select("token", "m"), "mixed")
+    open_ = written(_among(alive, mixed, "token").join(mixed, "token"), "open")
+    crowded, few = open_.filter(F.col("m") > LONG_LIST), open_.filter(F.col("m") <= LONG_LIST)
     x, y = (few.select("token", *[F.col(c).alias(f"{s}_{c}") for c in ("n", "node", "root")]) for s in "xy")
     met = x.join(y, "token").filter(
         (F.col("x_node") < F.col("y_node")) & (F.col("x_root") != F.col("y_root")) & _sizes_fit(F.col("x_n"), F.col("y_n"), percent)
     )
     met = met.groupBy("x_node", "y_node", "x_n", "y_n").agg(F.count("*").alias("c"))
-    met = met.filter(F.col("c") >= F.least(_t(F.col("x_n"), percent), _t(F.col("y_n"), percent))).select("x_node", "y_node")
+    met = met.filter(F.col("c") >= F.least(_t(F.col("x_n"), percent), _t(F.col("y_n"), percent)))
     tried = own.select(F.least("node", "pivot").alias("x_node"), F.greatest("node", "pivot").alias("y_node"))
-    met = written(met.join(tried, ["x_node", "y_node"], "left_anti"), "pairs")
-    needed = _among(sets, met.select(F.explode(F.array("x_node", "y_node")).alias("node")))
-    a = needed.select(F.col("node").alias("x_node"), F.col("set").alias("a"))
-    b = needed.select(F.col("node").alias("y_node"), F.col("set").alias("b"))
-    more = met.join(a, "x_node").join(b, "y_node").filter(_linked("a", "b")).select(F.col("x_node").alias("u"), F.col("y_node").alias("v"))
-    crowd = written(crowded, "crowded")
-    if not crowd.isEmpty():
-        more = more.union(block_links(crowd, sets, percent))
-    more = written(more, "links")
-    return rows, edges if more.isEmpty() else components(edges.union(more), "second")
+    met = written(met.select("x_node", "y_node", "x_n", "y_n").join(tried, ["x_node", "y_node"], "left_anti"), "pairs")
+    a, b = (_among(sketches, met, "node", f"{s}_node").select(F.col("node").alias(f"{s}_node"), F.col("sketch").alias(f"{s}_sketch")) for s in "xy")
+    met = met.join(a, "x_node").join(b, "y_node").filter(_may_link("x_n", "x_sketch", "y_n", "y_sketch"))
+    met = written(met.select("x_node", "y_node"), "close")
+    needed = met.select(F.explode(F.array("x_node", "y_node")).alias("node")).union(crowded.select("node")).distinct()
+    needed = written(needed.join(wanted.select("node", "n", "h", "c"), "node"), "needed")
+    more = written(_with_sets(needed, docs, text, words), "more-sets")
+    a, b = (_among(more, met, "node", f"{s}_node").select(F.col("node").alias(f"{s}_node"), F.col("set").alias(s)) for s in "xy")
+    found = met.join(a, "x_node").join(b, "y_node").filter(_linked("x", "y")).select(F.col("x_node").alias("u"), F.col("y_node").alias("v"))
+    if not crowded.isEmpty():
+        found = found.union(block_links(crowded.select("token", "node", "root"), more, percent))
+    found = written(found, "links")
+    return rows, edges if found.isEmpty() else components(edges.union(found), "second")
 
 
 def grouped(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix: str = "__near_", words: int = WORDS, percent: int = PERCENT
 ) -> DataFrame:
     """The columns of ``docs`` but the text, plus n_shingles, component_id and root (the
-    component's name among sets, null without words) named by ``prefix``.
+    component's number, null without words) named by ``prefix``.
 
     Null and empty texts and texts without words have no shingle and link with nothing. A
     null id never names a component that has another id. Repeated rows are equal sets.
@@ -422,14 +479,14 @@ def grouped(
     """
     rows, edges = classes_and_links(docs, text_col, words, percent)
     ident = F.col(f"`{id_col}`")
-    node = rows.filter(F.col("s.n") > 0).groupBy(F.col("s.node").alias("node")).agg(F.min(ident).alias("low"))
+    node = rows.filter(F.col("s.n") > 0).groupBy(F.col("s.digest").alias("digest")).agg(F.min(ident).alias("low"), F.min("__row").alias("node"))
     node = node.join(edges.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left")
-    node = node.select("node", F.coalesce("root", "node").alias("root"), "low")
+    node = node.select("digest", F.coalesce("root", "node").alias("root"), "low")
     roots = node.groupBy("root").agg(F.min("low").alias("component"))
     node = node.join(roots, "root").select(
-        F.col("node").alias("__node"), F.col("component").alias(f"{prefix}component_id"), F.col("root").alias(f"{prefix}root")
+        F.col("digest").alias("__digest"), F.col("component").alias(f"{prefix}component_id"), F.col("root").alias(f"{prefix}root")
     )
-    out = rows.join(node, F.col("s.node") == F.col("__node"), "left")
+    out = rows.join(node, F.col("s.digest") == F.col("__digest"), "left")
     component = F.when(F.col("s.n") > 0, F.col(f"{prefix}component_id")).otherwise(ident)
     rest = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
     return out.select(*rest, F.col("s.n").alias(f"{prefix}n_shingles"), component.alias(f"{prefix}component_id"), f"{prefix}root")

@@ -146,6 +146,62 @@ def test_ngram_join_at_5_words_and_80_matches_brute_force(spark, monkeypatch):
     assert dict(got) == dict(enumerate(part)) and 1 < len(set(part)) < 150
 
 
+def test_ngram_join_moves_the_sets_of_close_pairs_only(spark, monkeypatch):
+    """Texts that share many shingles but cannot link: their sets are neither fetched nor stored."""
+    base = ["b%d" % i for i in range(1000)]
+    # neighbours have a similarity of 0.64 and meet in more lists than a partner must
+    texts = [" ".join(base[15 * i : 15 * i + 100] + ["g%dw%d" % (i, j) for j in range(8)]) for i in range(60)]
+    texts += [texts[0] + " tail", texts[1] + " tail", texts[0].upper(), texts[0]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    tables = {}
+
+    def record(df, name, written=ngram_join.written):
+        tables.setdefault(name, []).append(written(df, name))
+        return tables[name][-1]
+
+    monkeypatch.setattr(ngram_join, "written", record)
+    got = dict(rows(ngram_join.groups(df), "doc_id", "component_id"))
+    s = [set(zip(*[t.lower().split()[k:] for k in range(4)], strict=False)) for t in texts]
+    part = list(range(len(texts)))
+    linked = set()
+    for i in range(len(texts)):
+        for j in range(i):
+            if 100 * len(s[i] & s[j]) >= 85 * len(s[i] | s[j]):
+                linked |= {frozenset(s[i]), frozenset(s[j])} if s[i] != s[j] else set()
+                a, b = part[i], part[j]
+                part = [min(a, b) if p in (a, b) else p for p in part]
+    assert got == dict(enumerate(part)) and len(set(part)) == 60
+    assert {kind for _, kind in tables["lists"][0].dtypes} == {"bigint"}  # numbers of classes, no digests
+    fetched = sum(t.count() for name in ("sets", "more-sets") for t in tables.get(name, []))
+    assert len(linked) == 4 <= fetched <= 8
+
+
+def test_ngram_join_copies_with_full_filters(spark, monkeypatch):
+    """Large groups of copies, and Bloom filters that let everything through."""
+    texts = ["a b c d e f g h"] * 40 + ["A b c d e f g h"] * 3 + ["q%d r s t u v" % i for i in range(10)] + ["x y"] * 2 + [None, ""]
+    df = spark.createDataFrame([(100 - i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    want = rows(ngram_join.groups(df), "doc_id", "n_shingles", "component_id")
+    low = dict([(100 - i, 58) for i in range(43)] + [(57 - i, 57 - i) for i in range(10)] + [(47, 46), (46, 46), (45, 45), (44, 44)])
+    assert {i: c for i, _, c in want} == low
+    monkeypatch.setattr(ngram_join, "all_set", lambda *_: F.lit(True))
+    assert rows(ngram_join.groups(df), "doc_id", "n_shingles", "component_id") == want
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_sketches_never_reject_a_link(percent):
+    rng = np.random.default_rng(7)
+    rejected = 0
+    for n in (1, 2, 20, 63, 64, 65, 127, 130, 1000, 5000):
+        a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2))
+        for share in (0.0, 0.02, 0.05, 0.08, 0.1, 0.15, 0.3, 0.9):
+            new = rng.integers(0, 1 << 63, int(n * share), dtype=np.uint64)
+            b = np.unique(np.r_[a[int(n * share) // 2 :], new])
+            may = ngram_join.may_link(len(a), ngram_join.sketch(a), len(b), ngram_join.sketch(b), percent)
+            assert may or not ngram_join.linked(a, b, percent)
+            rejected += not may
+    assert rejected >= 10
+
+
 def test_heap_merge_and_probe():
     assert ngram_join.merge_short([[1, 3], [1, 2], [1, 3]], lambda _: 2) == [(1, 3), (3, 2)]
     a, b = np.array([1, 5, 9], np.uint64), np.array([5, 9, 10, 11], np.uint64)
