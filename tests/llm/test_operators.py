@@ -597,7 +597,7 @@ def test_sql(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     want = con.execute(registry.oracle_sql()[name])
     cols = [c[0] for c in want.description]
